@@ -111,8 +111,7 @@ def by_year(t: Tables):
 
 
 @query("j8_null_safe", """
-WITH a AS (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS p, nullif(o_orderstatus, 'P') AS st, o_orderkey % 3 AS k FROM orders),
-b AS (SELECT row_number() OVER (ORDER BY p, st, k) + 0 AS nr, * FROM (SELECT DISTINCT p, st, k FROM a) QUALIFY true)
+WITH a AS (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS p, nullif(o_orderstatus, 'P') AS st, o_orderkey % 3 AS k FROM orders)
 SELECT a.o_orderkey, (SELECT min(o_orderkey) FROM a x WHERE x.p IS NOT DISTINCT FROM a.p AND x.st IS NOT DISTINCT FROM a.st AND x.k IS NOT DISTINCT FROM a.k) AS eerste FROM a""")
 def null_safe(t: Tables):
     rows = t.orders.select("o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("p"),
