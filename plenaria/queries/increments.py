@@ -1 +1,136 @@
-"""Queries."""
+"""Increments, merges, cascades and streams."""
+
+from pyspark.sql import functions as F
+
+from plenaria.operators import merge as M
+from plenaria.operators.versioned import feed_order, latest_version
+from plenaria.queries import Tables, query
+from plenaria.queries import standins as s
+from plenaria.session import scratch_path
+from plenaria.streaming import jobs
+
+_EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+
+
+@query("k1_stream_append", _EVENTS)
+def stream_append(t: Tables):
+    """Events landed as several files and streamed into a sink in two resumed runs."""
+    root = scratch_path(t.spark, "k1")
+    hours = t.events.withColumn("h", F.hour("ts") % 4)
+    hours.where("h < 2").drop("h").repartition(2).write.mode("append").parquet(f"{root}/landed")
+    jobs.stream_append(t.spark, f"{root}/landed", t.events.schema, f"{root}/sink", f"{root}/cursor").awaitTermination()
+    hours.where("h >= 2").drop("h").repartition(2).write.mode("append").parquet(f"{root}/landed")
+    jobs.stream_append(t.spark, f"{root}/landed", t.events.schema, f"{root}/sink", f"{root}/cursor").awaitTermination()
+    return t.spark.read.parquet(f"{root}/sink")
+
+
+@query("k1_feed_stream", """
+SELECT 'zaal' AS tabel, CAST(n_nationkey AS VARCHAR) AS id, n_name AS naam FROM nation WHERE n_regionkey <> 0
+UNION ALL SELECT 'zaal', 'c' || c_custkey, c_name FROM customer WHERE c_mktsegment <> 'BUILDING'""")
+def feed_stream(t: Tables):
+    """Rooms written as feed pages in XML, streamed into the version log, then conformed."""
+    from plenaria.plans.catalog import ENTITIES
+    from plenaria.plans.conform import conform_entity
+    from plenaria.sources import feed
+
+    root = scratch_path(t.spark, "k1-feed")
+    # pages hold at most 100 rooms
+    rooms = (t.nation.select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("naam"), (F.col("n_regionkey") == 0).alias("weg"), F.lit(0).cast("bigint").alias("p"))
+             .unionByName(t.customer.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_name").alias("naam"),
+                                            (F.col("c_mktsegment") == "BUILDING").alias("weg"), (F.floor(F.col("c_custkey") / 100) + 1).alias("p"))))
+    # an older live version of every room, and a newer one that may be deleted
+    both = rooms.withColumn("versie", F.explode(F.array(F.lit(1), F.lit(2))))
+    stamp = F.concat(F.lit("2024-01-0"), F.col("versie").cast("string"), F.lit("T00:00:00Z"))
+    flag = F.when(F.col("weg") & (F.col("versie") == 2), "True").otherwise("False")
+    entry = F.struct(
+        F.concat(F.lit("urn:"), F.col("id")).alias("id"), F.lit("Zaal").alias("title"), stamp.alias("updated"), F.struct(F.lit("Zaal").alias("_term")).alias("category"),
+        F.struct(F.struct(F.col("id").alias("_id"), flag.alias("_verwijderd"), stamp.alias("_bijgewerkt"), F.col("naam")).alias("zaal")).alias("content"))
+    page = (both.groupBy("p", "versie").agg(F.collect_list(entry).alias("entry"))
+            .select(F.struct(F.array(F.struct(F.lit("next").alias("_rel"), F.concat(F.lit("https://host/Feed?skiptoken="), (F.col("p") * 2 + F.col("versie")).cast("string")).alias("_href"))).alias("link"), "entry").alias("feed")))
+    page.select(F.to_xml("feed", {"rowTag": "feed"}).alias("value")).write.option("maxRecordsPerFile", 1).text(f"{root}/pages")
+    jobs.stream_feed(t.spark, f"{root}/pages", f"{root}/log", f"{root}/cursor", entities=("zaal",)).awaitTermination()
+    log = feed.entity_log(t.spark.read.parquet(f"{root}/log"), "zaal")
+    return conform_entity(log, {}, ENTITIES["zaal"]).select(F.lit("zaal").alias("tabel"), "id", "naam")
+
+
+@query("k2_high_water", """
+SELECT event_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'purchase' AND value < 20)""")
+def high_water(t: Tables):
+    target = t.events.where("event_type = 'purchase' AND value < 20").select("ts")
+    return M.increment(t.events.select("event_id", "ts"), target, "ts").select("event_id")
+
+
+@query("k3_retrigger", """
+WITH m AS (SELECT max(o_orderdate) AS m FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < DATE '1998-01-01')
+SELECT o_orderkey FROM orders, m WHERE o_orderdate > m OR EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_shipdate > m)""")
+def retrigger(t: Tables):
+    target = t.orders.where("o_orderstatus = 'F' AND o_orderdate < DATE '1998-01-01'").select("o_orderdate")
+    rows = t.orders.select("o_orderkey", "o_orderdate")
+    return M.retrigger(rows, target, "o_orderdate", "o_orderkey", t.lineitem, "l_orderkey", "l_shipdate").select("o_orderkey")
+
+
+_SOURCE = "SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE o_orderstatus END AS st, o_totalprice FROM orders WHERE o_orderdate >= DATE '1996-01-01'"
+_TARGET = "SELECT o_orderkey, o_orderstatus AS st, o_totalprice FROM orders WHERE o_orderdate < DATE '1998-01-01'"
+
+
+def _merge_sides(t: Tables):
+    target = t.orders.where("o_orderdate < DATE '1998-01-01'").select("o_orderkey", F.col("o_orderstatus").alias("st"), "o_totalprice")
+    status = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderstatus"))
+    return target, t.orders.where("o_orderdate >= DATE '1996-01-01'").select("o_orderkey", status.alias("st"), "o_totalprice")
+
+
+@query("k4_merge", f"""WITH s AS ({_SOURCE}), t AS ({_TARGET}), d AS (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50)
+SELECT o_orderkey, st, o_totalprice, CASE WHEN o_orderkey NOT IN (SELECT o_orderkey FROM t) THEN 'new' WHEN EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey AND t.st IS DISTINCT FROM s.st) THEN 'changed' ELSE 'same' END AS wat
+FROM s WHERE o_orderkey NOT IN (SELECT l_orderkey FROM d)
+UNION ALL SELECT o_orderkey, st, o_totalprice, 'same' FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) AND o_orderkey NOT IN (SELECT l_orderkey FROM d)""")
+def merge(t: Tables):
+    target, source = _merge_sides(t)
+    deleted = t.lineitem.where("l_quantity = 50").select(F.col("l_orderkey").alias("o_orderkey"))
+    return M.merge_versions(target, source, ["o_orderkey"], deleted, status="wat")
+
+
+@query("k4_merge_delete_missing", _SOURCE)
+def merge_missing(t: Tables):
+    target, source = _merge_sides(t)
+    return M.merge_versions(target, source, ["o_orderkey"], delete_missing=True)
+
+
+@query("k5_cascade", """
+WITH n AS (SELECT n_nationkey FROM nation WHERE n_regionkey = 1), c AS (SELECT c_custkey FROM customer WHERE c_nationkey IN (SELECT * FROM n)),
+o AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT * FROM c)), s AS (SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT * FROM n))
+SELECT 'customer' AS tabel, count(*) AS rijen FROM customer WHERE c_custkey NOT IN (SELECT * FROM c) UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT * FROM o) AND l_suppkey NOT IN (SELECT * FROM s)
+UNION ALL SELECT 'nation', count(*) FROM nation WHERE n_nationkey NOT IN (SELECT * FROM n) UNION ALL SELECT 'orders', count(*) FROM orders WHERE o_orderkey NOT IN (SELECT * FROM o)
+UNION ALL SELECT 'supplier', count(*) FROM supplier WHERE s_suppkey NOT IN (SELECT * FROM s)""")
+def cascade(t: Tables):
+    """Nations of one region are deleted with all customers, suppliers, orders and lines below."""
+    from plenaria.sources.files import catalog_counts
+
+    keys = [M.ForeignKey("customer", "c_nationkey", "nation", "n_nationkey"), M.ForeignKey("supplier", "s_nationkey", "nation", "n_nationkey"),
+            M.ForeignKey("orders", "o_custkey", "customer", "c_custkey"), M.ForeignKey("lineitem", "l_orderkey", "orders", "o_orderkey"), M.ForeignKey("lineitem", "l_suppkey", "supplier", "s_suppkey")]
+    frames = {"nation": t.nation, "customer": t.customer, "supplier": t.supplier, "orders": t.orders.select("o_orderkey", "o_custkey"), "lineitem": t.lineitem.select("l_orderkey", "l_suppkey")}
+    left = M.cascade_delete(frames, keys, "nation", t.nation.where("n_regionkey = 1").select("n_nationkey"), "n_nationkey",
+                            {"customer": "c_custkey", "supplier": "s_suppkey", "orders": "o_orderkey"})
+    return catalog_counts(left)
+
+
+@query("k6_stream_latest", f"""WITH {s.VERSIONS_SQL}
+SELECT id, _row_id AS row_id, event_type FROM versions QUALIFY row_number() OVER (PARTITION BY id ORDER BY bijgewerkt DESC, _row_id DESC) = 1""")
+def stream_latest(t: Tables):
+    """Versions arriving out of order in four batches give the same table as one batch run."""
+    root = scratch_path(t.spark, "k6")
+    rows = s.versions(t).withColumn("_row", F.xxhash64("_row_id"))
+    rows.repartition(4, "_row").drop("_row").write.parquet(f"{root}/landed")
+    landed = t.spark.read.parquet(f"{root}/landed")
+    source = t.spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+    jobs.stream_latest(t.spark, source, f"{root}/table", f"{root}/cursor", ["id"], ["bijgewerkt", "_row_id"]).awaitTermination()
+    return jobs.current_version(t.spark, f"{root}/table").select("id", F.col("_row_id").alias("row_id"), "event_type")
+
+
+@query("k6_batch_latest", f"""WITH {s.VERSIONS_SQL}
+SELECT id, bijgewerkt, value FROM versions WHERE event_type <> 'view' QUALIFY row_number() OVER (PARTITION BY id ORDER BY bijgewerkt DESC, _row_id DESC) = 1""")
+def batch_latest(t: Tables):
+    """A late batch merged into an earlier table: the newest version wins whatever came last."""
+    rows = s.versions(t).where("event_type <> 'view'")
+    early, late = rows.where("event_type = 'error'"), rows.where("event_type <> 'error'")
+    fresh = latest_version(late.unionByName(latest_version(early, ["id"], feed_order())), ["id"], feed_order())
+    return M.merge_versions(latest_version(early, ["id"], feed_order()), fresh, ["id"]).select("id", "bijgewerkt", "value")
