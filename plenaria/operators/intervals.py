@@ -93,13 +93,16 @@ def merge_intervals(members: DataFrame, keys: Sequence[str], start: str, end: st
 
 def count_active(events: DataFrame, members: DataFrame, keys: Sequence[str], at: str, start: str, end: str,
                  distinct: Sequence[str], out: str) -> DataFrame:
-    """How many distinct members of the event's key are active on the event's date.
+    """How many distinct, known members of the event's key are active on the event's date.
 
     Works from daily changes: +1 on the first day of a member's merged interval, -1 on the day
     after its last. The running total per key has at most one row per calendar day, and events
     pick it up with an equi-join, so no event is compared with the members one by one.
     """
-    merged = merge_intervals(members, [*keys, *distinct], start, end)
+    named = members
+    for c in distinct:
+        named = named.where(F.col(c).isNotNull())
+    merged = merge_intervals(named, [*keys, *distinct], start, end)
     changes = (merged.select(*keys, F.col(start).alias("_day"), F.lit(1).alias("_step"))
                .unionByName(merged.where(F.col(end).isNotNull())
                             .select(*keys, F.date_add(F.col(end), 1).alias("_day"), F.lit(-1).alias("_step")))

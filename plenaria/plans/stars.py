@@ -1,13 +1,14 @@
 """Star schemas per theme over the conformed tables.
 
-Every function takes the conformed tables by name and returns the star's tables by name; ``as_of``
-stands in for "today" so that results repeat.
+Every function takes the conformed tables by name and returns the star's tables by name, each
+built when it is first read; ``as_of`` stands in for "today" so that results repeat.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 from datetime import date, timedelta
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -23,6 +24,22 @@ from plenaria.sources.files import with_unknown
 Tables = Mapping[str, DataFrame]
 
 
+class StarTables(Mapping):
+    """Tables by name; a table's plan (and any keys it needs) is made on first access."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._builders = {name: cache(build) for name, build in builders.items()}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._builders[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def _pick(df: DataFrame, *columns: str, **renamed: str) -> DataFrame:
     """``renamed`` maps new name to source column."""
     return df.select(*[F.col(source).alias(name) for name, source in renamed.items()], *columns)
@@ -33,21 +50,23 @@ def _key(day: Column) -> Column:
 
 
 # ---- contacts and seats ------------------------------------------------------------------------
-def contacts(t: Tables, as_of: date) -> dict[str, DataFrame]:
+def contacts(t: Tables, as_of: date) -> StarTables:
     """Contact details and seat holdings with unknown members and surrogate keys."""
     info, persons, factions = t["persoon_contactinformatie"], t["persoon"], t["fractie"]
-    channel = dense_key(info.where(F.col("soort").isNotNull()), ["soort"], "channel_key")
-    kind = dense_key(info, ["soort", "waarde", "gewicht"], "soort_id")
+    channel = cache(lambda: dense_key(info.where(F.col("soort").isNotNull()), ["soort"], "channel_key"))
+    kind = cache(lambda: dense_key(info, ["soort", "waarde", "gewicht"], "soort_id"))
     seat = t["fractie_zetel_persoon"]
-    facts = (info.join(persons.select(F.col("id").alias("_p")), F.col("persoon_id") == F.col("_p"), "left")
-             .join(channel.select("channel_key", F.col("soort").alias("_kanaal")), F.col("soort") == F.col("_kanaal"), "left"))
-    facts = null_safe_join(facts, kind, ["soort", "waarde", "gewicht"])
-    facts = facts.select(
-        "gewijzigd_op", F.col("persoon_id").alias("_persoon"), F.col("id").alias("_id"),
-        F.coalesce("_p", F.lit("-1")).alias("persoon_id"),
-        calendar.day_or_unknown(F.col("gewijzigd_op").cast("date")).alias("date_key"),
-        F.coalesce("channel_key", F.lit(-1)).alias("channel_key"), F.coalesce("soort_id", F.lit(-1)).alias("soort_id"),
-        F.lit(1).alias("contact_count"))
+
+    def facts() -> DataFrame:
+        rows = (info.join(persons.select(F.col("id").alias("_p")), F.col("persoon_id") == F.col("_p"), "left")
+                .join(channel().select("channel_key", F.col("soort").alias("_kanaal")), F.col("soort") == F.col("_kanaal"), "left"))
+        return null_safe_join(rows, kind(), ["soort", "waarde", "gewicht"]).select(
+            "gewijzigd_op", F.col("persoon_id").alias("_persoon"), F.col("id").alias("_id"),
+            F.coalesce("_p", F.lit("-1")).alias("persoon_id"),
+            calendar.day_or_unknown(F.col("gewijzigd_op").cast("date")).alias("date_key"),
+            F.coalesce("channel_key", F.lit(-1)).alias("channel_key"), F.coalesce("soort_id", F.lit(-1)).alias("soort_id"),
+            F.lit(1).alias("contact_count"))
+
     contact_order = [F.col("gewijzigd_op").desc_nulls_last(), F.col("_persoon").asc_nulls_last(), F.col("_id").asc()]
     held = (seat.join(t["fractie_zetel"].select(F.col("id").alias("_z"), "fractie_id", F.col("gewicht").alias("zetel_gewicht")),
                       F.col("fractie_zetel_id") == F.col("_z"), "left")
@@ -59,24 +78,24 @@ def contacts(t: Tables, as_of: date) -> dict[str, DataFrame]:
         F.col("_z").alias("fractie_zetel_id"), "zetel_gewicht", "functie",
         days_between(F.col("van"), close_interval(F.col("tot_en_met"), as_of)).alias("aantal_dagen"), F.lit(1).alias("zetel_count"))
     dates = calendar.calendar_over([(info, ["gewijzigd_op"]), (seat, ["van", "tot_en_met"])], [], [as_of])
-    return {
-        "dim_persoon": with_unknown(_pick(persons, "nummer", "titels", "voornamen", "tussenvoegsel", "achternaam", "roepnaam", "geslacht",
+    return StarTables({
+        "dim_persoon": lambda: with_unknown(_pick(persons, "nummer", "titels", "voornamen", "tussenvoegsel", "achternaam", "roepnaam", "geslacht",
                                           "initialen", "functie", "fractielabel", "geboortedatum", "overlijdensdatum", persoon_id="id"),
                                     persoon_id="-1", achternaam="Onbekend"),
-        "dim_fractie": with_unknown(_pick(factions, "nummer", "afkorting", "naam_nl", "naam_en", "aantal_zetels", "aantal_stemmen",
+        "dim_fractie": lambda: with_unknown(_pick(factions, "nummer", "afkorting", "naam_nl", "naam_en", "aantal_zetels", "aantal_stemmen",
                                           "datum_actief", "datum_inactief", "logo_url", fractie_id="id"),
                                     fractie_id="-1", naam_nl="Onbekend", naam_en="Unknown"),
-        "dim_kanaal": with_unknown(_pick(channel, "channel_key", kanaal="soort"), channel_key=-1, kanaal="Onbekend"),
-        "dim_soort": with_unknown(kind.select("soort_id", "waarde", "soort", "gewicht"), soort_id=-1, waarde="Onbekend", soort="Onbekend"),
-        "dim_datum": calendar.with_special_days(dates),
-        "fact_contactgegevens_persoon": surrogate_key(facts, contact_order, "contactgegeven_persoon_key").drop("gewijzigd_op", "_persoon", "_id"),
-        "fact_fractie_zetel_persoon": surrogate_key(held, [F.col("van").desc_nulls_last(), F.col("id").asc()],
+        "dim_kanaal": lambda: with_unknown(_pick(channel(), "channel_key", kanaal="soort"), channel_key=-1, kanaal="Onbekend"),
+        "dim_soort": lambda: with_unknown(kind().select("soort_id", "waarde", "soort", "gewicht"), soort_id=-1, waarde="Onbekend", soort="Onbekend"),
+        "dim_datum": lambda: calendar.with_special_days(dates),
+        "fact_contactgegevens_persoon": lambda: surrogate_key(facts(), contact_order, "contactgegeven_persoon_key").drop("gewijzigd_op", "_persoon", "_id"),
+        "fact_fractie_zetel_persoon": lambda: surrogate_key(held, [F.col("van").desc_nulls_last(), F.col("id").asc()],
                                                     "fractie_zetel_persoon_key").drop("van", "id"),
-    }
+    })
 
 
 # ---- documents ---------------------------------------------------------------------------------
-def documents(t: Tables) -> dict[str, DataFrame]:
+def documents(t: Tables) -> StarTables:
     """Publication facts, citations and their dimensions."""
     doc = t["document"]
     version = t["document_versie"].select(F.col("id").alias("_v"), "bestandsgrootte", "versienummer")
@@ -97,33 +116,33 @@ def documents(t: Tables) -> dict[str, DataFrame]:
         return df.where(F.col(column).isNotNull()).select(column).distinct()
 
     parts = ["jaar", "maand", "dag", "kwartaal", "weeknummer", "dagnaam", "dagnr"]
-    return {
-        "fact_document_publicatie": publication, "fact_bronvermelding": citation,
-        "dim_documentsoort": values(doc, "soort"), "dim_documenttype": values(publication, "document_type"),
-        "dim_organisatie": values(doc, "organisatie"), "dim_document": _pick(doc, "titel", document_id="id"),
-        "dim_tijd": calendar.calendar_over([(publication, ["datum", "publicatiedatum"])], parts),
-    }
+    return StarTables({
+        "fact_document_publicatie": lambda: publication, "fact_bronvermelding": lambda: citation,
+        "dim_documentsoort": lambda: values(doc, "soort"), "dim_documenttype": lambda: values(publication, "document_type"),
+        "dim_organisatie": lambda: values(doc, "organisatie"), "dim_document": lambda: _pick(doc, "titel", document_id="id"),
+        "dim_tijd": lambda: calendar.calendar_over([(publication, ["datum", "publicatiedatum"])], parts),
+    })
 
 
 # ---- seats over time ---------------------------------------------------------------------------
-def seat_history(t: Tables, as_of: date, first: int = 2000, last: int = 2026) -> dict[str, DataFrame]:
+def seat_history(t: Tables, as_of: date, first: int = 2000, last: int = 2026) -> StarTables:
     """Seat changes and the yearly seat picture."""
     members = seats.memberships(t["fractie_zetel_persoon"], t["fractie_zetel"], t["fractie"])
     changes = seats.seat_changes(members, as_of).withColumnRenamed("datum", "datum_id").withColumnRenamed("fractie", "fractie_norm")
     order = [F.col("datum_id").asc(), F.col("persoon_id").asc_nulls_last(), F.col("fractie_id").asc(), F.col("event_type").asc()]
     yearly = seats.yearly_seats(members, first, last).withColumnRenamed("fractie", "fractie_norm")
-    return {
-        "dim_persoon": t["persoon"].select("id", "roepnaam", "voornamen", "tussenvoegsel", "achternaam", "geslacht", "geboortedatum", "fractielabel"),
-        "dim_fractie": t["fractie"].select("id", "afkorting", "naam_nl", classifiers.normalise_faction(F.col("afkorting")).alias("fractie_norm"),
+    return StarTables({
+        "dim_persoon": lambda: t["persoon"].select("id", "roepnaam", "voornamen", "tussenvoegsel", "achternaam", "geslacht", "geboortedatum", "fractielabel"),
+        "dim_fractie": lambda: t["fractie"].select("id", "afkorting", "naam_nl", classifiers.normalise_faction(F.col("afkorting")).alias("fractie_norm"),
                                            "aantal_zetels", "datum_actief", "datum_inactief", seats.existence_years(as_of).alias("jaren_bestaan")),
-        "fact_zetelwisseling": surrogate_key(changes, order, "event_id"),
-        "agg_zetelbeeld_per_jaar": yearly,
-        "dim_tijd": calendar.calendar_over([(members, ["van", "tot_en_met"])], ["jaar", "maand", "maandnaam", "vergaderjaar"]),
-    }
+        "fact_zetelwisseling": lambda: surrogate_key(changes, order, "event_id"),
+        "agg_zetelbeeld_per_jaar": lambda: yearly,
+        "dim_tijd": lambda: calendar.calendar_over([(members, ["van", "tot_en_met"])], ["jaar", "maand", "maandnaam", "vergaderjaar"]),
+    })
 
 
 # ---- committees --------------------------------------------------------------------------------
-def committees(t: Tables, as_of: date, since: date = date(2024, 1, 1)) -> dict[str, DataFrame]:
+def committees(t: Tables, as_of: date, since: date = date(2024, 1, 1)) -> StarTables:
     """Sittings, vacancies, activities and cases of committees."""
     seat = t["commissie_zetel"].select(F.col("id").alias("commissie_zetel_id"), "commissie_id")
     now = F.lit(as_of)
@@ -150,21 +169,21 @@ def committees(t: Tables, as_of: date, since: date = date(2024, 1, 1)) -> dict[s
         F.col("id").alias("commissie_id"), "naam_nl", "afkorting", "soort", classifiers.committee_type_star(F.col("naam_nl")).alias("commissietype"),
         "datum_actief", "datum_inactief", (F.col("datum_inactief").isNull() | (F.col("datum_inactief") > now)).alias("is_actief"),
         F.coalesce("_n", F.lit(0)).alias("aantal_zetels"))
-    return {
-        "fact_commissie_zitting": period(persons, "dagen_zitting", "is_huidig", "zitting_id", "persoon_id", "functie"),
-        "fact_commissie_vacature": period(t["commissie_zetel_vast_vacature"], "dagen_open", "is_open", "vacature_id", "fractie_id"),
-        "fact_commissie_activiteit": activities, "fact_commissie_zaak": cases, "dim_commissie": dim,
-        "dim_persoon": linked(t["persoon"], "id", persons, "persoon_id").select(
+    return StarTables({
+        "fact_commissie_zitting": lambda: period(persons, "dagen_zitting", "is_huidig", "zitting_id", "persoon_id", "functie"),
+        "fact_commissie_vacature": lambda: period(t["commissie_zetel_vast_vacature"], "dagen_open", "is_open", "vacature_id", "fractie_id"),
+        "fact_commissie_activiteit": lambda: activities, "fact_commissie_zaak": lambda: cases, "dim_commissie": lambda: dim,
+        "dim_persoon": lambda: linked(t["persoon"], "id", persons, "persoon_id").select(
             F.col("id").alias("persoon_id"), "achternaam", "geslacht", "geboortedatum", year_boundaries(F.col("geboortedatum"), now).alias("leeftijd")),
-        "dim_fractie": _pick(t["fractie"], "afkorting", "naam_nl", fractie_id="id"),
-        "dim_zaak": linked(t["zaak"], "id", cases, "zaak_id").select(
+        "dim_fractie": lambda: _pick(t["fractie"], "afkorting", "naam_nl", fractie_id="id"),
+        "dim_zaak": lambda: linked(t["zaak"], "id", cases, "zaak_id").select(
             F.col("id").alias("zaak_id"), "soort", F.substring("onderwerp", 1, 100).alias("onderwerp"), "status", "afgedaan"),
-        "dim_datum": calendar.calendar(persons.sparkSession, date(2020, 1, 1), date(2030, 12, 31), ["datum_id", "jaar", "kwartaal", "maand"]),
-    }
+        "dim_datum": lambda: calendar.calendar(persons.sparkSession, date(2020, 1, 1), date(2030, 12, 31), ["datum_id", "jaar", "kwartaal", "maand"]),
+    })
 
 
 # ---- decisions ---------------------------------------------------------------------------------
-def decisions(t: Tables) -> dict[str, DataFrame]:
+def decisions(t: Tables) -> StarTables:
     """Activities with their decisions and cases."""
     activity = t["activiteit"]
     minutes = minutes_between(F.col("aanvangstijd"), F.col("eindtijd")).alias("duur_minuten")
@@ -173,22 +192,22 @@ def decisions(t: Tables) -> dict[str, DataFrame]:
              .join(t["besluit"].select(F.col("id").alias("besluit_id"), F.col("agendapunt_id").alias("_bap")), F.col("_ap") == F.col("_bap"), "left")
              .join(t["besluit_zaak"].select(F.col("besluit_id").alias("_b"), F.col("zaak_id").alias("_z")), F.col("besluit_id") == F.col("_b"), "left")
              .join(t["zaak"].select(F.col("id").alias("zaak_id")), F.col("_z") == F.col("zaak_id"), "left"))
-    return {
-        "bridge_besluit_zaak": t["besluit_zaak"].select("besluit_id", "zaak_id"),
-        "bridge_zaak_actor": _pick(t["zaak_actor"], "zaak_id", "fractie_id", "actor_naam", "actor_fractie", "relatie", zaak_actor_id="id"),
-        "dim_activiteit": _pick(activity, "soort", "onderwerp", "datum", "datum_soort", "aanvangstijd", "eindtijd", activiteit_id="id"),
-        "dim_besluit": t["besluit"].select(F.col("id").alias("besluit_id"), "stemmings_soort", "besluit_soort",
+    return StarTables({
+        "bridge_besluit_zaak": lambda: t["besluit_zaak"].select("besluit_id", "zaak_id"),
+        "bridge_zaak_actor": lambda: _pick(t["zaak_actor"], "zaak_id", "fractie_id", "actor_naam", "actor_fractie", "relatie", zaak_actor_id="id"),
+        "dim_activiteit": lambda: _pick(activity, "soort", "onderwerp", "datum", "datum_soort", "aanvangstijd", "eindtijd", activiteit_id="id"),
+        "dim_besluit": lambda: t["besluit"].select(F.col("id").alias("besluit_id"), "stemmings_soort", "besluit_soort",
                                            classifiers.outcome_by_like(F.col("besluit_soort")).alias("uitkomst")),
-        "dim_fractie": t["fractie"].select(F.col("id").alias("fractie_id"), "afkorting", "naam_nl",
+        "dim_fractie": lambda: t["fractie"].select(F.col("id").alias("fractie_id"), "afkorting", "naam_nl",
                                            classifiers.normalise_faction(F.col("afkorting")).alias("fractie_norm"), "datum_actief", "datum_inactief"),
-        "dim_zaak": _pick(t["zaak"], "soort", "onderwerp", zaak_id="id"),
-        "fact_activiteit": activity.select(F.col("id").alias("activiteit_id"), "datum", "datum_soort", minutes),
-        "fact_activiteit_besluit": chain.select("activiteit_id", "zaak_id", "besluit_id", "duur_minuten"),
-    }
+        "dim_zaak": lambda: _pick(t["zaak"], "soort", "onderwerp", zaak_id="id"),
+        "fact_activiteit": lambda: activity.select(F.col("id").alias("activiteit_id"), "datum", "datum_soort", minutes),
+        "fact_activiteit_besluit": lambda: chain.select("activiteit_id", "zaak_id", "besluit_id", "duur_minuten"),
+    })
 
 
 # ---- votes -------------------------------------------------------------------------------------
-def votes(t: Tables, first: date = date(2024, 1, 1), until: date = date(2025, 1, 1)) -> dict[str, DataFrame]:
+def votes(t: Tables, first: date = date(2024, 1, 1), until: date = date(2025, 1, 1)) -> StarTables:
     """Votes of one period with dimensions trimmed to them."""
     meeting = (t["besluit"].select(F.col("id").alias("besluit_id"), "agendapunt_id", "besluit_soort", "stemmings_soort", "status")
                .join(t["agendapunt"].select(F.col("id").alias("agendapunt_id"), "activiteit_id", F.col("onderwerp").alias("agendapunt_onderwerp")), "agendapunt_id")
@@ -197,35 +216,35 @@ def votes(t: Tables, first: date = date(2024, 1, 1), until: date = date(2025, 1,
     fact = t["stemming"].join(meeting.select("besluit_id", "datum"), "besluit_id").select(
         F.col("id").alias("stemming_id"), "besluit_id", "fractie_id", "persoon_id", "datum", "soort", "fractie_grootte", "vergissing")
     bridge = linked(t["besluit_zaak"], "besluit_id", fact).select("besluit_id", "zaak_id")
-    return {
-        "fact_stemming": fact,
-        "dim_fractie": linked(_pick(t["fractie"], "naam_nl", "afkorting", "datum_actief", "datum_inactief", "aantal_zetels", fractie_id="id"), "fractie_id", fact),
-        "dim_persoon": linked(_pick(t["persoon"], "achternaam", "roepnaam", "geslacht", "geboortedatum", "functie", persoon_id="id"), "persoon_id", fact),
-        "dim_besluit": linked(meeting, "besluit_id", fact).select(
+    return StarTables({
+        "fact_stemming": lambda: fact,
+        "dim_fractie": lambda: linked(_pick(t["fractie"], "naam_nl", "afkorting", "datum_actief", "datum_inactief", "aantal_zetels", fractie_id="id"), "fractie_id", fact),
+        "dim_persoon": lambda: linked(_pick(t["persoon"], "achternaam", "roepnaam", "geslacht", "geboortedatum", "functie", persoon_id="id"), "persoon_id", fact),
+        "dim_besluit": lambda: linked(meeting, "besluit_id", fact).select(
             "besluit_id", "besluit_soort", "stemmings_soort", "status", "agendapunt_onderwerp", "activiteit_soort", "kamer"),
-        "dim_zaak": linked(_pick(t["zaak"], "onderwerp", "titel", "status", "afgedaan", "gestart_op", zaak_id="id", zaak_soort="soort"), "zaak_id", bridge),
-        "brug_besluit_zaak": bridge,
-        "dim_datum": calendar.calendar(fact.sparkSession, first, until - timedelta(days=1), ["jaar", "maand", "jaar_maand", "dagnr"]),
-    }
+        "dim_zaak": lambda: linked(_pick(t["zaak"], "onderwerp", "titel", "status", "afgedaan", "gestart_op", zaak_id="id", zaak_soort="soort"), "zaak_id", bridge),
+        "brug_besluit_zaak": lambda: bridge,
+        "dim_datum": lambda: calendar.calendar(fact.sparkSession, first, until - timedelta(days=1), ["jaar", "maand", "jaar_maand", "dagnr"]),
+    })
 
 
 # ---- income, travel, legislation, planning -----------------------------------------------------
-def income(t: Tables) -> dict[str, DataFrame]:
+def income(t: Tables) -> StarTables:
     """Side-job income per year and faction."""
     jobs = t["persoon_nevenfunctie"]
     rows = t["persoon_nevenfunctie_inkomsten"].join(
         jobs.select(F.col("id").alias("persoon_nevenfunctie_id"), "persoon_id"), "persoon_nevenfunctie_id")
     members = seats.memberships(t["fractie_zetel_persoon"], t["fractie_zetel"], t["fractie"])
-    return {
-        "feit_inkomen": people.income_facts(rows.withColumnRenamed("persoon_nevenfunctie_id", "nevenfunctie_id"), members),
-        "dim_nevenfunctie": _pick(jobs, "omschrijving", nevenfunctie_id="id", vergoedingssoort="vergoeding_soort"),
-        "dim_persoon": _pick(t["persoon"], "voornamen", "achternaam", persoon_id="id"),
-        "dim_fractie": t["fractie"].select(F.col("id").alias("fractie_id"), classifiers.normalise_faction_name(F.col("naam_nl")).alias("fractienaam"),
+    return StarTables({
+        "feit_inkomen": lambda: people.income_facts(rows.withColumnRenamed("persoon_nevenfunctie_id", "nevenfunctie_id"), members),
+        "dim_nevenfunctie": lambda: _pick(jobs, "omschrijving", nevenfunctie_id="id", vergoedingssoort="vergoeding_soort"),
+        "dim_persoon": lambda: _pick(t["persoon"], "voornamen", "achternaam", persoon_id="id"),
+        "dim_fractie": lambda: t["fractie"].select(F.col("id").alias("fractie_id"), classifiers.normalise_faction_name(F.col("naam_nl")).alias("fractienaam"),
                                            F.col("datum_actief").alias("opgericht_datum")),
-    }
+    })
 
 
-def travel(t: Tables, as_of: date) -> dict[str, DataFrame]:
+def travel(t: Tables, as_of: date) -> StarTables:
     """Trips and gifts with the faction held on their day. A seat without end runs to ``as_of``."""
     members = seats.memberships(t["fractie_zetel_persoon"], t["fractie_zetel"], t["fractie"]).withColumn(
         "tot_en_met", close_interval(F.col("tot_en_met"), as_of))
@@ -234,34 +253,34 @@ def travel(t: Tables, as_of: date) -> dict[str, DataFrame]:
     gifts = t["persoon_geschenk"].select("id", "persoon_id", "datum", "gewicht", "omschrijving")
     held = people.with_party_on_day(trips, members, "van", "afkorting").withColumnRenamed("fractie_op_dag", "fractielabel")
     grouped = held.groupBy(*held.columns).agg(F.sum(days_between(F.col("van"), F.col("tot_en_met"))).alias("reisduur"))
-    return {
-        "gold_fact_reis": grouped.join(person, "persoon_id"),
-        "gold_fact_geschenk": people.with_party_on_day(gifts, members, "datum", "afkorting").withColumnRenamed("fractie_op_dag", "afkorting").join(person, "persoon_id"),
-    }
+    return StarTables({
+        "gold_fact_reis": lambda: grouped.join(person, "persoon_id"),
+        "gold_fact_geschenk": lambda: people.with_party_on_day(gifts, members, "datum", "afkorting").withColumnRenamed("fractie_op_dag", "afkorting").join(person, "persoon_id"),
+    })
 
 
-def legislation(t: Tables, sample: int = 500) -> dict[str, DataFrame]:
+def legislation(t: Tables, sample: int = 500) -> StarTables:
     """A repeatable sample of dossiers with their documents, actors and factions."""
     from plenaria.operators.sampling import smallest_hashes
 
     dossiers = smallest_hashes(t["kamerstukdossier"], F.col("id"), sample).select("id", "titel", "nummer", "toevoeging", "kamer")
     docs = linked(t["document"], "kamerstukdossier_id", dossiers, "id").select(
         "id", "kamerstukdossier_id", "document_nummer", "titel", "soort", "vergaderjaar", "datum", "datum_registratie", "datum_ontvangst")
-    return {"kamerstukdossier": dossiers, "document": docs,
-            "document_actor": linked(t["document_actor"], "document_id", docs, "id").select("document_id", "fractie_id", "relatie"),
-            "fractie": linked(t["fractie"], "id", t["document_actor"], "fractie_id").select("id", "afkorting")}
+    return StarTables({"kamerstukdossier": lambda: dossiers, "document": lambda: docs,
+            "document_actor": lambda: linked(t["document_actor"], "document_id", docs, "id").select("document_id", "fractie_id", "relatie"),
+            "fractie": lambda: linked(t["fractie"], "id", t["document_actor"], "fractie_id").select("id", "afkorting")})
 
 
-def planning(t: Tables) -> dict[str, DataFrame]:
+def planning(t: Tables) -> StarTables:
     """Room reservations with activity and room."""
     activity = t["activiteit"].select(F.col("id").alias("activiteit_id"), "datum", F.col("soort").alias("activiteitssoort"),
                                       F.col("onderwerp").alias("activiteit"), "status", "besloten")
     room = t["zaal"].select(F.col("id").alias("zaal_id"), F.col("naam").alias("vergaderzaal"))
     rows = t["reservering"].select(F.col("id").alias("reservering_id"), "activiteit_id", "zaal_id").join(activity, "activiteit_id", "left")
-    return {"planning": rows.join(room, "zaal_id", "left").drop("zaal_id")}
+    return StarTables({"planning": lambda: rows.join(room, "zaal_id", "left").drop("zaal_id")})
 
 
-def careers(t: Tables, staging: Tables, as_of: date) -> dict[str, DataFrame]:
+def careers(t: Tables, staging: Tables, as_of: date) -> StarTables:
     """Education, career and person dimension.
 
     ``staging`` holds ``correcties, plaats, onderwijs, loopbaan, register``: corrections, place
@@ -282,13 +301,13 @@ def careers(t: Tables, staging: Tables, as_of: date) -> dict[str, DataFrame]:
     places = staging["plaats"].select(
         F.col("id").alias("persoon_id"), "geboorte_gemeentecode", F.coalesce(norm("plaats_status"), F.lit("niet bepaald")).alias("geboorte_status"),
         "woon_gemeentecode", F.coalesce(norm("woon_status"), F.lit("niet bepaald")).alias("woon_status"))
-    return {
-        "dim_gemeente": register.select(*[F.trim(F.col(c)).alias(n) for c, n in (
+    return StarTables({
+        "dim_gemeente": lambda: register.select(*[F.trim(F.col(c)).alias(n) for c, n in (
             ("Code_3", "gemeentecode"), ("Naam_2", "gemeente"), ("Code_5", "provinciecode"), ("Naam_4", "provincie"), ("Naam_6", "landsdeel"))]).distinct(),
-        "dim_opleidingsniveau": people.levels_table(spark), "dim_sector": people.sectors_table(spark),
-        "dim_fractie": _pick(t["fractie"], "afkorting", "naam_nl", fractie_id="id"), "dim_jaar": calendar.year_dimension(spark),
-        "fact_opleiding": education.select(F.col("id").alias("opleiding_id"), "persoon_id", F.col("categorie").alias("niveau"), F.col("bron").alias("niveau_bron"),
+        "dim_opleidingsniveau": lambda: people.levels_table(spark), "dim_sector": lambda: people.sectors_table(spark),
+        "dim_fractie": lambda: _pick(t["fractie"], "afkorting", "naam_nl", fractie_id="id"), "dim_jaar": lambda: calendar.year_dimension(spark),
+        "fact_opleiding": lambda: education.select(F.col("id").alias("opleiding_id"), "persoon_id", F.col("categorie").alias("niveau"), F.col("bron").alias("niveau_bron"),
                                            F.col("status").alias("voltooid_status"), (F.col("status") == "voltooid").alias("is_voltooid"), *years, "instelling"),
-        "fact_loopbaan": career.select(F.col("id").alias("loopbaan_id"), "persoon_id", "sector", *years, "functie", "werkgever"),
-        "dim_persoon": people.person_dimension(t["persoon"], staging["correcties"], members, education, career, places, as_of),
-    }
+        "fact_loopbaan": lambda: career.select(F.col("id").alias("loopbaan_id"), "persoon_id", "sector", *years, "functie", "werkgever"),
+        "dim_persoon": lambda: people.person_dimension(t["persoon"], staging["correcties"], members, education, career, places, as_of),
+    })
