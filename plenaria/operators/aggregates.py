@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plenaria.functions.numbers import percentage
+from plenaria.operators.sizing import broadcast_if_small
+from plenaria.session import checkpoint
 
 
 def argmax_by(df: DataFrame, group: Sequence[str], value: str, weight: Column, out: str | None = None) -> DataFrame:
@@ -74,15 +76,15 @@ def quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Mapping[st
                  (F.col("_min") if p <= slack else F.col("_b")[2 * i]).alias("lo"),
                  (F.col("_max") if p >= 1 - slack else F.col("_b")[2 * i + 1]).alias("hi"))
         for i, p in enumerate(probs.values())])
-    bounds = sketch.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_rows", targets.alias("_targets"))
+    bounds = sketch.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.struct("_rows", targets.alias("targets")).alias("_spot"))
     if group:
         condition = F.lit(True)
         for g in group:
             condition = condition & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-        paired = rows.join(bounds, condition)
+        paired = rows.join(broadcast_if_small(checkpoint(bounds)), condition)
     else:
-        paired = rows.select("_v", bounds.select("_targets").scalar().alias("_targets"),
-                             bounds.select("_rows").scalar().alias("_rows"))
+        paired = rows.withColumn("_spot", bounds.scalar())
+    paired = paired.select(*group, "_v", F.col("_spot._rows").alias("_rows"), F.col("_spot.targets").alias("_targets"))
     spread = (paired.select(*group, "_v", "_rows", F.explode("_targets").alias("_t"))
               .where(F.col("_v") <= F.col("_t.hi"))
               .withColumn("_kept", F.when(F.col("_v") >= F.col("_t.lo"), F.col("_v"))))
@@ -115,7 +117,8 @@ def describe(df: DataFrame, group: Sequence[str], value: str, probs: Mapping[str
         F.min(value).alias("min"), F.max(value).alias("max"))
     spots = quantiles(df, group, value, probs, few_values)
     if not group:
-        return base.select("*", *[spots.select(p).scalar().alias(p) for p in probs])
+        found = spots.select(F.struct(*probs).alias("q")).scalar()
+        return base.select("*", *[found[p].alias(p) for p in probs])
     return base.join(spots, list(group), "left")
 
 
@@ -151,9 +154,9 @@ def drop_last_group(df: DataFrame, key: str) -> DataFrame:
 def iqr_filter(df: DataFrame, value: str, k: float = 1.5, few_values: bool = False) -> DataFrame:
     """Rows strictly inside the quartile fences."""
     q = quantiles(df, [], value, {"q1": 0.25, "q3": 0.75}, few_values)
-    reach = q.select((F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lo"),
-                     (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("hi"))
-    return df.where((F.col(value) > reach.select("lo").scalar()) & (F.col(value) < reach.select("hi").scalar()))
+    reach = q.select(F.struct((F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lo"),
+                              (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("hi")).alias("fences")).scalar()
+    return df.where((F.col(value) > reach["lo"]) & (F.col(value) < reach["hi"]))
 
 
 def quantile_cut(df: DataFrame, value: str, prob: float, few_values: bool = False) -> DataFrame:

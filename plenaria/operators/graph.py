@@ -15,8 +15,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
     that label, which halves long chains. Rounds end when no label changes. Isolated nodes keep
     their own label.
     """
-    both = checkpoint(edges.select(F.col(a).alias("_from"), F.col(b).alias("_to"))
-                      .unionByName(edges.select(F.col(b).alias("_from"), F.col(a).alias("_to"))).distinct())
+    ends = F.array(F.struct(F.col(a).alias("_from"), F.col(b).alias("_to")), F.struct(F.col(b).alias("_from"), F.col(a).alias("_to")))
+    both = checkpoint(edges.select(F.explode(ends).alias("_e")).select("_e.*").distinct())
     labels = checkpoint(nodes.select(F.col(node).alias("_node")).distinct().withColumn("_label", F.col("_node")))
     while True:
         offered = (both.join(labels, F.col("_to") == F.col("_node"))

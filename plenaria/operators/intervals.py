@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -15,17 +16,18 @@ def _slot(day: Column, width: int) -> Column:
 
 def interval_join(points: DataFrame, members: DataFrame, keys: Sequence[str], at: str, start: str, end: str,
                   how: str = "inner", slot_days: int = DAYS_PER_SLOT, on_overlap: str = "all",
-                  row_key: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
+                  row_key: Sequence[str] = (), order: Sequence[str] = (), until: date | None = None) -> DataFrame:
     """Attach to each dated row the interval rows of the same key that cover its date.
 
     Intervals are spread over slots of ``slot_days`` days and joined on key and slot, so the rows
     of one key divide over its slots and a date is compared with the intervals near it only.
-    Each row has one slot, so no match appears twice. Open ends run to the last date in ``points``.
+    Each row has one slot, so no match appears twice. Open ends run to ``until``, by default the
+    last date in ``points`` (one scan of that column); later dates than ``until`` match nothing open.
     ``on_overlap='latest'`` keeps, per ``row_key``, only the interval that started last (ties:
     highest ``order``).
     Column names of the two inputs must differ except for ``keys``.
     """
-    last_day = points.agg(F.max(at).alias("_last")).scalar()
+    last_day = points.agg(F.max(at).alias("_last")).scalar() if until is None else F.lit(until)
     stop = F.least(F.coalesce(F.col(end), last_day), last_day)
     spread = (members.withColumn("_stop", stop)
               .where(F.col(start) <= F.col("_stop"))

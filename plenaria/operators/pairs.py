@@ -1,59 +1,64 @@
-"""How often two items meet in the same group, without building the pairs of a group."""
+"""How often two items meet in the same group, without making a row per pair."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-BLOCK = 64
 MAX_ITEMS = 5000
+# cells of the dense group-by-item matrix that one task multiplies at a time
+MATRIX_CELLS = 8_000_000
 
 
 def co_occurrence(df: DataFrame, group: str, item: str, sign: str | None = None,
                   items: Sequence | None = None) -> DataFrame:
     """Columns ``a, b, samen[, gelijk]`` for items ``a < b`` that share a group.
 
-    ``samen`` counts shared groups. With ``sign`` (+1 or -1 per group and item) ``gelijk`` counts
-    the groups in which both signs agree. Items are the columns of a matrix (factions: dozens);
-    each (group, item) row is multiplied with its group's row of that matrix and summed straight
-    into partial aggregates, so no row per pair is made. Wide item lists run in column blocks.
+    ``samen`` counts shared groups. With ``sign`` (+1 or -1, one per group and item) ``gelijk``
+    counts the groups in which both signs agree. Items are the columns of a matrix with a row per
+    group (factions: dozens, at most ``MAX_ITEMS``). Each task multiplies the matrix of its own
+    groups with itself and passes on one small table of sums; a group holds each item once.
     """
     base = df.select(F.col(group).alias("_g"), F.col(item).alias("_i"),
-                     (F.lit(1) if sign is None else F.col(sign)).alias("_s")).where("_g is not null and _i is not null")
+                     (F.lit(1) if sign is None else F.col(sign)).cast("int").alias("_s")).where("_g is not null and _i is not null")
     if items is None:
         found = base.select("_i").distinct().limit(MAX_ITEMS + 1).collect()
         if len(found) > MAX_ITEMS:
-            raise ValueError(f"more than {MAX_ITEMS} items: not a column set, aggregate them to fewer first")
+            raise ValueError(f"more than {MAX_ITEMS} items: merge them into fewer first")
         items = sorted(r[0] for r in found)
-    items = list(items)
-    result = None
-    for at in range(0, len(items), BLOCK):
-        part = _block(base, items, items[at:at + BLOCK], sign is not None)
-        result = part if result is None else result.unionByName(part)
-    return result
-
-
-def _block(base: DataFrame, items: list, columns: list, signed: bool) -> DataFrame:
-    wide = base.groupBy("_g").agg(
-        *[F.max(F.when(F.col("_i") == F.lit(c), F.col("_s"))).alias(f"_c{n}") for n, c in enumerate(columns)])
-    if columns == items:
-        # the whole matrix is one block: read the items back from its columns, no join needed
-        cells = F.array(*[F.struct(F.lit(c).alias("item"), F.col(f"_c{n}").alias("s")) for n, c in enumerate(columns)])
-        long = wide.withColumn("_x", F.explode(cells)).where("_x.s is not null").withColumn(
-            "_i", F.col("_x.item")).withColumn("_s", F.col("_x.s"))
-    else:
-        rows = base.groupBy("_g", "_i").agg(F.max("_s").alias("_s"))
-        long = rows.join(wide, "_g")
-    sums = []
-    for n in range(len(columns)):
-        sums.append(F.count(F.col(f"_c{n}")).alias(f"_n{n}"))
-        if signed:
-            sums.append(F.sum(F.col("_s") * F.col(f"_c{n}")).alias(f"_d{n}"))
-    totals = long.groupBy("_i").agg(*sums)
-    measures = F.array(*[
-        F.struct(F.lit(c).alias("b"), F.col(f"_n{n}").alias("samen"),
-                 *([((F.col(f"_n{n}") + F.col(f"_d{n}")) / 2).cast("bigint").alias("gelijk")] if signed else []))
-        for n, c in enumerate(columns)])
-    return (totals.select(F.col("_i").alias("a"), F.explode(measures).alias("_m")).select("a", "_m.*")
-            .where((F.col("a") < F.col("b")) & (F.col("samen") > 0)))
+    width, kind = len(items), df.schema[item].dataType.simpleString()
+    index = df.sparkSession.createDataFrame([(n, v) for n, v in enumerate(items)], f"_n int, _v {kind}")
+    # the index has at most MAX_ITEMS rows
+    numbered = base.join(F.broadcast(index), F.col("_i") == F.col("_v"))
+    cells = numbered.groupBy("_g").agg(F.collect_set(F.struct("_n", "_s")).alias("cells")).select("cells")
+    sums = cells.mapInArrow(lambda batches: _multiply(batches, width), "a int, b int, samen bigint, som bigint")
+    totals = sums.groupBy("a", "b").agg(F.sum("samen").alias("samen"), F.sum("som").alias("som"))
+    named = (totals.join(F.broadcast(index.select(F.col("_n").alias("a"), F.col("_v").alias("_a"))), "a")
+             .join(F.broadcast(index.select(F.col("_n").alias("b"), F.col("_v").alias("_b"))), "b"))
+    measures = [] if sign is None else [((F.col("samen") + F.col("som")) / 2).cast("bigint").alias("gelijk")]
+    return named.select(F.col("_a").alias("a"), F.col("_b").alias("b"), "samen", *measures)
+
+
+def _multiply(batches: Iterator, width: int) -> Iterator:
+    """Sums of one task: shared groups and sign products per item pair."""
+    import numpy as np
+    import pyarrow as pa
+
+    together = np.zeros((width, width), dtype=np.int64)
+    product = np.zeros((width, width), dtype=np.int64)
+    step = max(1, MATRIX_CELLS // max(width, 1))
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            lists = batch.column(0).slice(start, step)
+            flat = lists.flatten()
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            matrix = np.zeros((len(lists), width), dtype=np.float32)
+            matrix[row, flat.field(0).to_numpy()] = flat.field(1).to_numpy()
+            present = (matrix != 0).astype(np.float32)
+            together += (present.T @ present).astype(np.int64)
+            product += (matrix.T @ matrix).astype(np.int64)
+    a, b = np.nonzero(np.triu(together, 1))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(together[a, b]), pa.array(product[a, b])],
+        names=["a", "b", "samen", "som"])

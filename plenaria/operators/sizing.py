@@ -1,0 +1,15 @@
+"""Broadcasts behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Mark a stored frame for broadcast when it has at most ``max_rows`` rows, else leave it.
+
+    Counting stops after ``max_rows`` rows. Beyond that Spark joins by shuffle.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

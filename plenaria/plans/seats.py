@@ -18,6 +18,7 @@ from plenaria.operators.intervals import count_active, expand_years
 from plenaria.operators.pairs import co_occurrence
 from plenaria.operators.sequence import neighbour
 from plenaria.rules.classifiers import normalise_faction
+from plenaria.session import checkpoint
 
 
 def memberships(seat_persons: DataFrame, seats: DataFrame, factions: DataFrame, normalise=normalise_faction) -> DataFrame:
@@ -131,7 +132,7 @@ def faction_groups(members: DataFrame, threshold: int, party: str = "fractie") -
 
     Groups are named after their smallest faction and numbered by size, then name.
     """
-    edges = shared_members(members, party).where(F.col("gedeelde_leden") >= threshold)
+    edges = checkpoint(shared_members(members, party).where(F.col("gedeelde_leden") >= threshold))
     nodes = members.select(F.col(party).alias("node")).where("node is not null").distinct()
     labels = connected_components(nodes, edges, "node", "fractie_1", "fractie_2", "groep")
     size = labels.groupBy("groep").agg(F.count(F.lit(1)).alias("grootte"))

@@ -14,6 +14,7 @@ from plenaria.functions.numbers import percentage, ratio
 from plenaria.operators.aggregates import argmax_by, two_level
 from plenaria.operators.pairs import co_occurrence
 from plenaria.rules.fixed import AGAINST, FOR
+from plenaria.session import checkpoint
 
 MISTAKE = "vergissing"
 
@@ -53,8 +54,14 @@ def votes_per_faction_decision(votes: DataFrame) -> DataFrame:
 
 
 def faction_position(votes: DataFrame) -> DataFrame:
-    """One position per faction and decision: the option with the most weight, and that weight."""
-    totals = valid_votes(votes).groupBy("besluit_id", "fractie_id", "soort").agg(F.sum(_weight()).alias("gewicht"))
+    """One position per faction and decision: the option with the most weight, and that weight.
+
+    Votes are summed per decision, faction and option first, which leaves a few rows per decision.
+    Those are partitioned by decision once; the steps after it, and joins on the decision, need no
+    further shuffle.
+    """
+    totals = (valid_votes(votes).groupBy("besluit_id", "fractie_id", "soort").agg(F.sum(_weight()).alias("gewicht"))
+              .repartition("besluit_id"))
     best = F.min_by(F.struct("soort", "gewicht"), F.struct(-F.col("gewicht"), F.col("soort")))
     return totals.groupBy("besluit_id", "fractie_id").agg(best.alias("_b")).select("besluit_id", "fractie_id", "_b.*")
 
@@ -134,11 +141,10 @@ def size_and_dissent(votes: DataFrame, min_votes: int = 100, min_decisions: int
 
 def agreement(votes: DataFrame, min_votes: int = 20000) -> DataFrame:
     """Share of common decisions in which two factions took the same position, per pair."""
-    positions = faction_position(votes)
+    positions = checkpoint(faction_position(votes).select("besluit_id", "fractie_id", F.when(F.col("soort") == FOR, 1).otherwise(-1).alias("_sign")))
     active = positions.groupBy("fractie_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_votes)
-    signed = positions.join(active.select("fractie_id"), "fractie_id", "left_semi").withColumn(
-        "_sign", F.when(F.col("soort") == FOR, 1).otherwise(-1))
-    pairs = co_occurrence(signed, "besluit_id", "fractie_id", "_sign")
+    kept = positions.join(active.select("fractie_id"), "fractie_id", "left_semi")
+    pairs = co_occurrence(kept, "besluit_id", "fractie_id", "_sign")
     return pairs.select(F.col("a").alias("fractie_1"), F.col("b").alias("fractie_2"), "samen", "gelijk",
                         percentage(F.col("gelijk"), F.col("samen")).alias("overeenkomst"))
 

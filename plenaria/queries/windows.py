@@ -62,9 +62,9 @@ def lead_moves(t: Tables):
 @query("w6_previous_event", """
 SELECT event_id, lag(event_type) OVER w AS vorige_soort, lag(event_id) OVER w AS vorige FROM events WINDOW w AS (PARTITION BY event_type = 'click' ORDER BY ts, event_id)""")
 def previous_event(t: Tables):
-    """Previous row within two very large groups; the hours of a group are separate window groups."""
+    """Previous row within two large groups, here taken as hot: their hours are separate window groups."""
     rows = t.events.select("event_id", "event_type", "ts", (F.col("event_type") == "click").alias("g"))
-    seen = Q.neighbour(rows, ["g"], ["ts", "event_id"], F.date_trunc("hour", "ts"), {"vorige_soort": "event_type", "vorige": "event_id"})
+    seen = Q.neighbour(rows, ["g"], ["ts", "event_id"], F.date_trunc("hour", "ts"), {"vorige_soort": "event_type", "vorige": "event_id"}, hot_rows=100)
     return seen.select("event_id", "vorige_soort", "vorige")
 
 
