@@ -85,21 +85,25 @@ def quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Mapping[st
     else:
         paired = rows.withColumn("_spot", bounds.scalar())
     paired = paired.select(*group, "_v", F.col("_spot._rows").alias("_rows"), F.col("_spot.targets").alias("_targets"))
+    # 0 below the bracket, 1 inside, 2 above: rows outside collapse to one row per side and task
     spread = (paired.select(*group, "_v", "_rows", F.explode("_targets").alias("_t"))
-              .where(F.col("_v") <= F.col("_t.hi"))
-              .withColumn("_kept", F.when(F.col("_v") >= F.col("_t.lo"), F.col("_v"))))
-    counted = spread.groupBy(*group, "_rows", F.col("_t.i").alias("_i"), F.col("_t.p").alias("_p"), "_kept").agg(
-        F.count(F.lit(1)).alias("_n"))
-    ordered = Window.partitionBy(*group, "_i").orderBy(F.col("_kept").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, 0)
+              .withColumn("_side", F.when(F.col("_v") < F.col("_t.lo"), 0).when(F.col("_v") <= F.col("_t.hi"), 1).otherwise(2))
+              .withColumn("_kept", F.when(F.col("_side") == 1, F.col("_v"))))
+    counted = spread.groupBy(*group, "_rows", F.col("_t.i").alias("_i"), F.col("_t.p").alias("_p"), "_side", "_kept").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    ordered = Window.partitionBy(*group, "_i").orderBy("_side", "_kept").rowsBetween(Window.unboundedPreceding, 0)
     place = F.col("_p") * (F.col("_rows") - 1)
     ranked = (counted.withColumn("_upto", F.sum("_n").over(ordered))
               .withColumn("_lo", F.floor(place)).withColumn("_hi", F.ceil(place))
               .withColumn("_part", place - F.floor(place)))
 
     def at(index: str) -> Column:
-        hit = (F.col(index) < F.col("_upto")) & (F.col(index) >= F.col("_upto") - F.col("_n"))
-        return F.max(F.when(hit, F.col("_kept")))
+        first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
+        hit = (F.col(index) >= first) & (F.col(index) <= last)
+        # outside the bracket only the row next to it is known exactly
+        value = (F.when(F.col("_side") == 1, F.col("_kept")).when((F.col("_side") == 0) & (F.col(index) == last), F.col("_high"))
+                 .when((F.col("_side") == 2) & (F.col(index) == first), F.col("_low")))
+        return F.max(F.when(hit, value))
 
     picked = ranked.groupBy(*group, "_i").agg(at("_lo").alias("_a"), at("_hi").alias("_z"), F.max("_part").alias("_f"))
     exact = F.col("_a") + F.col("_f") * (F.col("_z") - F.col("_a"))
