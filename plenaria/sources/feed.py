@@ -14,7 +14,8 @@ from plenaria.functions.text import normalize_bool, snake_case
 from plenaria.plans.catalog import ENTITIES, relations_of
 from plenaria.plans.conform import BridgeSpec, EntitySpec
 
-XML_OPTIONS = {"rowTag": "feed", "ignoreNamespace": "true", "attributePrefix": ""}
+# a nil element arrives as empty text, so empty text reads as NULL
+XML_OPTIONS = {"rowTag": "feed", "ignoreNamespace": "true", "attributePrefix": "", "nullValue": ""}
 TOKEN_PATTERN = r"skiptoken=(\d+)"
 _REF = T.StructType().add("ref", "string")
 _LINKS = T.ArrayType(T.StructType().add("rel", "string").add("href", "string").add("type", "string"))
