@@ -65,8 +65,8 @@ def capped_star(star: Star, order: Sequence[Column], cap: int | None, unknown: o
     fact = star.fact if cap is None else star.fact.orderBy(*order).limit(cap)
     dims = {}
     for name, (frame, key, fk) in star.dims.items():
-        used = fact.select(F.col(fk).alias("_key")).distinct()
-        kept = frame.join(used, F.col(key) == F.col("_key"), "left_semi")
-        extra = frame.where(F.col(key) == F.lit(unknown)).join(used, F.col(key) == F.col("_key"), "left_anti")
-        dims[name] = (kept.unionByName(extra), key, fk)
+        kind = frame.schema[key].dataType
+        lone = frame.sparkSession.range(1).select(F.lit(unknown).cast(kind).alias("_key"))
+        used = fact.select(F.col(fk).cast(kind).alias("_key")).unionByName(lone)
+        dims[name] = (frame.join(used, F.col(key) == F.col("_key"), "left_semi"), key, fk)
     return replace(star, fact=fact, dims=dims)

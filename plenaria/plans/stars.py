@@ -280,6 +280,17 @@ def planning(t: Tables) -> StarTables:
     return StarTables({"planning": lambda: rows.join(room, "zaal_id", "left").drop("zaal_id")})
 
 
+def place_status(matches: DataFrame) -> DataFrame:
+    """Place matches per person with the status texts reduced to five values."""
+    def norm(c: str) -> Column:
+        short = map_values(F.col(c), {"gematcht (eenduidig)": "gematcht", "geen plaats ingevuld": "niet ingevuld",
+                                      "niet eenduidig (meerdere gemeenten)": "niet eenduidig"})
+        return F.coalesce(short, F.lit("niet bepaald"))
+
+    return matches.select(F.col("id").alias("persoon_id"), "geboorte_gemeentecode", norm("plaats_status").alias("geboorte_status"),
+                          "woon_gemeentecode", norm("woon_status").alias("woon_status"))
+
+
 def careers(t: Tables, staging: Tables, as_of: date) -> StarTables:
     """Education, career and person dimension.
 
@@ -294,13 +305,7 @@ def careers(t: Tables, staging: Tables, as_of: date) -> StarTables:
 
     years = [F.year("van").cast("bigint").alias("jaar_van"), F.year("tot_en_met").cast("bigint").alias("jaar_tot")]
 
-    def norm(c: str) -> Column:
-        return map_values(F.col(c), {"gematcht (eenduidig)": "gematcht", "geen plaats ingevuld": "niet ingevuld",
-                                     "niet eenduidig (meerdere gemeenten)": "niet eenduidig"})
-
-    places = staging["plaats"].select(
-        F.col("id").alias("persoon_id"), "geboorte_gemeentecode", F.coalesce(norm("plaats_status"), F.lit("niet bepaald")).alias("geboorte_status"),
-        "woon_gemeentecode", F.coalesce(norm("woon_status"), F.lit("niet bepaald")).alias("woon_status"))
+    places = place_status(staging["plaats"])
     return StarTables({
         "dim_gemeente": lambda: register.select(*[F.trim(F.col(c)).alias(n) for c, n in (
             ("Code_3", "gemeentecode"), ("Naam_2", "gemeente"), ("Code_5", "provinciecode"), ("Naam_4", "provincie"), ("Naam_6", "landsdeel"))]).distinct(),

@@ -123,14 +123,14 @@ def link_pick(t: Tables):
     return t.events.select(F.col("event_id").cast("string").alias("id"), links.alias("atom_links")).select("id", *field.columns())
 
 
-@query("g10_collapse", "SELECT l_orderkey, max(l_suppkey) AS leverancier FROM lineitem GROUP BY 1")
+@query("g10_collapse", "SELECT doc_id, list_max(string_split(text, ' ')) AS woord FROM documents")
 def collapse(t: Tables):
-    """First reference of a relation kept in the parent row."""
+    """One reference of a relation kept in the parent row: the highest."""
     from plenaria.plans.conform import entity
 
-    nested = t.lineitem.select("l_orderkey", "l_suppkey").distinct().groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_suppkey").alias("ref"))).alias("leverancier"))
-    field, = entity("y", "leverancier>>leverancier").fields
-    return nested.select("l_orderkey", *field.columns())
+    nested = t.documents.select("doc_id", F.transform(F.split("text", " "), lambda w: F.struct(w.alias("ref"))).alias("woord"))
+    field, = entity("y", "woord>>woord").fields
+    return nested.select("doc_id", *field.columns())
 
 
 @query("g11_pair_latest", "SELECT l_orderkey, l_suppkey, max(l_shipdate) AS relatie_gewijzigd_op FROM lineitem GROUP BY 1, 2")

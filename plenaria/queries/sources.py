@@ -54,11 +54,11 @@ def routed(t: Tables):
 
 
 @query("s6_split_children", """
-SELECT conv_id AS ouder, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS idx, text AS waarde FROM conversations""")
+SELECT doc_id AS ouder, CAST(i - 1 AS BIGINT) AS idx, regels[i] AS waarde FROM (SELECT doc_id, regels, unnest(range(1, len(regels) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS regels FROM documents))""")
 def children(t: Tables):
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
-    nested = t.conversations.groupBy("conv_id").agg(ordered.alias("teksten"))
-    return files.split_children(nested, "conv_id", "teksten", "waarde").select(
+    """The lines of a document as its repeated element."""
+    nested = t.documents.select("doc_id", F.split("text", "\n").alias("regels"))
+    return files.split_children(nested, "doc_id", "regels", "waarde").select(
         F.col("_parent_id").alias("ouder"), F.col("_list_idx").alias("idx"), "waarde")
 
 
@@ -101,12 +101,12 @@ def release(t: Tables):
 
 
 @query("s12_explode_relation", """
-SELECT l_orderkey AS parent_id, l_partkey AS part_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'F'""")
+SELECT doc_id AS parent_id, unnest(string_split(text, ' ')) AS woord FROM documents WHERE lang <> 'en'""")
 def relation_pairs(t: Tables):
-    nested = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_partkey").alias("id"))).alias("onderdelen"))
-    owners = t.orders.select("o_orderkey", (F.col("o_orderstatus") == "F").alias("verwijderd"))
-    joined = owners.join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return files.relation(joined, "o_orderkey", "onderdelen", "id", "part_id", deleted="verwijderd")
+    """The words of a document as its relation; documents in English count as deleted."""
+    words = F.transform(F.split("text", " "), lambda w: F.struct(w.alias("id")))
+    owners = t.documents.select("doc_id", (F.col("lang") == "en").alias("verwijderd"), words.alias("woorden"))
+    return files.relation(owners, "doc_id", "woorden", "id", "woord", deleted="verwijderd")
 
 
 @query("s13_entity_view", """

@@ -161,7 +161,7 @@ SELECT o.id AS opleiding_id, persoon_id, categorie AS niveau, bron AS niveau_bro
 FROM persoon_onderwijs o JOIN stg_onderwijs s ON s.id = o.id WHERE persoon_id IN (SELECT id FROM persoon)""")
 _star("z_careers_career", _careers, "fact_loopbaan", ("persoon", "persoon_loopbaan", "stg_loopbaan"), """
 SELECT l.id AS loopbaan_id, persoon_id, sector, year(van) AS jaar_van, year(tot_en_met) AS jaar_tot, functie, werkgever FROM persoon_loopbaan l JOIN stg_loopbaan s ON s.id = l.id WHERE persoon_id IN (SELECT id FROM persoon)""")
-_star("z_careers_dim_persoon", _careers, "dim_persoon", ("persoon", "persoon_onderwijs", "stg_onderwijs", "persoon_loopbaan", "stg_loopbaan", "stg_correcties", "stg_plaats", *_SEATS), """,
+_PERSON = (("persoon", "persoon_onderwijs", "stg_onderwijs", "persoon_loopbaan", "stg_loopbaan", "stg_correcties", "stg_plaats", *_SEATS), """,
 niv(niveau, rang) AS (VALUES ('basisonderwijs', 0), ('vo', 1), ('mbo', 2), ('hbo', 3), ('wo', 4), ('promotie', 5)),
 opl AS (SELECT o.id, persoon_id, categorie, bron, s.status FROM persoon_onderwijs o JOIN stg_onderwijs s ON s.id = o.id), hoog AS (SELECT persoon_id, categorie, bron, row_number() OVER (PARTITION BY persoon_id ORDER BY rang DESC, (bron = 'tekst') DESC, id) AS rn FROM opl JOIN niv ON niveau = categorie WHERE status = 'voltooid'),
 n AS (SELECT persoon_id, count(*) AS n FROM opl GROUP BY 1), lb AS (SELECT persoon_id, count(*) AS n, count(*) FILTER (WHERE sector IN ('zorg', 'overheid', 'overig_onvoldoende_sectorcontext')) AS b, count(*) FILTER (WHERE sector IN ('zorg', 'overheid')) AS z FROM persoon_loopbaan l JOIN stg_loopbaan s ON s.id = l.id GROUP BY 1),
@@ -175,3 +175,18 @@ SELECT b.id AS persoon_id, trim(concat_ws(' ', coalesce(roepnaam, initialen), tu
   geboorte_gemeentecode, CASE WHEN plaats_status IS NULL THEN 'niet bepaald' WHEN plaats_status LIKE 'gematcht%' THEN 'gematcht' WHEN plaats_status LIKE 'geen plaats%' THEN 'niet ingevuld' ELSE 'niet gevonden' END AS geboorte_status, woon_gemeentecode, woon_status, g IS NOT NULL AS heeft_geboortedatum,
   NOT (plaats_status IS NULL OR plaats_status LIKE 'geen plaats%') AS heeft_geboorteplaats, woon_status <> 'niet ingevuld' AS heeft_woonplaats, coalesce(n.n, 0) > 0 AS heeft_opleidingsrij, coalesce(lb.n, 0) > 0 AS heeft_loopbaanrij
 FROM b LEFT JOIN per e ON e.persoon_id = b.id AND e.a = 1 LEFT JOIN per la ON la.persoon_id = b.id AND la.z = 1 LEFT JOIN n ON n.persoon_id = b.id LEFT JOIN hoog h ON h.persoon_id = b.id AND h.rn = 1 LEFT JOIN lb ON lb.persoon_id = b.id LEFT JOIN stg_plaats sp ON sp.id = b.id""")
+_star("z_careers_dim_persoon", _careers, "dim_persoon", *_PERSON)
+
+
+def _person(c):
+    """The person dimension straight from its operator."""
+    from plenaria.plans import people, seats
+
+    education = c["persoon_onderwijs"].join(c["stg_onderwijs"], "id")
+    career = c["persoon_loopbaan"].join(c["stg_loopbaan"], "id")
+    held = seats.memberships(c["fractie_zetel_persoon"], c["fractie_zetel"], c["fractie"])
+    places = Z.place_status(c["stg_plaats"])
+    return {"dim": people.person_dimension(c["persoon"], c["stg_correcties"], held, education, career, places, date(2026, 10, 8))}
+
+
+_star("a30_person_dim", _person, "dim", *_PERSON)
