@@ -122,8 +122,8 @@ def stream_latest(t: Tables):
     rows.repartition(4, "_row").drop("_row").write.parquet(f"{root}/landed")
     landed = t.spark.read.parquet(f"{root}/landed")
     source = t.spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
-    jobs.stream_latest(t.spark, source, f"{root}/table", f"{root}/cursor", ["id"], ["bijgewerkt", "_row_id"]).awaitTermination()
-    return jobs.current_version(t.spark, f"{root}/table").select("id", F.col("_row_id").alias("row_id"), "event_type")
+    jobs.stream_latest(t.spark, source, f"{root}/table", f"{root}/cursor", ["id"], ["bijgewerkt", "_row_id"], full_every=3).awaitTermination()
+    return jobs.current_version(t.spark, f"{root}/table", ["id"], ["bijgewerkt", "_row_id"]).select("id", F.col("_row_id").alias("row_id"), "event_type")
 
 
 @query("k6_batch_latest", f"""WITH {s.VERSIONS_SQL}

@@ -34,13 +34,13 @@ def several(t: Tables):
     return S.in_several_factions(s.members(t))
 
 
-_SHARED = """e AS (SELECT a.f AS fractie_1, b.f AS fractie_2, count(*) AS gedeelde_leden FROM (SELECT DISTINCT l_suppkey AS p, s_nationkey * 100 + l_linenumber AS f FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 49) a
-  JOIN (SELECT DISTINCT l_suppkey AS p, s_nationkey * 100 + l_linenumber AS f FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 49) b ON a.p = b.p AND a.f < b.f GROUP BY 1, 2)"""
+_SHARED = """e AS (SELECT a.f AS fractie_1, b.f AS fractie_2, count(*) AS gedeelde_leden FROM (SELECT DISTINCT l_suppkey AS p, s_nationkey * 100 + l_linenumber AS f FROM lineitem JOIN supplier ON l_suppkey = s_suppkey ) a
+  JOIN (SELECT DISTINCT l_suppkey AS p, s_nationkey * 100 + l_linenumber AS f FROM lineitem JOIN supplier ON l_suppkey = s_suppkey ) b ON a.p = b.p AND a.f < b.f GROUP BY 1, 2)"""
 
 
 def _shared(t: Tables):
-    """Persons = suppliers, factions = nation and line number of their largest lines."""
-    lines = t.lineitem.where("l_quantity > 49").select("l_suppkey", "l_linenumber")
+    """Persons = suppliers, factions = nation and line number of their lines."""
+    lines = t.lineitem.select("l_suppkey", "l_linenumber")
     joined = lines.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     return joined.select(F.col("l_suppkey").alias("persoon_id"), (F.col("s_nationkey") * 100 + F.col("l_linenumber")).cast("bigint").alias("fractie"))
 
@@ -50,7 +50,7 @@ def edges(t: Tables):
     return S.shared_members(_shared(t))
 
 
-@query("a10_components", f"""WITH RECURSIVE {_SHARED}, n AS (SELECT DISTINCT s_nationkey * 100 + l_linenumber AS f FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 49),
+@query("a10_components", f"""WITH RECURSIVE {_SHARED}, n AS (SELECT DISTINCT s_nationkey * 100 + l_linenumber AS f FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
 u AS (SELECT fractie_1 AS a, fractie_2 AS b FROM e WHERE gedeelde_leden >= 3 UNION ALL SELECT fractie_2, fractie_1 FROM e WHERE gedeelde_leden >= 3),
 r AS (SELECT f, f AS bereikt FROM n UNION SELECT r.f, u.b FROM r JOIN u ON r.bereikt = u.a), l AS (SELECT f, min(bereikt) AS groep FROM r GROUP BY 1)
 SELECT CAST(f AS BIGINT) AS fractie, CAST(groep AS BIGINT) AS groep, count(*) OVER (PARTITION BY groep) AS grootte FROM l""")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from plenaria.operators.merge import merge_versions
 from plenaria.operators.versioned import latest_version
 from plenaria.sources import feed
 
@@ -38,44 +39,56 @@ def stream_append(spark: SparkSession, path: str, schema: T.StructType, sink: st
             .trigger(availableNow=True).start())
 
 
-def _version_path(root: str, batch: int) -> str:
-    return f"{root}/version={batch}"
+_MANIFEST = "batch bigint, soort string"
 
 
-def current_version(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    """The newest committed version of a streamed table, or the newest one before a batch."""
+def current_version(spark: SparkSession, root: str, key: Sequence[str], order: Sequence[str],
+                    before: int | None = None) -> DataFrame | None:
+    """Newest row per key of a streamed table: the last full copy and the batches after it.
+
+    ``before`` looks at the table as it was before a batch. None when nothing is committed yet.
+    """
     try:
-        listed = spark.read.schema("version bigint").parquet(f"{root}/manifest")
-    except Exception as error:  # no version committed yet
+        listed = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest").distinct()
+    except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             return None
         raise
-    if before is not None:
-        listed = listed.where(F.col("version") < before)
-    newest = listed.agg(F.max("version")).first()[0]
-    return None if newest is None else spark.read.parquet(_version_path(root, newest))
+    # one small row per batch
+    done = sorted((r["batch"], r["soort"]) for r in listed.collect() if before is None or r["batch"] < before)
+    full = max((b for b, kind in done if kind == "volledig"), default=None)
+    parts = [] if full is None else [f"{root}/volledig/batch={full}"]
+    parts += [f"{root}/nieuw/batch={b}" for b, kind in done if kind == "nieuw" and (full is None or b > full)]
+    if not parts:
+        return None
+    frames = [spark.read.parquet(p) for p in parts]
+    if len(frames) == 1:
+        return frames[0]
+    return latest_version(reduce(DataFrame.unionByName, frames), key, [F.col(c).desc_nulls_last() for c in order])
 
 
 def stream_latest(spark: SparkSession, source: DataFrame, root: str, checkpoint_path: str, key: Sequence[str],
-                  order: Sequence[str]) -> StreamingQuery:
+                  order: Sequence[str], full_every: int = 20) -> StreamingQuery:
     """Keep the newest version per key of a stream, whatever order the versions arrive in.
 
-    Each batch is reduced to its newest row per key, compared with the stored row, and written as
-    the next table version; the manifest row that makes it visible comes last. A repeated batch
-    rewrites the same version. Late older versions never replace newer ones.
+    A batch is reduced to its newest row per key and stored on its own, so its cost does not grow
+    with the table; every ``full_every`` batches one full copy is written. The manifest row that
+    makes a write visible comes last, and a repeated batch rewrites the same folder. Late older
+    versions never replace newer ones.
     """
     newest_first: list[Column] = [F.col(c).desc_nulls_last() for c in order]
 
+    def commit(session: SparkSession, number: int, kind: str) -> None:
+        session.createDataFrame([(number, kind)], _MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+
     def apply(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        fresh = latest_version(batch, key, newest_first)
-        stored = current_version(session, root, before=number)
-        if stored is not None:
-            touched = stored.join(fresh.select(*key), list(key), "left_semi")
-            winners = latest_version(fresh.unionByName(touched), key, newest_first)
-            fresh = merge_versions(stored, winners, key)
-        fresh.write.mode("overwrite").parquet(_version_path(root, number))
-        session.createDataFrame([(number,)], "version bigint").coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+        latest_version(batch, key, newest_first).write.mode("overwrite").parquet(f"{root}/nieuw/batch={number}")
+        commit(session, number, "nieuw")
+        if (number + 1) % full_every == 0:
+            whole = current_version(session, root, key, order, before=number + 1)
+            whole.write.mode("overwrite").parquet(f"{root}/volledig/batch={number}")
+            commit(session, number, "volledig")
 
     return (source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_path)
             .trigger(availableNow=True).start())

@@ -205,16 +205,18 @@ def test_release_switches_as_a_whole(spark, tmp_path, rows):
     assert {n: d.count() for n, d in files.read_release(spark, root).items()} == {"a": 5}
 
 
-def test_latest_stream_ignores_late_versions(spark, tmp_path, rows):
+@pytest.mark.parametrize("full_every", [1, 2, 20])
+def test_latest_stream_ignores_late_versions(spark, tmp_path, rows, full_every):
     landed, schema = tmp_path / "landed", "id string, bijgewerkt int, n int"
     batches = [[("a", 5, 1), ("b", 1, 1)], [("a", 3, 2), ("c", 1, 2)], [("b", 9, 3), ("a", 5, 0)]]
-    root, cursor = str(tmp_path / "table"), str(tmp_path / "cursor")
+    root, cursor, by = str(tmp_path / "table"), str(tmp_path / "cursor"), (["id"], ["bijgewerkt", "n"])
+    assert jobs.current_version(spark, root, *by) is None
     for data in batches:
         spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(landed))
         source = spark.readStream.schema(schema).parquet(str(landed))
-        jobs.stream_latest(spark, source, root, cursor, ["id"], ["bijgewerkt", "n"]).awaitTermination()
-    assert rows(jobs.current_version(spark, root)) == [("a", 5, 1), ("b", 9, 3), ("c", 1, 2)]
-    assert rows(jobs.current_version(spark, root, before=1)) == [("a", 5, 1), ("b", 1, 1)]
+        jobs.stream_latest(spark, source, root, cursor, *by, full_every=full_every).awaitTermination()
+    assert rows(jobs.current_version(spark, root, *by)) == [("a", 5, 1), ("b", 9, 3), ("c", 1, 2)]
+    assert rows(jobs.current_version(spark, root, *by, before=1)) == [("a", 5, 1), ("b", 1, 1)]
 
 
 def test_catalog_and_relations(spark, rows):
