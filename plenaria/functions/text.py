@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import lru_cache, reduce
 
@@ -16,6 +16,11 @@ PLACEHOLDERS = ["", "-", "onbekend", "n.v.t.", "nan", "none", "geen opgave", "ge
 UNICODE = "(?U)"
 
 
+def once(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build(value)`` with ``value`` computed a single time, however often ``build`` uses it."""
+    return F.transform(F.array(value), build)[0]
+
+
 @dataclass(frozen=True)
 class Rule:
     """One step of an ordered classifier: ``pattern`` (regex) wins ``label`` if ``guard`` holds."""

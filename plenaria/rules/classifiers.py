@@ -95,14 +95,21 @@ def education_level(education: Column, institution: Column,
                     institution_rules: Sequence[tuple[str, str]] = fixed.EDUCATION_INSTITUTION,
                     not_completed: str = fixed.NOT_COMPLETED) -> Column:
     """``struct(categorie, bron, status)``: level from the text, else from the institution."""
-    cleaned, given = T.clean_text(education), _filled(education)
-    by_text = F.when(given, T.classify(cleaned, [T.Rule(a, b) for a, b in text_rules]))
-    by_place = institution_level(institution, institution_rules)
-    level = F.coalesce(by_text, by_place, F.when(given, fixed.SECTOR_NONE).otherwise(fixed.SECTOR_UNKNOWN))
-    source = F.when(by_text.isNotNull(), "tekst").when(by_place.isNotNull(), "instelling").otherwise("geen")
-    unfinished = F.coalesce(given & cleaned.rlike(T.UNICODE + not_completed), F.lit(False))
-    status = F.when(unfinished, "niet_voltooid").otherwise("voltooid")
-    return F.struct(level.alias("categorie"), source.alias("bron"), status.alias("status"))
+    rules = [T.Rule(a, b) for a, b in text_rules]
+
+    def read(cleaned: Column) -> Column:
+        given = education.isNotNull() & ~cleaned.isin(T.PLACEHOLDERS)
+        return F.struct(F.when(given, T.classify(cleaned, rules)).alias("tekst"), institution_level(institution, institution_rules).alias("plek"),
+                        given.alias("gegeven"), (given & cleaned.rlike(T.UNICODE + not_completed)).alias("open"))
+
+    def conclude(found: Column) -> Column:
+        fallback = F.when(found["gegeven"], fixed.SECTOR_NONE).otherwise(fixed.SECTOR_UNKNOWN)
+        source = F.when(found["tekst"].isNotNull(), "tekst").when(found["plek"].isNotNull(), "instelling").otherwise("geen")
+        status = F.when(found["open"], "niet_voltooid").otherwise("voltooid")
+        return F.struct(F.coalesce(found["tekst"], found["plek"], fallback).alias("categorie"), source.alias("bron"), status.alias("status"))
+
+    # the cleaned text and the rule results are each used several times but computed once
+    return T.once(T.once(T.clean_text(education), read), conclude)
 
 
 def canonical_institution(institution: Column, names: Sequence[tuple[str, str]] = fixed.UNIVERSITIES) -> Column:
