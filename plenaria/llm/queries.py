@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plenaria.llm import simhash, topk, winnowing
+from plenaria.llm import packing, pieces, simhash, topk, winnowing
 from plenaria.llm.common import column, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,12 +38,26 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' tokens packed into sequences of at most 2048."""
+    definition = Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
+    return packing.pack(table(spark, folder, "documents"), definition)
+
+
 @query
 def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Winnowing fingerprints of all documents and their edited texts."""
     return winnowing.edited_likeness(table(spark, folder, "documents"))
 
 
+@query
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded by merges and decoded again."""
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return pieces.round_trip(table(spark, folder, "documents"), model)
+
+
 @query
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents by SimHash distance."""
