@@ -6,9 +6,9 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from plenaria.llm import packing, pieces, simhash, topk, winnowing
+from plenaria.llm import lines, packing, pieces, quality, secrets, simhash, topk, toxicity, winnowing
 from plenaria.llm.common import column, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,20 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+def remainder(doc_id: str, divisor: int) -> Column:
+    """crc32 of the id's text modulo a number; a null id has remainder -1."""
+    return F.coalesce(F.crc32(column(doc_id).cast("string")) % divisor, F.lit(-1))
+
+
+@query
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all documents, learnt from two of three folds of labels."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.fit(docs, labels.where(remainder("doc_id", 3) != 1))
+    scored = docs.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), quality.score(model, column("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @query
 def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
     """Every hundredth vector's ten highest integer inner products against all others."""
@@ -63,3 +77,27 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents by SimHash distance."""
     found = simhash.components(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Credential spans of all documents, with weak parts beside their complements."""
+    found = secrets.scan(table(spark, folder, "documents"))
+    counts = [secrets.count("base", k).alias(f"n_{k}") for k in secrets.KINDS[: secrets.BASE]]
+    return found.select("doc_id", *counts, F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"), secrets.written(F.col("spans")).alias("spans"))
+
+
+@query
+def op9_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the lines that repeat an earlier one."""
+    docs = table(spark, folder, "documents")
+    return lines.dedup(docs, counted=True).select("doc_id", "text", F.col("n_removed").cast("long").alias("n_removed"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learnt from four of five folds of labels."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit(docs, labels.where(remainder("doc_id", 5) != 0))
+    scored = docs.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), toxicity.score(model, column("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
