@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plenaria.llm.common import checkpoint, column, texts_of
 from plenaria.operators.graph import connected_components
@@ -193,11 +193,20 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents whose id is their component's smallest, with all their columns.
+    """One document of each component, the one whose id is the component's, with all its columns.
 
-    Rows of a null doc_id stay, since no other row can be told to stand for them. Repeated rows of one id stay
-    together, except that equal ones (id and text) count once.
+    Of rows that share an id the one with the smallest text hash stays. Rows without an id stay, since nothing tells
+    which of them another row stands for.
     """
-    found = components(docs, doc_id, text, shingle, radius)
-    keep = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_dropped_id")).distinct()
-    return docs.join(keep, column(doc_id).cast("long") == F.col("_dropped_id"), "left_anti").dropDuplicates()
+    found = checkpoint(components(docs, doc_id, text, shingle, radius))
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, column(doc_id).cast("long") == F.col("_gone"), "left_anti")
+    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_gone"))
+    if repeated.isEmpty():
+        return left
+    same = column(doc_id).cast("long") == F.col("_gone")
+    row = F.struct(*(column(c) for c in docs.columns))
+    number = F.row_number().over(Window.partitionBy("_id").orderBy("_hash", "_text"))
+    several = left.join(repeated, same, "left_semi").select(row.alias("_row"), column(doc_id).alias("_id"), column(text).alias("_text"), F.xxhash64(column(text)).alias("_hash"))
+    first = several.withColumn("_number", number).where("_number = 1").select("_row.*")
+    return left.join(repeated, same, "left_anti").unionByName(first)
