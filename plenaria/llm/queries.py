@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from plenaria.llm import lines, packing, pieces, quality, secrets, simhash, topk, toxicity, winnowing
+from plenaria.llm import lines, packing, passages, pieces, quality, secrets, simhash, topk, toxicity, winnowing
 from plenaria.llm.common import column, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def remainder(doc_id: str, divisor: int) -> Column:
     return F.coalesce(F.crc32(column(doc_id).cast("string")) % divisor, F.lit(-1))
 
 
+@query
+def op1_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 words and more that documents share, exact or with a few edits."""
+    return passages.shared(table(spark, folder, "documents"))
+
+
 @query
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of all documents, learnt from two of three folds of labels."""
