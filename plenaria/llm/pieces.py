@@ -12,7 +12,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from plenaria.llm.common import kept, slices, texts_of
+from plenaria.llm.common import column, kept, slices, texts_of
 
 SPACE = "▁"
 #: Chunks of up to so many symbols are merged together, longer ones one at a time.
@@ -191,7 +191,8 @@ def decode(encoded: DataFrame, model: bytes, doc_id: str = "doc_id", ids: str =
         for batch in batches:
             texts = [library.decode(x or []) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
-    return encoded.select(f"`{doc_id}`", f"cast(`{ids}` as array<int>)") .toDF("doc_id", "ids").mapInArrow(task, f"doc_id {encoded.select(f'`{doc_id}`').dtypes[0][1]}, text string")
+    rows = encoded.select(column(doc_id).cast("long").alias("doc_id"), column(ids).cast("array<int>").alias("ids"))
+    return rows.mapInArrow(task, "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
