@@ -12,9 +12,9 @@ from plenaria.session import checkpoint
 
 
 def argmax_by(df: DataFrame, group: Sequence[str], value: str, weight: Column, out: str | None = None) -> DataFrame:
-    """Per group the value with the largest summed weight; ties go to the smallest value."""
+    """Per group the value with the largest summed weight; ties go to the smallest value, weights of NULL come last."""
     totals = df.groupBy(*group, value).agg(weight.alias("_weight"))
-    best = F.min_by(F.col(value), F.struct(-F.col("_weight"), F.col(value)))
+    best = F.min_by(F.col(value), F.struct(F.col("_weight").isNull(), -F.col("_weight"), F.col(value)))
     return totals.groupBy(*group).agg(best.alias(out or value))
 
 

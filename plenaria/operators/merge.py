@@ -87,12 +87,11 @@ def _delete_order(foreign_keys: Sequence[ForeignKey], root: str) -> tuple[list[s
 
 
 def cascade_delete(tables: Mapping[str, DataFrame], foreign_keys: Sequence[ForeignKey], root: str, keys: DataFrame,
-                   root_key: str = "id", primary_keys: Mapping[str, str] | None = None,
-                   rounds: int = 10) -> dict[str, DataFrame]:
+                   root_key: str = "id", primary_keys: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
     """Delete root rows and, over the declared references, every row that depends on them.
 
-    Doomed keys are collected parents first; cyclic references repeat the walk, at most ``rounds``
-    times, until no key is added. A reference from a lower table's parent back to the root is
+    Doomed keys are collected parents first; cyclic references repeat the walk
+    until no key is added. A reference from a lower table's parent back to the root is
     emptied, not followed. Returns the remaining rows of every table. Tables without a
     single-column key (bridges) only lose rows themselves.
     """
@@ -103,7 +102,7 @@ def cascade_delete(tables: Mapping[str, DataFrame], foreign_keys: Sequence[Forei
     back = [f for f in foreign_keys if f.child == root and f.parent in order]
     doomed = {root: checkpoint(keys.select(F.col(keys.columns[0]).alias("_gone")).distinct())}
     sizes = {root: -1}
-    for _ in range(1 if acyclic else rounds):
+    while True:
         for child in ([] if acyclic else [root]) + order:
             pk = primary_keys.get(child, "id")
             if pk not in tables[child].columns:
@@ -115,11 +114,12 @@ def cascade_delete(tables: Mapping[str, DataFrame], foreign_keys: Sequence[Forei
                 lost = one if lost is None else lost.unionByName(one)
             if lost is not None:
                 doomed[child] = checkpoint(lost.distinct())
-        if not acyclic:
-            now = {t: d.count() for t, d in doomed.items()}
-            if now == sizes:
-                break
-            sizes = now
+        if acyclic:
+            break
+        now = {t: d.count() for t, d in doomed.items()}
+        if now == sizes:
+            break
+        sizes = now
     result = dict(tables)
     for table in [root, *order]:
         df = tables[table]

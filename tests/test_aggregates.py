@@ -168,3 +168,8 @@ def test_samples_repeat(spark):
     assert sorted(r.id for r in a.collect()) == sorted(r.id for r in b.collect()) and 50 < a.count() < 200
     assert S.smallest_hashes(df, F.col("id"), 20, 1).collect() != S.smallest_hashes(df, F.col("id"), 20, 2).collect()
     assert S.distinct_sample(df.withColumn("g", F.col("id") % 8), ["g"], 50).count() == 8
+
+
+def test_argmax_puts_null_weights_last(spark, rows):
+    df = spark.createDataFrame([("g", "a", 5), ("g", "b", None), ("h", "c", None)], "k string, v string, w int")
+    assert rows(A.argmax_by(df, ["k"], "v", F.sum("w"))) == [("g", "a"), ("h", "c")]

@@ -76,3 +76,9 @@ def test_delete_order_is_parents_first():
     assert M._delete_order(keys, "a") == (["b", "c", "d"], True)
     order, acyclic = M._delete_order([M.ForeignKey("b", "x", "a"), M.ForeignKey("b", "y", "c"), M.ForeignKey("c", "x", "b")], "a")
     assert set(order) == {"b", "c"} and not acyclic
+
+
+def test_cascade_follows_chains_of_any_length(spark, rows):
+    chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(20)] + [(100, None)], "id int, parent int")
+    left = M.cascade_delete({"node": chain}, [M.ForeignKey("node", "parent", "node")], "node", spark.createDataFrame([(0,)], "id int"))
+    assert rows(left["node"], "id") == [(100,)]
