@@ -240,7 +240,8 @@ def test_chains_and_alignment_equal_brute_force():
         chain = passages.chains([m[0] for m in met], [m[1] for m in met])[0]
         score = 6 * len(chain) - passages.GAP * sum(met[chain[-1]][s] - met[chain[0]][s] for s in (0, 1))
         assert score == pytest.approx(max(best.values())) and all(met[a][0] < met[b][0] and met[a][1] < met[b][1] for a, b in zip(chain, chain[1:], strict=False))
-    assert passages.alignment(list("abcdefghij"), list("acdefghij")) == 0.9 and passages.alignment(list("abc"), list("xyz")) == 0.0
+    assert passages.alignment(list("abcdefghij"), list("acdefghij"), [2], [1]) == 0.9 and passages.alignment(list("abc"), list("xyz"), [], []) == 0.0
+    assert passages.distance(list("kitten"), list("sitting")) == 3 and passages.distance([], ["a"]) == 1
 
 
 def test_trees_and_classifiers(spark, odd, none):
