@@ -210,9 +210,9 @@ def test_line_fingerprints_and_pairs_equal_brute_force(spark):
     base = [random.getrandbits(64) for _ in range(20)]
     prints = [b ^ (1 << random.randrange(64)) ^ (1 << random.randrange(64)) for b in base for _ in range(4)]
     signed = [(i, p - 2**64 if p >= 2**63 else p) for i, p in enumerate(prints)]
-    distinct = spark.createDataFrame(signed, "k1 long, fingerprint long")
+    distinct = spark.createDataFrame(signed, "k1 long, fingerprint long").withColumn("size", F.lit(10))
     empty = spark.createDataFrame([], "node long, component long")
-    pairs = {(r.a, r.b) for r in lines.across(lines.crowded(distinct, 2), empty, 2).collect()}
+    pairs = {(r.a, r.b) for r in lines.across(lines.crowded(distinct, 2), empty, 2, 0.8).collect()}
     assert pairs == {(i, j) for i in range(len(prints)) for j in range(i + 1, len(prints)) if (prints[i] ^ prints[j]).bit_count() <= 2}
 
 
