@@ -199,14 +199,13 @@ def test_lines(spark, odd, none):
 
 def test_line_fingerprints_and_pairs_equal_brute_force(spark):
     random.seed(8)
-    hashes = [[random.randint(-(2**63), 2**63 - 1) for _ in range(n)] for n in (1, 2, 5, 126, 127, 128, 300)]
-    found = {r.i: r.s for r in spark.createDataFrame(list(enumerate(hashes)), "i int, h array<long>").select("i", lines.simhash(F.col("h")).alias("s")).collect()}
-
-    def majority(values):
-        while len(values) > lines.FULL:
-            values = [majority(values[a : a + lines.FULL]) for a in range(0, len(values), lines.FULL)]
-        return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in values) > len(values))
-    assert all(found[i] % 2**64 == majority([v % 2**64 for v in h]) for i, h in enumerate(hashes))
+    texts = [["|"] * 9 + [f"w{random.randint(0, 99)}" for _ in range(n)] for n in (1, 2, 5, 126, 300, 9000)] + [["|", "-", ""]]
+    words = spark.createDataFrame([(i, w) for i, text in enumerate(texts) for w in text], "i int, word string")
+    hashes = {r.word: r.h % 2**64 for r in words.distinct().select("word", F.xxhash64("word").alias("h")).collect()}
+    found = {r.i: (r.votes, r.fingerprint % 2**64) for r in lines.simhashes(words, ["i"], "word").collect()}
+    for i, text in enumerate(texts):
+        told = [hashes[w] for w in text if w[:1] == "w"]
+        assert found[i] == (len(told), sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in told) > len(told)))
     base = [random.getrandbits(64) for _ in range(20)]
     prints = [b ^ (1 << random.randrange(64)) ^ (1 << random.randrange(64)) for b in base for _ in range(4)]
     signed = [(i, p - 2**64 if p >= 2**63 else p) for i, p in enumerate(prints)]
@@ -216,6 +215,27 @@ def test_line_fingerprints_and_pairs_equal_brute_force(spark):
     assert pairs == {(i, j) for i in range(len(prints)) for j in range(i + 1, len(prints)) if (prints[i] ^ prints[j]).bit_count() <= 2}
 
 
+def test_edits_equal_brute_force(spark):
+    random.seed(9)
+
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, a in enumerate(x, 1):
+            before, row = row, [i]
+            for j, b in enumerate(y, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (a != b)))
+        return row[-1]
+
+    some = [["aa", "b", "cab", "abc", "", "äö"][random.randint(0, 5)] for _ in range(4000)]
+    pairs = [("", ""), ("a", ""), ("a b a b", "a b"), ("a b", "a b a b"), ("a a a", "a a")]
+    for n in range(300):
+        x = some[n : n + random.randint(1, 9)]
+        y = [w for w in x if random.random() > 0.2] if n % 2 else some[2 * n : 2 * n + random.randint(1, 9)]
+        pairs.append((" ".join(x), " ".join(y)))
+    rows = spark.createDataFrame([(x, y, m) for x, y in pairs for m in (0, 2, 5)], "x string, y string, most int")
+    assert all(r.fits == (distance(r.x, r.y) <= r.most) for r in rows.withColumn("fits", lines.edits_fit("x", "y", F.col("most"))).collect())
+
+
 def test_passages(spark, odd, none):
     random.seed(3)
     some = lambda n: [f"w{random.randint(0, 5000)}" for _ in range(n)]
