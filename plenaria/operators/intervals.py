@@ -27,8 +27,11 @@ def interval_join(points: DataFrame, members: DataFrame, keys: Sequence[str], at
     highest ``order``).
     Column names of the two inputs must differ except for ``keys``.
     """
-    last_day = points.agg(F.max(at).alias("_last")).scalar() if until is None else F.lit(until)
-    stop = F.least(F.coalesce(F.col(end), last_day), last_day)
+    if until is None:
+        last_day = points.agg(F.max(at).alias("_last")).scalar()
+        stop = F.least(F.coalesce(F.col(end), last_day), last_day)
+    else:
+        stop = F.coalesce(F.col(end), F.lit(until))
     spread = (members.withColumn("_stop", stop)
               .where(F.col(start) <= F.col("_stop"))
               .withColumn("_slot", F.explode(F.sequence(_slot(F.col(start), slot_days), _slot(F.col("_stop"), slot_days))))
@@ -37,6 +40,8 @@ def interval_join(points: DataFrame, members: DataFrame, keys: Sequence[str], at
     dated = points.withColumn("_at_slot", _slot(F.col(at), slot_days))
     condition = (F.col("_at_slot") == F.col("_slot")) & (F.col(at) >= F.col(start)) & (
         F.col(end).isNull() | (F.col(at) <= F.col(end)))
+    if until is not None:
+        condition &= F.col(end).isNotNull() | (F.col(at) <= F.lit(until))
     for k in keys:
         condition = condition & (F.col(k) == F.col(f"_m_{k}"))
     joined = dated.join(spread, condition, how)

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from plenaria.functions.text import normalize_bool, snake_case
 from plenaria.plans.catalog import ENTITIES, relations_of
@@ -104,11 +105,41 @@ def _snake_value(value: Column, kind: T.DataType) -> Column:
     return value
 
 
+def _as_text(kind: T.DataType) -> T.DataType:
+    """The same structure with text for every value, so that no value keeps a page from decoding."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    return T.ArrayType(_as_text(kind.elementType)) if isinstance(kind, T.ArrayType) else T.StringType()
+
+
+def decoded(reader: DataFrameReader | DataStreamReader, path: str, entities: Sequence[str] | None = None, strict: bool = True) -> DataFrame:
+    """Pages of a reader with their onward token.
+
+    ``strict`` fails on the first value or page that does not decode. Otherwise such a value is NULL in an entry that
+    stays, and a page that is no XML has its text in ``_corrupt_record`` and no entries.
+    """
+    schema = page_schema(entities)
+    if strict:
+        rows = reader.format("xml").options(**XML_OPTIONS, mode="FAILFAST").schema(schema).load(path)
+    else:
+        texts = _as_text(schema).add("_corrupt_record", "string")
+        read = reader.format("xml").options(**XML_OPTIONS, mode="PERMISSIVE").schema(texts).load(path)
+        rows = read.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], "_corrupt_record")
+    return rows.withColumn("token", page_token(F.col("link")))
+
+
 def pages(spark: SparkSession, path: str, entities: Sequence[str] | None = None, strict: bool = True) -> DataFrame:
-    """Landed pages with their onward token. ``strict`` fails on the first page that does not decode."""
-    mode = "FAILFAST" if strict else "PERMISSIVE"
-    return (spark.read.format("xml").options(**XML_OPTIONS, mode=mode).schema(page_schema(entities)).load(path)
-            .withColumn("token", page_token(F.col("link"))))
+    """Landed pages with their onward token, read as ``decoded`` says."""
+    return decoded(spark.read, path, entities, strict)
+
+
+def rejected_pages(spark: SparkSession, path: str, entities: Sequence[str] | None = None) -> DataFrame:
+    """File, text and number of entries read (``path, page, entries``) of the landed pages that do not decode as a whole."""
+    texts = _as_text(page_schema(entities)).add("_corrupt_record", "string")
+    read = spark.read.format("xml").options(**XML_OPTIONS, mode="PERMISSIVE").schema(texts).load(path)
+    found = read.select(F.col("_metadata.file_path").alias("path"), F.col("_corrupt_record").alias("page"),
+                        F.coalesce(F.size("entry"), F.lit(0)).alias("entries"))
+    return found.where("page IS NOT NULL")
 
 
 def entries(page_rows: DataFrame) -> DataFrame:

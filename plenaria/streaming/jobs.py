@@ -18,12 +18,11 @@ def stream_feed(spark: SparkSession, path: str, log: str, checkpoint_path: str,
     """Load all landed pages not seen before into the version log, then stop.
 
     The stream's checkpoint is the cursor; the file sink commits each batch once. Use one
-    checkpoint per category.
+    checkpoint per category. Without ``strict`` a value that does not decode is NULL; list undecodable
+    pages with ``feed.rejected_pages``.
     """
-    source = (spark.readStream.format("xml").options(**feed.XML_OPTIONS, mode="FAILFAST" if strict else "PERMISSIVE")
-              .schema(feed.page_schema(entities)).option("maxFilesPerTrigger", pages_per_batch).load(path)
-              .withColumn("token", feed.page_token(F.col("link"))))
-    rows = feed.entries(source)
+    reader = spark.readStream.option("maxFilesPerTrigger", pages_per_batch)
+    rows = feed.entries(feed.decoded(reader, path, entities, strict))
     if category is not None:
         rows = rows.where(F.col("category") == category)
     rows = rows.withColumn("_row_id", feed.row_id(rows))
@@ -86,7 +85,9 @@ def stream_latest(spark: SparkSession, source: DataFrame, root: str, checkpoint_
         latest_version(batch, key, newest_first).write.mode("overwrite").parquet(f"{root}/nieuw/batch={number}")
         commit(session, number, "nieuw")
         if (number + 1) % full_every == 0:
-            whole = current_version(session, root, key, order, before=number + 1)
+            # a repeated batch must not read the copy that it writes again
+            earlier, fresh = current_version(session, root, key, order, before=number), session.read.parquet(f"{root}/nieuw/batch={number}")
+            whole = fresh if earlier is None else latest_version(earlier.unionByName(fresh), key, newest_first)
             whole.write.mode("overwrite").parquet(f"{root}/volledig/batch={number}")
             commit(session, number, "volledig")
 

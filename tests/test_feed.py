@@ -79,7 +79,28 @@ def test_strict_reading_fails_on_bad_values(spark, tmp_path):
     page(folder, "p", [entry("Zaal", "z1", 1).replace("2024-01-01T00:00:00Z\">", "geen tijd\">")], 1)
     with pytest.raises(Exception):
         feed.read_feed(spark, str(folder), entities=("zaal",)).collect()
-    assert feed.read_feed(spark, str(folder), entities=("zaal",), strict=False).count() >= 0
+
+
+def test_tolerant_reading_keeps_all_decodable_entries(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    page(folder, "good", [entry("Zaal", "z1", 1), entry("Zaal", "z2", 1)], 1)
+    page(folder, "value", [entry("Zaal", "z3", 1), entry("Zaal", "z4", 1).replace("2024-01-01T00:00:00Z", "geen tijd"), entry("Zaal", "z5", 1)], 2)
+    page(folder, "cut", [entry("Zaal", "z6", 1)], 3)
+    cut = next(p for p in folder.iterdir() if p.stem == "cut")
+    cut.write_text(cut.read_text().replace("</feed>", "<entry></feed>"))
+    found = feed.read_feed(spark, str(folder), entities=("zaal",), strict=False).select("content.zaal.id", "feed_updated").collect()
+    assert sorted(r.id for r in found) == ["z1", "z2", "z3", "z4", "z5"]
+    rejected = feed.rejected_pages(spark, str(folder), ("zaal",)).collect()
+    assert [r.path.rsplit("/", 1)[1] for r in rejected] == [cut.name] and "z6" in rejected[0].page and rejected[0].entries <= 0
+
+
+def test_repeated_full_copy_batch_leaves_the_table_whole(spark, tmp_path):
+    root = str(tmp_path / "table")
+    spark.createDataFrame([(1, 1), (2, 1), (1, 2)], "id int, at int").write.parquet(str(tmp_path / "in"))
+    for run in ("first", "again"):
+        source = spark.readStream.schema("id int, at int").parquet(str(tmp_path / "in"))
+        jobs.stream_latest(spark, source, root, str(tmp_path / run), ["id"], ["at"], full_every=1).awaitTermination()
+    assert sorted(tuple(r) for r in jobs.current_version(spark, root, ["id"], ["at"]).collect()) == [(1, 2), (2, 1)]
 
 
 def test_xsd_validation(spark, tmp_path, rows):
