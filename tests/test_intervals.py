@@ -112,3 +112,11 @@ def test_surrogate_key_is_total_and_dense(spark):
 def test_dense_key(spark, rows):
     df = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "v string")
     assert rows(Q.dense_key(df, ["v"], "nr")) == [(1, "a"), (2, "b"), (3, None)]
+
+
+def test_until_bounds_open_intervals_only(spark):
+    points = spark.createDataFrame([(1, date(2020, m, d)) for m, d in ((1, 5), (1, 12), (6, 1))], "k int, at date")
+    members = spark.createDataFrame([(1, "open", date(2020, 1, 1), None), (1, "closed", date(2020, 1, 1), date(2020, 12, 31))], "k int, name string, a date, z date")
+    found = I.interval_join(points, members, ["k"], "at", "a", "z", until=date(2020, 1, 10)).select("at", "name").collect()
+    assert sorted((r["at"].isoformat(), r["name"]) for r in found) == [
+        ("2020-01-05", "closed"), ("2020-01-05", "open"), ("2020-01-12", "closed"), ("2020-06-01", "closed")]
