@@ -16,8 +16,8 @@ PATTERNS = {
     "assign": (r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
     "access": (r"AKIA[A-Z0-9]{16,}", 0, 20),
     "hex": (r"[0-9a-f]{24,}", 0, 24),
-    # weak: 32 to 64 letters and digits of all kinds, as of secret keys
-    "key": (r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])[A-Za-z0-9+/]{32,64}(?![A-Za-z0-9+/_.=-])", 0, 32),
+    # weak: 32 to 64 letters and digits of all kinds, as of secret keys, with their padding; only their own characters bound them
+    "key": (r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/])", 0, 32),
     # weak: addresses of services
     "endpoint": (r"https?://[A-Za-z0-9][A-Za-z0-9.:-]*[A-Za-z0-9](?:/[A-Za-z0-9._~/-]*)?", 0, 10),
     # weak: named account identifiers

@@ -181,6 +181,17 @@ def test_weak_parts_need_their_complements(spark):
     assert found == {0: ["access", "key"], 1: [], 2: ["access"], 3: [], 4: ["access", "endpoint", "key"], 5: ["user", "assign", "endpoint"]}
 
 
+def test_keys_beside_marks(spark):
+    access, key = "AKIA" + "A1" * 10, "aB3" * 13 + "d"
+    texts = [f"AWS_ACCESS_KEY_ID={access}\nAWS_SECRET_ACCESS_KEY={key}\n", f"aws_access_key_id = {access}\naws_secret_access_key={key}", f'{{"id": "{access}", "SecretAccessKey": "{key}"}}',
+             f"The id is {access}, the key is {key}.", f"{access}: {key}==", f"{access}:{key}", f"{access} {key}{key}", f"AWS_SECRET_ACCESS_KEY={key}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if secrets.KINDS[s.kind] == "key"] for r in secrets.scan(docs).collect()}
+    assert found == {0: [key], 1: [key], 2: [key], 3: [key], 4: [key + "=="], 5: [key], 6: [], 7: []}
+    hidden = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    assert not any(key in hidden[i] for i in range(6)) and hidden[0] == "AWS_ACCESS_KEY_ID=[SECRET]\nAWS_SECRET_ACCESS_KEY=[SECRET]\n"
+
+
 def test_redaction_keeps_columns(odd, spark):
     assert sorted(map(str, secrets.redacted(odd).collect())) == sorted(map(str, odd.collect()))
     hidden = secrets.redacted(spark.createDataFrame([(1, "é password=abcdef123 end token: 0123456789abcdef0123456789abcdef.")], "doc_id long, text string")).first().text
