@@ -208,6 +208,22 @@ def test_lines(spark, odd, none):
     assert strange.columns == odd.columns and strange.count() == len(ODD) and lines.dedup(none).count() == 0
 
 
+def test_lines_with_changed_words(spark):
+    random.seed(12)
+    words = lambda n: ["".join(random.choice("abcdefghijklmnop") for _ in range(random.randint(3, 8))) for _ in range(n)]
+    rows, near = [], 0
+    for i in range(200):
+        line = words([8, 10, 20, 50][i % 4])
+        changed = [w if j != 3 else words(1)[0] for j, w in enumerate(line)]
+        rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(changed))]
+        near += max(len(line[3]), len(changed[3])) <= 0.2 * max(len(rows[-1][1]), len(rows[-2][1]))
+    solid = "".join(random.choice("漢字仮名交文行重複除去") for _ in range(60))
+    rows += [(1000, solid), (1001, solid[:30] + "x" + solid[31:]), (1002, "| --- | --- |"), (1003, "| --- | -- |"), (1004, "page 12"), (1005, "page 13")]
+    found = {r.doc_id: r.n_removed for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string"), counted=True).collect()}
+    assert near > 190 and sum(found[2 * i + 1] for i in range(200)) >= 0.97 * near
+    assert not any(found[2 * i] for i in range(200)) and [found[i] for i in range(1000, 1006)] == [0, 1, 0, 0, 0, 0]
+
+
 def test_line_fingerprints_and_pairs_equal_brute_force(spark):
     random.seed(8)
     texts = [["|"] * 9 + [f"w{random.randint(0, 99)}" for _ in range(n)] for n in (1, 2, 5, 126, 300, 9000)] + [["|", "-", ""]]
