@@ -276,6 +276,19 @@ def test_passages(spark, odd, none):
     assert passages.shared(odd).count() == 0 and passages.shared(none).count() == 0
 
 
+def test_passages_with_a_gap_between(spark):
+    random.seed(13)
+    some = lambda n: [f"w{random.randint(0, 10**6)}" for _ in range(n)]
+    texts, expected = [], set()
+    for i, (size, gap, other) in enumerate([(60, 40, 40), (60, 80, 80), (60, 150, 150), (200, 120, 120), (60, 0, 60), (60, 10, 10)]):
+        one, two = some(size), some(size)
+        texts += [(2 * i, some(9) + one + some(gap) + two + some(9)), (2 * i + 1, some(5) + one + some(other) + two)]
+        ends = [(9, 9 + size, 5, 5 + size), (9 + size + gap, 9 + 2 * size + gap, 5 + size + other, 5 + 2 * size + other)]
+        expected |= {(2 * i, 2 * i + 1, *e, 1.0) for e in ends} if i < 5 else {(2 * i, 2 * i + 1, 9, 139, 5, 135, 1 - 10 / 130)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id long, text string")
+    assert {tuple(r) for r in passages.shared(docs).collect()} == expected
+
+
 def test_chains_and_alignment_equal_brute_force():
     random.seed(9)
     for _ in range(40):
