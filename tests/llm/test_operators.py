@@ -289,6 +289,23 @@ def test_passages_with_a_gap_between(spark):
     assert {tuple(r) for r in passages.shared(docs).collect()} == expected
 
 
+def test_passages_whose_parts_stand_elsewhere(spark):
+    random.seed(14)
+    some = lambda n: [f"w{random.randint(0, 10**6)}" for _ in range(n)]
+    texts, expected = [], set()
+    for base in range(0, 2000, 100):
+        one, two = some(30), some(30)
+        texts += [(base + i, some(9) + part + some(9)) for i, part in ((1, one), (2, two), (98, two), (99, one))]
+        texts += [(base + 50, some(20) + one + two + some(5)), (base + 51, some(3) + one + two)]
+        expected.add((base + 50, base + 51, 20, 80, 3, 63, 1.0))
+    part = some(49)
+    for i, more in ((5000, []), (5001, ["more"]), (5002, ["more"]), (5003, [])):
+        texts.append((i, some(9) + part + more + some(9)))
+    expected.add((5001, 5002, 9, 59, 9, 59, 1.0))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id long, text string")
+    assert {tuple(r) for r in passages.shared(docs).collect()} == expected
+
+
 def test_chains_and_alignment_equal_brute_force():
     random.seed(9)
     for _ in range(40):
