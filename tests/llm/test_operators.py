@@ -306,6 +306,24 @@ def test_passages_whose_parts_stand_elsewhere(spark):
     assert {tuple(r) for r in passages.shared(docs).collect()} == expected
 
 
+def test_passages_with_many_edits(spark):
+    random.seed(15)
+    some = lambda n: [f"w{random.randint(0, 10**6)}" for _ in range(n)]
+    cases = [(54, {4}), (54, {49}), (51, {2}), (51, {48}), (52, {3, 48}), *((120, set(range(n - 1, 120, n))) for n in (6, 7, 8, 10)),
+             *((n, set(random.sample(range(3, n - 3), int(0.18 * n)))) for n in (100, 150, 200) for _ in range(6))]
+    texts = []
+    for i, (n, places) in enumerate(cases):
+        passage = some(n)
+        texts += [(2 * i, some(30) + passage + some(30)), (2 * i + 1, some(40) + ["new" if j in places else w for j, w in enumerate(passage)] + some(7))]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id long, text string")
+    found = {}
+    for r in passages.shared(docs).collect():
+        assert r.b == r.a + 1 and r.a % 2 == 0 and r.similarity >= 0.8 and r.a_start >= 30 and r.a_end <= 30 + cases[r.a // 2][0]
+        found[r.a // 2] = max(found.get(r.a // 2, 0), r.a_end - r.a_start)
+    assert set(range(9)) <= set(found) and len(found) >= 0.9 * len(cases)
+    assert all(found[i] == cases[i][0] for i in (0, 1, 2, 3)) and all(found[i] >= 110 for i in (5, 6, 7, 8))
+
+
 def test_chains_and_alignment_equal_brute_force():
     random.seed(9)
     for _ in range(40):
