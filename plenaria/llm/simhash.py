@@ -36,13 +36,18 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def digest(text: Column) -> Column:
+    """Hash of a text that tells rows of one id apart; null text counts as empty."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fingerprint (long, bits of the unsigned number) of every row; null text counts as empty."""
+    """doc_id, digest and fingerprint (long, bits of the unsigned number) of every row; null text counts as empty."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"])
-    return texts_of(docs, doc_id, text).mapInArrow(task, "doc_id long, fingerprint long")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found.view(np.int64))], ["doc_id", "digest", "fingerprint"])
+    return texts_of(docs, doc_id, text).withColumn("digest", digest(F.col("text"))).mapInArrow(task, "doc_id long, digest long, fingerprint long")
 
 
 def planes(values: np.ndarray) -> list[int]:
@@ -174,6 +179,19 @@ def run_numbers(keys: np.ndarray) -> np.ndarray:
     return np.cumsum(np.concatenate([[0], keys[1:] != keys[:-1]]))
 
 
+def grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int) -> DataFrame:
+    """doc_id, digest, fingerprint, component_id and root, the component's smallest fingerprint, of every row."""
+    signed = checkpoint(signatures(docs, doc_id, text, shingle))
+    distinct = checkpoint(signed.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
+    links = checkpoint(distinct_links(distinct, radius))
+    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    reached = connected_components(nodes, links).join(distinct, F.col("node") == F.col("fingerprint"))
+    least = reached.groupBy("component").agg(F.min("least").alias("smallest"))
+    linked = reached.select("fingerprint", "component").join(least, "component").select("fingerprint", "component", "smallest")
+    classes = distinct.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("smallest", "least").alias("component_id"), F.coalesce("component", "fingerprint").alias("root"))
+    return signed.join(classes, "fingerprint").select("doc_id", "digest", "fingerprint", "component_id", "root")
+
+
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (long) and component_id, the smallest doc_id that links reach, of every row.
 
@@ -181,32 +199,27 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     empty; a null doc_id is never a component's id unless all its rows have none. Repeated rows come back as often.
     Empty table: empty result.
     """
-    signed = checkpoint(signatures(docs, doc_id, text, shingle))
-    distinct = checkpoint(signed.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
-    links = checkpoint(distinct_links(distinct, radius))
-    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    reached = connected_components(nodes, links).join(distinct, F.col("node") == F.col("fingerprint"))
-    least = reached.groupBy("component").agg(F.min("least").alias("smallest"))
-    linked = reached.select("fingerprint", "component").join(least, "component").select("fingerprint", "smallest")
-    classes = distinct.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("smallest", "least").alias("component_id"))
-    return signed.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return grouped(docs, doc_id, text, shingle, radius).select("doc_id", "fingerprint", "component_id")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One document of each component, the one whose id is the component's, with all its columns.
+    """One document of each component, the one of the smallest id and, of that, text digest, with all its columns.
 
-    Of rows that share an id the one with the smallest text hash stays. Rows without an id stay, since nothing tells
-    which of them another row stands for.
+    Documents are told by id and digest, so texts of different components stay though they share an id; rows equal in
+    both are one document. Rows without an id stay, since nothing tells which of them another row stands for.
     """
-    found = checkpoint(components(docs, doc_id, text, shingle, radius))
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, column(doc_id).cast("long") == F.col("_gone"), "left_anti")
-    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_gone"))
+    found = checkpoint(grouped(docs, doc_id, text, shingle, radius).where("doc_id IS NOT NULL").groupBy("root", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n")))
+    place = F.struct("doc_id", "digest")
+    kept = found.groupBy("root").agg(F.min(place).alias("kept"))
+    named = [F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")]
+    gone = found.join(kept, "root").where(place != F.col("kept")).select(*named)
+    same = (column(doc_id).cast("long") == F.col("_id")) & (digest(column(text)) == F.col("_digest"))
+    left = docs.join(gone, same, "left_anti")
+    repeated = found.where("n > 1").select(*named)
     if repeated.isEmpty():
         return left
-    same = column(doc_id).cast("long") == F.col("_gone")
     row = F.struct(*(column(c) for c in docs.columns))
-    number = F.row_number().over(Window.partitionBy("_id").orderBy("_hash", "_text"))
-    several = left.join(repeated, same, "left_semi").select(row.alias("_row"), column(doc_id).alias("_id"), column(text).alias("_text"), F.xxhash64(column(text)).alias("_hash"))
+    number = F.row_number().over(Window.partitionBy("_id", "_digest").orderBy("_text"))
+    several = left.join(repeated, same).select(row.alias("_row"), "_id", "_digest", column(text).alias("_text"))
     first = several.withColumn("_number", number).where("_number = 1").select("_row.*")
     return left.join(repeated, same, "left_anti").unionByName(first)

@@ -94,6 +94,14 @@ def test_components_equal_brute_force(spark, odd, none):
     assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == [1, 3, 5, 6, 8]
 
 
+def test_one_of_each_with_repeated_ids(spark):
+    random.seed(16)
+    one, two, three = (" ".join(f"w{random.randint(0, 10**6)}" for _ in range(80)) for _ in range(3))
+    kept = lambda rows: sorted(tuple(r) for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert kept([(1, one), (2, two), (2, one)]) == [(1, one), (2, two)]
+    assert kept([(1, one), (1, two), (1, two), (3, three), (3, two), (4, three)]) == sorted([(1, one), (1, two), (3, three)])
+
+
 def test_links_of_large_groups():
     random = np.random.default_rng(0)
     base = random.integers(0, 2**63, 300).astype(np.uint64)
