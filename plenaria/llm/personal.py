@@ -154,26 +154,40 @@ VALUES = {word: str(n) for line in SPELLED for n, word in enumerate(line.split()
 _words = lambda found: "|".join(sorted(found, key=lambda w: (-len(w), w)))
 _digit, _dot, _at, _plus = _words(VALUES), _words(DOT_WORDS.split()), _words(AT_WORDS.split()), _words(PLUS_WORDS.split())
 _gap, _edge_left, _edge_right = r"[ ,\-]{1,3}", r"(?<![^\W_])", r"(?![^\W_])"
-#: Three or more spelled digits in a row, which may be parted by a word for a dot, and a word for plus before them.
-SEQUENCE = re.compile(rf"{_edge_left}(?:(?:{_plus}){_gap}|\+ ?)?(?:{_digit})(?:{_gap}(?:(?:{_dot}){_gap})?(?:{_digit})){{2,}}{_edge_right}", re.I)
-TOKEN = re.compile(rf"{_edge_left}(?:({_digit})|({_dot})|({_plus})){_edge_right}|(\+)", re.I)
+#: Spelled and written digits in a row, which may be parted by a word for a dot, and a word for plus before them.
+SEQUENCE = re.compile(rf"{_edge_left}(?:(?:{_plus}){_gap}|\+ ?)?(?:{_digit}|[0-9]+)(?:{_gap}(?:(?:{_dot}){_gap})?(?:{_digit}|[0-9]+)){{2,}}{_edge_right}", re.I)
+TOKEN = re.compile(rf"{_edge_left}(?:({_digit})|({_dot})|({_plus})|([0-9]+)){_edge_right}|(\+)", re.I)
+#: So many digits of a sequence are spelled at least.
+LEAST_SPELLED = 3
 #: Letters in place of digits, between digits.
 LETTER_DIGITS = re.compile(r"[0-9][OoIl]{1,3}(?=[0-9])")
 LETTERS = str.maketrans("OoIl", "0011")
 
 _open, _close = r"[ ]{0,2}[\[({<][ ]{0,2}", r"[ ]{0,2}[\])}>][ ]{0,2}"
-HIDDEN_AT, HIDDEN_DOT = rf"{_open}(?:@|{_at}){_close}", rf"{_open}(?:\.|{_dot}){_close}"
-SAID_DOT = rf"(?:{HIDDEN_DOT}|[ ]{{1,2}}(?:{_dot})[ ]{{1,2}})"
+_at_code, _dot_code = "&#0*64;|&#x0*40;|&commat;|%40", "&#0*46;|&#x0*2e;|&period;|%2e"
+HIDDEN_AT, HIDDEN_DOT = rf"{_open}(?:@|{_at}){_close}|{_at_code}", rf"{_open}(?:\.|{_dot}){_close}|{_dot_code}"
+
+
+def _in_words(words: str, sign: str) -> str:
+    """A sign between blanks, or its word between blanks or dashes, or in capitals between small letters."""
+    capitals = "|".join(w.upper() for w in words.split("|"))
+    return rf"[ ]{{1,2}}(?:{sign}|{words})[ ]{{1,2}}|[_\-](?:{words})[_\-]|(?-i:(?<=[a-z0-9])(?:{capitals})(?=[a-z0-9]))"
+
+
+SAID_DOT = rf"(?:{HIDDEN_DOT}|{_in_words(_dot, chr(92) + '.')})"
 _label, _part = "[A-Za-z0-9-]+", "[A-Za-z0-9_%+-]+"
 #: What follows an @ that is hidden in brackets, and one that is plain, spaced or said as a word: only the first needs no
 #: further disguise, so that "look at example.com" stays as it is.
 AFTER_HIDDEN = re.compile(rf"({_label})((?:(?:{SAID_DOT}|\.){_label})+)", re.I)
 AFTER_SAID = re.compile(rf"({_label})((?:\.{_label})*{SAID_DOT}{_label}(?:(?:{SAID_DOT}|\.){_label})*)", re.I)
-AT = re.compile(rf"(?P<hidden>{HIDDEN_AT})|(?P<said>[ ]{{1,2}}(?:{_at})[ ]{{1,2}}|[ ]?@[ ]?)", re.I)
-ANY_DOT, HIDDEN = re.compile(SAID_DOT, re.I), re.compile(rf"[\[({{<][ ]{{0,2}}(?:[.@]|{_at}|{_dot})[ ]{{0,2}}[\])}}>]")
+AT = re.compile(rf"(?P<hidden>{HIDDEN_AT})|(?P<said>{_in_words(_at, '@')}|@)", re.I)
+ANY_DOT = re.compile(SAID_DOT, re.I)
+#: What a text with a hidden or said sign holds: a cheap first look.
+HINT = re.compile(rf"[\[({{<][ ]{{0,2}}(?:[.@]|{_at}|{_dot})[ ]{{0,2}}[\])}}>]|&#|&commat|&period|%40|%2e|[ _\-](?:\.|{_dot})[ _\-]", re.I)
+CAPITALS = re.compile(rf"[a-z0-9](?:{_dot.upper()})[a-z0-9]")
 #: The name before an @, whose dots may be said too.
 BEFORE = re.compile(rf"{_part}(?:(?:{SAID_DOT}|\.){_part})*\Z", re.I)
-LAST_LABEL = re.compile(r"[A-Za-z]{2,}\Z")
+LAST_LABEL = re.compile(r"[A-Za-z]{2,}")
 DOT_OF_NUMBERS = re.compile(rf"(?<=[0-9]){SAID_DOT}(?=[0-9])", re.I)
 #: Code points before an @ among which its name is looked for, as long as the longest name that mail allows, and dots.
 LONGEST_NAME = 96
@@ -182,15 +196,18 @@ _kind_of_word = {w.encode(): 1 for w in VALUES} | {w.encode(): 2 for w in DOT_WO
 
 
 def spelled(source: Normalised) -> Normalised:
-    """Second transducer: three or more spelled digits in a row become digits, also with letters in place of digits."""
+    """Second transducer: digits in a row of which three or more are spelled are written, and letters between digits too."""
     text = source.text
     edits = [(m.start() + 1, m.end(), m[0][1:].translate(LETTERS)) for m in LETTER_DIGITS.finditer(text)]
     kinds = bytes(map(_kind_of_word.get, text.encode().translate(_ascii_word).split(), repeat(0)))
     if b"\1\1\1" in kinds.replace(b"\2", b""):
         for run in SEQUENCE.finditer(text):
+            tokens = list(TOKEN.finditer(text, run.start(), run.end()))
+            if sum(t[1] is not None for t in tokens) < LEAST_SPELLED:
+                continue
             at = run.start()
-            for token in TOKEN.finditer(text, run.start(), run.end()):
-                new = VALUES.get(token[1].casefold(), token[1]) if token[1] else "." if token[2] else "+"
+            for token in tokens:
+                new = VALUES.get(token[1].casefold(), token[1]) if token[1] else "." if token[2] else token[4] or "+"
                 edits.append((at, token.end(), new))  # the gap before a token goes with it
                 at = token.end()
     return source.rewritten(sorted(edits))
@@ -199,8 +216,7 @@ def spelled(source: Normalised) -> Normalised:
 def said(source: Normalised) -> Normalised:
     """Third transducer: @ and dots that are hidden in brackets or said as words become signs, inside addresses only."""
     text = source.text
-    low = text.lower()
-    if not any(f" {w} " in low for w in DOT_WORDS.split()) and not HIDDEN.search(low):
+    if not HINT.search(text) and not CAPITALS.search(text):
         return source
     edits = [(m.start(), m.end(), ".") for m in DOT_OF_NUMBERS.finditer(text)]
     free = 0
@@ -209,8 +225,8 @@ def said(source: Normalised) -> Normalised:
         before = BEFORE.search(text, max(free, m.start() - LONGEST_NAME), m.start()) if after else None
         if not before:
             continue
-        last = LAST_LABEL.search(after[0])
-        if not last or m["said"] and "@" not in m["said"] and last[0].lower() not in LAST_LABELS:
+        last = ANY_DOT.sub(".", after[0]).rsplit(".", 1)[-1]
+        if not LAST_LABEL.fullmatch(last) or m["said"] not in (None, "@") and last.lower() not in LAST_LABELS:
             continue
         edits += [(d.start(), d.end(), ".") for d in ANY_DOT.finditer(text, before.start(), m.start())]
         edits.append((m.start(), m.end(), "@"))

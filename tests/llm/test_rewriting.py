@@ -125,6 +125,9 @@ DISGUISED = [
     ("call {} ok", "plus one five five five one two three four five six seven", "phone"), ("call {}", "+1 5O5 555 0l23", "phone"), ("{}", "+1 ٥٥٥ ٥٥٥ ٠١٢٣", "phone"),
     ("card {} end", " ".join(["four"] + ["one"] * 15), "card"), ("card {} end", "４１１１１１１１１１１１１１１１", "card"), ("{}", "4111–1111–1111–1111", "card"),
     ("karte {}", "vier " + "eins " * 14 + "eins", "card"), ("at {}.", "192 dot 168 dot 1 dot 1", "ip"), ("{}", "10[.]0[.]0[.]1", "ip"),
+    ("{}", "john-at-example-dot-com", "email"), ("{}", "john_at_example_dot_org", "email"), ("{}", "johnATexampleDOTcom", "email"), ("{}", "john&#64;example&#46;com", "email"),
+    ("{}", "john @ example . com", "email"), ("{}", "john%40example.com", "email"), ("card {} end", "4 one 1 one 1 one 1 one 1 1 1 1 1 1 1 1", "card"),
+    ("call {} ok", "+1 five five five 555 zero one two three", "phone"), ("call {} ok", "+49 null drei null 555 0123 12", "phone"),
     ("ip {}", "one nine two dot one six eight dot one dot one", "ip"),
 ]
 
@@ -141,7 +144,8 @@ def test_disguises_are_found_where_they_stand(around, secret, kind):
 
 @pytest.mark.parametrize("text", [
     "look at example.com", "we met at noon dot we left", "null eins zwei drei vier fünf sechs", "one two three four", "he is at home. Come", "un, deux, trois, quatre",
-    "lunch @ noon.today", "the point is at stake", "version 1.2.3", "12–19 pages", "see [at] the end", "１２３", "Привет мир, как дела", "", "dot dot dot",
+    "lunch @ noon.today", "the point is at stake", "version 1.2.3", "12–19 pages", "see [at] the end", "１２３", "Привет мир, как дела", "", "dot dot dot", "a stay-at-home day . Then 1 . 2",
+    "WHAT a THATDOTthe", "100% at 5 . 6 . 7", "one 12 two 34 three 56",
 ])
 def test_clean_texts_are_left_alone(text):
     assert personal.scanned(text) == ([], [])
