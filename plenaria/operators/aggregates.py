@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plenaria.functions.numbers import percentage
-from plenaria.operators.sizing import broadcast_if_small
 from plenaria.session import checkpoint
 
 
@@ -48,15 +48,16 @@ def two_level(df: DataFrame, inner: Sequence[str], inner_aggs: Sequence[Column],
 
 
 def quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Mapping[str, float],
-              few_values: bool = False, accuracy: int = 10000) -> DataFrame:
+              few_values: bool = False, ranges: int | None = None) -> DataFrame:
     """Exact interpolated quantiles per group.
 
     ``few_values`` is for values with a naturally small domain (days, years, ages): equal values
-    are counted first and the quantiles come from the counts.
+    are counted first and the quantiles come from the counts of a group.
 
-    Otherwise two passes: a sketch brackets each quantile between two values, then only rows in
-    the bracket are counted per value while all rows below collapse into one count. The raw
-    values of a group are never brought together.
+    Otherwise the values are selected by rank. Equal values of a group are counted, in their task
+    first, and the counts are sorted over ``ranges`` range partitions (by default as many as Spark
+    uses), so that a large group spreads over many. Sums per range tell in which range a rank lies,
+    and values are numbered in those ranges only. The input is read once.
     """
     rows = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("_v"))
     if few_values:
@@ -65,50 +66,31 @@ def quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Mapping[st
         wide = counts.groupBy(*group).agg(array.alias("_q"))
         return wide.select(*group, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
 
-    rows = rows.withColumn("_v", F.col("_v").cast("double"))
-    slack = 4.0 / accuracy
-    brackets = [min(max(p + s, 0.0), 1.0) for p in probs.values() for s in (-slack, slack)]
-    sketch = rows.groupBy(*group).agg(
-        F.percentile_approx("_v", brackets, accuracy).alias("_b"),
-        F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-    targets = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"),
-                 (F.col("_min") if p <= slack else F.col("_b")[2 * i]).alias("lo"),
-                 (F.col("_max") if p >= 1 - slack else F.col("_b")[2 * i + 1]).alias("hi"))
-        for i, p in enumerate(probs.values())])
-    bounds = sketch.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.struct("_rows", targets.alias("targets")).alias("_spot"))
-    if group:
-        condition = F.lit(True)
-        for g in group:
-            condition = condition & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-        paired = rows.join(broadcast_if_small(checkpoint(bounds)), condition)
-    else:
-        paired = rows.withColumn("_spot", bounds.scalar())
-    paired = paired.select(*group, "_v", F.col("_spot._rows").alias("_rows"), F.col("_spot.targets").alias("_targets"))
-    # 0 below the bracket, 1 inside, 2 above: rows outside collapse to one row per side and task
-    spread = (paired.select(*group, "_v", "_rows", F.explode("_targets").alias("_t"))
-              .withColumn("_side", F.when(F.col("_v") < F.col("_t.lo"), 0).when(F.col("_v") <= F.col("_t.hi"), 1).otherwise(2))
-              .withColumn("_kept", F.when(F.col("_side") == 1, F.col("_v"))))
-    counted = spread.groupBy(*group, "_rows", F.col("_t.i").alias("_i"), F.col("_t.p").alias("_p"), "_side", "_kept").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    ordered = Window.partitionBy(*group, "_i").orderBy("_side", "_kept").rowsBetween(Window.unboundedPreceding, 0)
-    place = F.col("_p") * (F.col("_rows") - 1)
-    ranked = (counted.withColumn("_upto", F.sum("_n").over(ordered))
-              .withColumn("_lo", F.floor(place)).withColumn("_hi", F.ceil(place))
-              .withColumn("_part", place - F.floor(place)))
-
-    def at(index: str) -> Column:
-        first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
-        hit = (F.col(index) >= first) & (F.col(index) <= last)
-        # outside the bracket only the row next to it is known exactly
-        value = (F.when(F.col("_side") == 1, F.col("_kept")).when((F.col("_side") == 0) & (F.col(index) == last), F.col("_high"))
-                 .when((F.col("_side") == 2) & (F.col(index) == first), F.col("_low")))
-        return F.max(F.when(hit, value))
-
-    picked = ranked.groupBy(*group, "_i").agg(at("_lo").alias("_a"), at("_hi").alias("_z"), F.max("_part").alias("_f"))
-    exact = F.col("_a") + F.col("_f") * (F.col("_z") - F.col("_a"))
-    return picked.groupBy(*group).agg(
-        *[F.max(F.when(F.col("_i") == i, exact)).alias(name) for i, name in enumerate(probs)])
+    counts = rows.withColumn("_v", F.col("_v").cast("double")).groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    order = [*group, "_v"]
+    spread = counts.repartitionByRange(ranges, *order) if ranges else counts.repartitionByRange(*order)
+    # stored, so that both uses see the same ranges
+    ranged = checkpoint(spread.withColumn("_part", F.spark_partition_id()))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*group, "_part").agg(F.sum("_n").alias("_in")).select(
+        *[F.col(g).alias(f"_g_{g}") for g in group], F.col("_part").alias("_of"), "_in",
+        F.coalesce(F.sum("_in").over(earlier), F.lit(0)).alias("_before"), F.sum("_in").over(Window.partitionBy(*group)).alias("_rows"))
+    places = [F.lit(p) * (F.col("_rows") - 1) for p in probs.values()]
+    ranks = [(F.floor(x), F.ceil(x)) for x in places]
+
+    def within(rank: Column, start: Column, count: Column) -> Column:
+        return (rank >= start) & (rank < start + count)
+
+    wanted = sums.where(reduce(lambda x, y: x | y, (within(r, F.col("_before"), F.col("_in")) for pair in ranks for r in pair)))
+    condition = F.col("_part") == F.col("_of")
+    for g in group:
+        condition = condition & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    running = Window.partitionBy("_part", *group).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranged.join(wanted, condition).select(*group, "_v", "_n", "_rows", (F.col("_before") + F.sum("_n").over(running) - F.col("_n")).alias("_start"))
+    hits = [F.max(F.when(within(r, F.col("_start"), F.col("_n")), F.col("_v"))) for pair in ranks for r in pair]
+    picked = placed.groupBy(*group).agg(F.max("_rows").alias("_rows"), *[h.alias(f"_hit{k}") for k, h in enumerate(hits)])
+    low, high = ([F.col(f"_hit{2 * i + k}") for i in range(len(places))] for k in (0, 1))
+    return picked.select(*group, *[(a + (x - F.floor(x)) * (z - a)).alias(name) for name, x, a, z in zip(probs, places, low, high, strict=True)])
 
 
 def describe(df: DataFrame, group: Sequence[str], value: str, probs: Mapping[str, float] | None = None,

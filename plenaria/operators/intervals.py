@@ -7,49 +7,77 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-DAYS_PER_SLOT = 31
+from plenaria.session import checkpoint
 
+#: Days of a slot of the finest level, slots of a level in one of the next, and levels. Days further than half of all
+#: from 1970 (about 179 years) share the first or last slot.
+SLOT_DAYS, FAN, LEVELS = 32, 16, 3
 
-def _slot(day: Column, width: int) -> Column:
-    return F.floor(F.unix_date(day) / width)
+
+def _slot(day: Column, slot_days: int) -> Column:
+    half = FAN**LEVELS // 2
+    number = F.floor(F.unix_date(day) / slot_days)
+    return F.when(number.isNotNull(), F.greatest(F.least(number, F.lit(half - 1)), F.lit(-half)))
+
+
+def _keyed(level: int, number: Column) -> Column:
+    return number * LEVELS + level
+
+
+def cover(first: Column, last: Column, level: int = 0) -> Column:
+    """The fewest slots of all levels that make up the finest slots from ``first`` to ``last``, as keys.
+
+    Of each level there are at most ``2 * (FAN - 1)``, but ``FAN`` of the coarsest, however long the interval is.
+    """
+    def span(a: Column, b: Column) -> Column:
+        numbers = F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(numbers, lambda n: _keyed(level, n))
+
+    if level == LEVELS - 1:
+        return span(first, last)
+    above, below = F.ceil(first / FAN), F.floor((last + 1) / FAN) - 1
+    whole = above <= below
+    left = span(first, F.when(whole, above * FAN - 1).otherwise(last))
+    right = span(F.when(whole, (below + 1) * FAN).otherwise(last + 1), last)
+    return F.concat(left, right, cover(F.when(whole, above).otherwise(F.lit(1)), F.when(whole, below).otherwise(F.lit(0)), level + 1))
 
 
 def interval_join(points: DataFrame, members: DataFrame, keys: Sequence[str], at: str, start: str, end: str,
-                  how: str = "inner", slot_days: int = DAYS_PER_SLOT, on_overlap: str = "all",
+                  how: str = "inner", slot_days: int = SLOT_DAYS, on_overlap: str = "all",
                   row_key: Sequence[str] = (), order: Sequence[str] = (), until: date | None = None) -> DataFrame:
     """Attach to each dated row the interval rows of the same key that cover its date.
 
-    Intervals are spread over slots of ``slot_days`` days and joined on key and slot, so the rows
-    of one key divide over its slots and a date is compared with the intervals near it only.
-    Each row has one slot, so no match appears twice. Open ends run to ``until``, by default the
-    last date in ``points`` (one scan of that column); later dates than ``until`` match nothing open.
-    ``on_overlap='latest'`` keeps, per ``row_key``, only the interval that started last (ties:
-    highest ``order``).
+    Time is cut into slots of several widths, each ``FAN`` times the last. An interval becomes the few slots that make
+    it up (see ``cover``), a date looks into its one slot of each width, and both meet by key and slot. So the rows of
+    one key divide over its slots, an interval's rows do not grow with its length, and a date meets only intervals that
+    cover its slot. Each interval has at most one slot of a date's, so no match appears twice; both inputs are read once.
+
+    Open ends have none; with ``until`` later dates match nothing open. ``how`` is inner or left; for left the dated
+    rows are stored with a number and the matches join back to it. ``on_overlap='latest'`` keeps, per ``row_key``, only
+    the interval that started last (ties: highest ``order``).
     Column names of the two inputs must differ except for ``keys``.
     """
-    if until is None:
-        last_day = points.agg(F.max(at).alias("_last")).scalar()
-        stop = F.least(F.coalesce(F.col(end), last_day), last_day)
+    others = [c for c in members.columns if c not in keys]
+    if how == "left":
+        numbered = checkpoint(points.withColumn("_point", F.monotonically_increasing_id()))
+        found = interval_join(numbered, members, keys, at, start, end, "inner", slot_days, until=until).select("_point", *others)
+        joined = numbered.join(found, "_point", "left")
     else:
-        stop = F.coalesce(F.col(end), F.lit(until))
-    spread = (members.withColumn("_stop", stop)
-              .where(F.col(start) <= F.col("_stop"))
-              .withColumn("_slot", F.explode(F.sequence(_slot(F.col(start), slot_days), _slot(F.col("_stop"), slot_days))))
-              .select(*[F.col(k).alias(f"_m_{k}") for k in keys], "_slot",
-                      *[c for c in members.columns if c not in keys]))
-    dated = points.withColumn("_at_slot", _slot(F.col(at), slot_days))
-    condition = (F.col("_at_slot") == F.col("_slot")) & (F.col(at) >= F.col(start)) & (
-        F.col(end).isNull() | (F.col(at) <= F.col(end)))
-    if until is not None:
-        condition &= F.col(end).isNotNull() | (F.col(at) <= F.lit(until))
-    for k in keys:
-        condition = condition & (F.col(k) == F.col(f"_m_{k}"))
-    joined = dated.join(spread, condition, how)
+        last = F.coalesce(F.col(end), F.lit(until) if until else F.lit(date.max))
+        slots = cover(_slot(F.col(start), slot_days), _slot(last, slot_days))
+        spread = members.where(F.col(start) <= last).select(*[F.col(k).alias(f"_m_{k}") for k in keys], F.explode(slots).alias("_slot"), *others)
+        number = _slot(F.col(at), slot_days)
+        probes = F.array(*[_keyed(level, F.floor(number / FAN**level)) for level in range(LEVELS)])
+        dated = points.where(F.col(at).isNotNull()).withColumn("_at_slot", F.explode(probes))
+        condition = (F.col("_at_slot") == F.col("_slot")) & F.col(at).between(F.col(start), F.coalesce(F.col(end), F.lit(until or date.max)))
+        for k in keys:
+            condition = condition & (F.col(k) == F.col(f"_m_{k}"))
+        joined = dated.join(spread, condition, how)
     if on_overlap == "latest":
         newest = Window.partitionBy(*row_key).orderBy(
             F.col(start).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in order])
         joined = joined.withColumn("_n", F.row_number().over(newest)).where("_n = 1")
-    return joined.select(*points.columns, *[c for c in members.columns if c not in keys])
+    return joined.select(*points.columns, *others)
 
 
 def expand_years(members: DataFrame, start: str, end: str, lo: int | Column, hi: int | Column, out: str = "jaar") -> DataFrame:
@@ -65,14 +93,15 @@ def year_membership(facts: DataFrame, members: DataFrame, keys: Sequence[str], y
                     how: str = "left") -> DataFrame:
     """Attach the memberships whose years cover the fact's year; overlaps fan out.
 
-    Memberships are expanded to one row per year first, which turns the range test into an
-    equi-join on key and year.
+    Memberships are expanded to one row per year first, which turns the range test into an equi-join on key and year.
+    After the last year in which any membership begins or ends the same ones stay open, so one more year stands for all
+    later ones: open memberships run up to that year, and later facts look there. The facts are read once.
     """
-    span = facts.agg(F.min(year).alias("a"), F.max(year).alias("b"))
-    per_year = expand_years(members, start, end, span.select("a").scalar(), span.select("b").scalar(), "_year")
+    years = members.agg(F.struct(F.min(F.year(start)).alias("first"), (F.greatest(F.max(F.year(start)), F.max(F.year(end))) + 1).alias("last")).alias("y")).scalar()
+    per_year = expand_years(members, start, end, years["first"], years["last"], "_year")
     renamed = per_year.select(*[F.col(k).alias(f"_m_{k}") for k in keys], "_year",
                               *[c for c in members.columns if c not in keys])
-    condition = F.col(year) == F.col("_year")
+    condition = F.when(F.col(year).isNotNull(), F.least(F.col(year), years["last"])) == F.col("_year")
     for k in keys:
         condition = condition & (F.col(k) == F.col(f"_m_{k}"))
     return facts.join(renamed, condition, how).select(
@@ -110,9 +139,9 @@ def count_active(events: DataFrame, members: DataFrame, keys: Sequence[str], at:
     for c in distinct:
         named = named.where(F.col(c).isNotNull())
     merged = merge_intervals(named, [*keys, *distinct], start, end)
-    changes = (merged.select(*keys, F.col(start).alias("_day"), F.lit(1).alias("_step"))
-               .unionByName(merged.where(F.col(end).isNotNull())
-                            .select(*keys, F.date_add(F.col(end), 1).alias("_day"), F.lit(-1).alias("_step")))
+    steps = F.array(F.struct(F.col(start).alias("_day"), F.lit(1).alias("_step")),
+                    F.struct(F.date_add(F.col(end), 1).alias("_day"), F.lit(-1).alias("_step")))
+    changes = (merged.select(*keys, F.inline(steps)).where("_day IS NOT NULL")
                .unionByName(events.select(*keys, F.col(at).alias("_day")).distinct()
                             .withColumn("_step", F.lit(0))))
     running = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)

@@ -1,64 +1,42 @@
-"""How often two items meet in the same group, without making a row per pair."""
+"""How often two items meet in the same group."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
-MAX_ITEMS = 5000
-# cells of the dense group-by-item matrix that one task multiplies at a time
-MATRIX_CELLS = 8_000_000
-
+#: Items of a group that are paired in one place; a larger group is cut into parts of about this size.
+PART_ITEMS = 256
 
-def co_occurrence(df: DataFrame, group: str, item: str, sign: str | None = None,
-                  items: Sequence | None = None) -> DataFrame:
-    """Columns ``a, b, samen[, gelijk]`` for items ``a < b`` that share a group.
 
-    ``samen`` counts shared groups. With ``sign`` (+1 or -1, one per group and item) ``gelijk``
-    counts the groups in which both signs agree. Items are the columns of a matrix with a row per
-    group (factions: dozens, at most ``MAX_ITEMS``). Each task multiplies the matrix of its own
-    groups with itself and passes on one small table of sums; a group holds each item once.
-    """
-    base = df.select(F.col(group).alias("_g"), F.col(item).alias("_i"),
-                     (F.lit(1) if sign is None else F.col(sign)).cast("int").alias("_s")).where("_g is not null and _i is not null")
-    if items is None:
-        found = base.select("_i").distinct().limit(MAX_ITEMS + 1).collect()
-        if len(found) > MAX_ITEMS:
-            raise ValueError(f"more than {MAX_ITEMS} items: merge them into fewer first")
-        items = sorted(r[0] for r in found)
-    width, kind = len(items), df.schema[item].dataType.simpleString()
-    index = df.sparkSession.createDataFrame([(n, v) for n, v in enumerate(items)], f"_n int, _v {kind}")
-    # the index has at most MAX_ITEMS rows
-    numbered = base.join(F.broadcast(index), F.col("_i") == F.col("_v"))
-    cells = numbered.groupBy("_g").agg(F.collect_set(F.struct("_n", "_s")).alias("cells")).select("cells")
-    sums = cells.mapInArrow(lambda batches: _multiply(batches, width), "a int, b int, samen bigint, som bigint")
-    totals = sums.groupBy("a", "b").agg(F.sum("samen").alias("samen"), F.sum("som").alias("som"))
-    named = (totals.join(F.broadcast(index.select(F.col("_n").alias("a"), F.col("_v").alias("_a"))), "a")
-             .join(F.broadcast(index.select(F.col("_n").alias("b"), F.col("_v").alias("_b"))), "b"))
-    measures = [] if sign is None else [((F.col("samen") + F.col("som")) / 2).cast("bigint").alias("gelijk")]
-    return named.select(F.col("_a").alias("a"), F.col("_b").alias("b"), "samen", *measures)
+def co_occurrence(df: DataFrame, group: str, item: str, sign: str | None = None, least: int = 1, part_items: int = PART_ITEMS) -> DataFrame:
+    """Columns ``a, b, samen[, gelijk]`` for items ``a < b`` that share at least ``least`` groups.
 
+    ``samen`` counts shared groups. With ``sign`` (+1 or -1, one per group and item) ``gelijk`` counts the groups in
+    which both signs agree. Repeated rows count once; rows without group or item are left out. The number of items and
+    the size of a group have no limit.
 
-def _multiply(batches: Iterator, width: int) -> Iterator:
-    """Sums of one task: shared groups and sign products per item pair."""
-    import numpy as np
-    import pyarrow as pa
-
-    together = np.zeros((width, width), dtype=np.int64)
-    product = np.zeros((width, width), dtype=np.int64)
-    step = max(1, MATRIX_CELLS // max(width, 1))
-    for batch in batches:
-        for start in range(0, batch.num_rows, step):
-            lists = batch.column(0).slice(start, step)
-            flat = lists.flatten()
-            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-            matrix = np.zeros((len(lists), width), dtype=np.float32)
-            matrix[row, flat.field(0).to_numpy()] = flat.field(1).to_numpy()
-            present = (matrix != 0).astype(np.float32)
-            together += (present.T @ present).astype(np.int64)
-            product += (matrix.T @ matrix).astype(np.int64)
-    a, b = np.nonzero(np.triu(together, 1))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(together[a, b]), pa.array(product[a, b])],
-        names=["a", "b", "samen", "som"])
+    The items of a group are dealt into parts by a hash, and each pair of parts is a row of its own that holds at most
+    about ``2 * part_items`` items; pairs are expanded from there and summed in their task before the shuffle. So a
+    group that holds a third of all rows spreads over all tasks. Items in fewer than ``least`` groups go first, since
+    no pair of theirs can reach it.
+    """
+    base = (df.select(F.col(group).alias("_g"), F.col(item).alias("_i"), (F.lit(1) if sign is None else F.col(sign)).cast("int").alias("_s"))
+            .where("_g IS NOT NULL AND _i IS NOT NULL").groupBy("_g", "_i").agg(F.max("_s").alias("_s")))
+    if least > 1:
+        frequent = base.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
+        base = base.join(frequent.select("_i"), "_i", "left_semi")
+    sizes = base.groupBy("_g").agg(F.ceil(F.count(F.lit(1)) / part_items).cast("int").alias("_parts"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    dealt = base.join(sizes.select("_g", "_parts"), "_g").select(
+        "_g", F.struct("_i", "_s").alias("_x"), F.pmod(F.xxhash64("_i"), F.col("_parts")).cast("int").alias("_part"),
+        F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_other"))
+    lower = F.col("_part") <= F.col("_other")
+    cells = dealt.groupBy("_g", F.least("_part", "_other").alias("_lo"), F.greatest("_part", "_other").alias("_hi")).agg(
+        F.sort_array(F.collect_list(F.when(lower, F.col("_x")))).alias("_left"), F.collect_list(F.when(~lower, F.col("_x"))).alias("_right"))
+    # inside one part a pair is an item and one after it in order; across two parts it is one item of each
+    first = cells.select("*", F.posexplode("_left").alias("_at", "_x"))
+    others = F.when(F.col("_lo") == F.col("_hi"), F.slice("_left", F.col("_at") + 2, F.size("_left"))).otherwise(F.col("_right"))
+    both = first.select("_x", F.explode(others).alias("_y"))
+    counted = both.groupBy(F.least("_x._i", "_y._i").alias("a"), F.greatest("_x._i", "_y._i").alias("b")).agg(
+        F.count(F.lit(1)).alias("samen"), F.count(F.when(F.col("_x._s") == F.col("_y._s"), 1)).alias("gelijk"))
+    kept = counted.where(F.col("samen") >= least) if least > 1 else counted
+    return kept.drop("gelijk") if sign is None else kept

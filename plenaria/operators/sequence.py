@@ -6,60 +6,36 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plenaria.operators.sizing import broadcast_if_small
 from plenaria.session import checkpoint
 
 
-HOT_ROWS = 1_000_000
-
-
 def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], slot: Column,
-              values: Mapping[str, str], direction: str = "previous", hot_rows: int = HOT_ROWS) -> DataFrame:
+              values: Mapping[str, str], direction: str = "previous") -> DataFrame:
     """Values of the previous (or next) row of the same key in ``order``.
 
-    Keys with up to ``hot_rows`` rows are plain window groups. The rows of a larger key divide
-    over ``slot``, a coarse step of the first order column such as its month: rows are compared
-    inside (key, slot) windows, and the edge row of each slot is carried to the neighbouring slot.
-    The keys are counted first, in a scan of the key columns. ``order`` must be unique within a
-    key. Rows without a key have no neighbour.
+    ``slot`` is a coarse step of the first order column such as its month. Rows are compared inside
+    windows of one key and slot, so a key with most of the rows spreads over its slots. The edge row
+    of each slot (the last one, or the first) comes from an aggregation and is carried to the key's
+    neighbouring slot, wherever that is. ``order`` must be unique within a key. Rows without a key
+    have no neighbour. Nothing runs before the result is asked for.
     """
     back = direction == "previous"
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    hot = checkpoint(df.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-                     .where(F.col("_rows") > hot_rows).select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
-    any_hot = hot.limit(1).count() > 0
-    packed = F.struct(*[F.col(c).alias(out) for out, c in values.items()])
+    packed, place = F.struct(*[F.col(c).alias(out) for out, c in values.items()]), F.struct(*order)
     slotted = df.withColumn("_slot", slot)
-    is_hot = ~known
-    if any_hot:
-        same = F.lit(True)
-        for k in keys:
-            same = same & (F.col(k) == F.col(f"_h_{k}"))
-        slotted = slotted.join(broadcast_if_small(hot), same, "left")
-        is_hot = is_hot | F.col(f"_h_{keys[0]}").isNotNull()
-    slotted = slotted.withColumn("_name", F.when(is_hot, F.coalesce(F.col("_slot").cast("string"), F.lit(""))).otherwise(F.lit("")))
-    inside = Window.partitionBy(*keys, "_name").orderBy(*order)
-    # the row next to this one, and whether this row is the edge the neighbouring slot needs
-    near, edge = (F.lag, F.lead) if back else (F.lead, F.lag)
-    looked = slotted.withColumn("_near", near(packed, 1).over(inside))
-    if not any_hot:
-        found = F.when(known, F.col("_near"))
-        return looked.select(*df.columns, *[found[out].alias(out) for out in values])
-
-    looked = looked.withColumn("_edge", edge(F.lit(True), 1).over(inside).isNull())
-    across = Window.partitionBy(*keys).orderBy("_slot")
-    edges = (looked.where(F.col("_edge") & F.col(f"_h_{keys[0]}").isNotNull())
-             .select(*keys, "_name", near(packed, 1).over(across).alias("_far"))
-             .where(F.col("_far").isNotNull()))
-    renamed = edges.select(*[F.col(k).alias(f"_e_{k}") for k in keys], F.col("_name").alias("_e_name"), "_far")
-    condition = F.col("_name") == F.col("_e_name")
+    near, edge = (F.lag, F.max_by) if back else (F.lead, F.min_by)
+    looked = slotted.withColumn("_near", near(packed, 1).over(Window.partitionBy(*keys, "_slot").orderBy(*order)))
+    # at most one row per key and slot, so a key's window is as small as its number of slots
+    ends = slotted.where(known).groupBy(*keys, "_slot").agg(edge(packed, place).alias("_end"))
+    edges = ends.select(*[F.col(k).alias(f"_e_{k}") for k in keys], F.col("_slot").alias("_e_slot"),
+                        near("_end", 1).over(Window.partitionBy(*keys).orderBy("_slot")).alias("_far")).where("_far IS NOT NULL")
+    condition = F.col("_slot").eqNullSafe(F.col("_e_slot"))
     for k in keys:
         condition = condition & (F.col(k) == F.col(f"_e_{k}"))
     found = F.when(known, F.coalesce(F.col("_near"), F.col("_far")))
-    return looked.join(renamed, condition, "left").select(
-        *df.columns, *[found[out].alias(out) for out in values])
+    return looked.join(edges, condition, "left").select(*df.columns, *[found[out].alias(out) for out in values])
 
 
 def surrogate_key(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:

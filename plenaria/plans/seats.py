@@ -37,12 +37,9 @@ def existence_years(as_of: date, digits: int | None = 1) -> Column:
 
 def seat_events(members: DataFrame, arrival: str = "aanmelding", departure: str = "vertrek") -> DataFrame:
     """One row per arrival and per departure."""
-    def events(day: str, kind: str) -> DataFrame:
-        others = [c for c in members.columns if c not in ("van", "tot_en_met")]
-        return members.where(F.col(day).isNotNull()).select(
-            *others, F.col(day).alias("datum"), F.lit(kind).alias("event_type"))
-
-    return events("van", arrival).unionByName(events("tot_en_met", departure))
+    others = [c for c in members.columns if c not in ("van", "tot_en_met")]
+    both = F.array(*[F.struct(F.col(day).alias("datum"), F.lit(kind).alias("event_type")) for day, kind in (("van", arrival), ("tot_en_met", departure))])
+    return members.select(*others, F.inline(both)).where("datum IS NOT NULL")
 
 
 def seat_changes(members: DataFrame, as_of: date) -> DataFrame:
@@ -121,9 +118,9 @@ def moves(members: DataFrame, order: tuple[str, ...], start: str = "van", party:
         "persoon_id", F.col(party).alias("van_fractie"), F.col("tot_en_met").alias("einde_vorige"), "naar", "start_volgende")
 
 
-def shared_members(members: DataFrame, party: str = "fractie") -> DataFrame:
-    """How many persons two factions have shared, per pair."""
-    pairs = co_occurrence(members.select("persoon_id", party).distinct(), "persoon_id", party)
+def shared_members(members: DataFrame, party: str = "fractie", least: int = 1) -> DataFrame:
+    """How many persons two factions have shared, per pair that shared ``least`` or more."""
+    pairs = co_occurrence(members, "persoon_id", party, least=least)
     return pairs.select(F.col("a").alias("fractie_1"), F.col("b").alias("fractie_2"), F.col("samen").alias("gedeelde_leden"))
 
 
@@ -132,7 +129,7 @@ def faction_groups(members: DataFrame, threshold: int, party: str = "fractie") -
 
     Groups are named after their smallest faction and numbered by size, then name.
     """
-    edges = checkpoint(shared_members(members, party).where(F.col("gedeelde_leden") >= threshold))
+    edges = checkpoint(shared_members(members, party, threshold))
     nodes = members.select(F.col(party).alias("node")).where("node is not null").distinct()
     labels = connected_components(nodes, edges, "node", "fractie_1", "fractie_2", "groep")
     size = labels.groupBy("groep").agg(F.count(F.lit(1)).alias("grootte"))

@@ -199,6 +199,16 @@ def pairs(t: Tables):
     return co_occurrence(t.orders, "o_custkey", "o_orderpriority")
 
 
+@query("j15_many_items", """
+SELECT a.o AS a, b.o AS b, count(*) AS samen FROM (SELECT DISTINCT l_partkey AS g, l_orderkey AS o FROM lineitem) a
+  JOIN (SELECT DISTINCT l_partkey AS g, l_orderkey AS o FROM lineitem) b ON a.g = b.g AND a.o < b.o GROUP BY 1, 2 HAVING count(*) >= 2""")
+def many_items(t: Tables):
+    """Orders that share two parts or more: as many items as there are orders."""
+    from plenaria.operators.pairs import co_occurrence
+
+    return co_occurrence(t.lineitem, "l_partkey", "l_orderkey", least=2)
+
+
 @query("j16_lookup_default", """
 SELECT o_orderkey, coalesce(c_name, 'Onbekend') AS klant FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey""")
 def lookup_default(t: Tables):

@@ -37,11 +37,11 @@ def test_quantiles_equal_numpy(numbers, few):
             assert got[g][name] == pytest.approx(np.quantile(values, p), rel=1e-9), (g, name)
 
 
-def test_quantiles_without_groups_and_with_a_coarse_sketch(numbers):
+def test_quantiles_without_groups_over_few_and_many_ranges(numbers):
     data, df = numbers
     values = [v for _, v in data if v is not None]
-    for accuracy in (20, 200):
-        row = A.quantiles(df, [], "v", {"a": 0.1, "b": 0.75}, accuracy=accuracy).first()
+    for ranges in (1, 7, 60):
+        row = A.quantiles(df, [], "v", {"a": 0.1, "b": 0.75}, ranges=ranges).first()
         assert (row.a, row.b) == pytest.approx((np.quantile(values, 0.1), np.quantile(values, 0.75)))
 
 
@@ -77,9 +77,8 @@ def test_margins_and_pivot(spark, rows):
     assert rows(R.crosstab(df, "a", "b", ["p", "q"])) == [("x", 50.0, 50.0), ("y", 100.0, 0.0)]
 
 
-@pytest.mark.parametrize("cells", [10, 8_000_000])
-def test_co_occurrence_against_pairs(spark, monkeypatch, cells):
-    monkeypatch.setattr(P, "MATRIX_CELLS", cells)
+@pytest.mark.parametrize("part", [2, 256])
+def test_co_occurrence_against_pairs(spark, part):
     rng = random.Random(5)
     groups = {g: {i: rng.choice([-1, 1]) for i in rng.sample(range(90), rng.randrange(1, 12))} for g in range(200)}
     df = spark.createDataFrame([(g, f"i{i:02d}", s) for g, items in groups.items() for i, s in items.items()] + [(None, "i01", 1)], "g int, i string, s int")
@@ -90,17 +89,24 @@ def test_co_occurrence_against_pairs(spark, monkeypatch, cells):
                 if a < b:
                     want[(f"i{a:02d}", f"i{b:02d}")][0] += 1
                     want[(f"i{a:02d}", f"i{b:02d}")][1] += items[a] == items[b]
-    got = {(r.a, r.b): [r.samen, r.gelijk] for r in P.co_occurrence(df, "g", "i", "s").collect()}
+    got = {(r.a, r.b): [r.samen, r.gelijk] for r in P.co_occurrence(df, "g", "i", "s", part_items=part).collect()}
     assert got == dict(want)
     # repeated rows of an unsigned relation count once
-    got = {(r.a, r.b): r.samen for r in P.co_occurrence(df.unionByName(df), "g", "i").collect()}
+    got = {(r.a, r.b): r.samen for r in P.co_occurrence(df.unionByName(df), "g", "i", part_items=part).collect()}
     assert got == {k: v[0] for k, v in want.items()}
 
 
-def test_too_many_items(spark, monkeypatch):
-    monkeypatch.setattr(P, "MAX_ITEMS", 3)
-    with pytest.raises(ValueError):
-        P.co_occurrence(spark.range(10).withColumn("g", F.lit(1)), "g", "id")
+def test_co_occurrence_of_a_large_group_and_many_items(spark):
+    # one group holds 1,500 items and 9,000 more come in pairs: more items than any list on the driver should hold
+    large = spark.range(1500).select(F.lit(-1).cast("long").alias("g"), F.col("id").alias("i"))
+    small = spark.range(9000).select((F.col("id") % 4500).alias("g"), (F.col("id") + 10_000).alias("i"))
+    twice = spark.createDataFrame([(-2, 3), (-2, 7), (-3, 3), (-3, 7), (-3, 9)], "g long, i long")
+    df = large.unionByName(small).unionByName(twice)
+    found = P.co_occurrence(df, "g", "i", part_items=100)
+    assert found.where("samen = 1").count() == 1500 * 1499 // 2 - 3 + 4500 and found.where("samen = 3").collect() == [(3, 7, 3)]
+    assert sorted(map(tuple, P.co_occurrence(df, "g", "i", least=2, part_items=100).collect())) == [(3, 7, 3), (3, 9, 2), (7, 9, 2)]
+    plan = found._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
 def test_components(spark):

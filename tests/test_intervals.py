@@ -48,6 +48,36 @@ def test_interval_join(data):
     assert sorted((r.p, r.m) for r in left if r.m is not None) == want
 
 
+def test_slots_of_an_interval(spark):
+    """Slots cover an interval exactly, and their number does not grow with its length."""
+    rng = random.Random(1)
+    ends = sorted(rng.randrange(0, 2000) for _ in range(2)), [0, 0], [0, 2047], [5, 5], [16, 31], [15, 32], [256, 511], [-300, 700]
+    spans = spark.createDataFrame([tuple(e) for e in ends], "a long, b long").select("a", "b", I.cover(F.col("a"), F.col("b")).alias("s")).collect()
+    for r in spans:
+        width = lambda key: I.FAN ** (key % I.LEVELS)
+        covered = [n for key in r.s for n in range(key // I.LEVELS * width(key), (key // I.LEVELS + 1) * width(key))]
+        assert sorted(covered) == list(range(r.a, r.b + 1)) and len(r.s) <= 2 * (I.FAN - 1) * (I.LEVELS - 1) + I.FAN
+    days = spark.createDataFrame([(date(1990, 1, 1) + timedelta(n), date(1990, 1, 1) + timedelta(n + 30 * 365)) for n in range(0, 600, 7)], "a date, z date")
+    rows = days.select(F.size(I.cover(I._slot(F.col("a"), I.SLOT_DAYS), I._slot(F.col("z"), I.SLOT_DAYS))).alias("n"))
+    assert rows.agg(F.max("n")).first()[0] <= 2 * (I.FAN - 1) * (I.LEVELS - 1) + I.FAN
+
+
+def test_interval_join_reads_each_input_once(spark, tmp_path):
+    spark.createDataFrame([(k, date(1960 + k, 1, 1), None if k % 3 else date(1995 + k, 1, 1)) for k in range(30)], "m int, a date, z date").withColumn("key", F.lit("x")).write.parquet(f"{tmp_path}/m")
+    spark.createDataFrame([(k, date(1800 + k, 6, 1)) for k in range(500)] + [(900, None)], "p int, d date").withColumn("key", F.lit("x")).write.parquet(f"{tmp_path}/p")
+    points, members = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("p", "m"))
+    joined = I.interval_join(points, members, ["key"], "d", "a", "z")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+    brute = points.crossJoin(members.drop("key")).where("d >= a AND (z IS NULL OR d <= z)").select("p", "m")
+    assert sorted(map(tuple, joined.select("p", "m").collect())) == sorted(map(tuple, brute.collect()))
+    years = points.select("key", "p", F.year("d").alias("y"))
+    found = I.year_membership(years, members, ["key"], "y", "a", "z")
+    brute = years.crossJoin(members.drop("key")).where("y >= year(a) AND (z IS NULL OR y <= year(z))").select("p", "m")
+    assert sorted(map(tuple, found.where("m IS NOT NULL").select("p", "m").collect())) == sorted(map(tuple, brute.collect()))
+    assert found.select("p").distinct().count() == 501
+
+
 def test_interval_join_latest(data):
     members, points, m, p = data
     want = {}
@@ -86,10 +116,9 @@ def test_merge_intervals_is_disjoint(data):
 
 
 @pytest.mark.parametrize("direction", ["previous", "next"])
-@pytest.mark.parametrize("hot_rows", [20, 10**6])
-def test_neighbour(data, direction, hot_rows):
+def test_neighbour(data, direction):
     members, _, m, _ = data
-    out = Q.neighbour(m, ["key"], ["van", "m"], F.trunc("van", "MM"), {"bij": "m"}, direction, hot_rows)
+    out = Q.neighbour(m, ["key"], ["van", "m"], F.trunc("van", "MM"), {"bij": "m"}, direction)
     got = {r.m: r.bij for r in out.collect()}
     want = {}
     for key in {x[1] for x in members}:
@@ -101,6 +130,28 @@ def test_neighbour(data, direction, hot_rows):
     assert got == want
 
 
+@pytest.mark.parametrize("direction", ["previous", "next"])
+def test_neighbour_of_one_key_with_null_order(spark, direction):
+    """One key has all rows, some without a day; the neighbour of a slot's edge stands in another one."""
+    rows = [(n, None if n < 5 else day(n * 3)) for n in range(200)]
+    df = spark.createDataFrame([("k", n, d) for n, d in rows], "key string, m int, van date").repartition(8)
+    got = {r.m: r.bij for r in Q.neighbour(df, ["key"], ["van", "m"], F.trunc("van", "MM"), {"bij": "m"}, direction).collect()}
+    step = -1 if direction == "previous" else 1
+    assert got == {n: n + step if 0 <= n + step < 200 else None for n in range(200)}
+
+
+def test_neighbour_runs_nothing_before_it_is_asked(spark):
+    df = spark.range(1000).select(F.lit(1).alias("key"), F.col("id").alias("m"), F.date_add(F.lit(BASE), F.col("id").cast("int")).alias("van"))
+    def jobs():
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("neighbour"))
+    spark.sparkContext.setJobGroup("neighbour", "none expected")
+    try:
+        Q.neighbour(df, ["key"], ["van", "m"], F.trunc("van", "MM"), {"bij": "m"})
+        assert jobs() == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_surrogate_key_is_total_and_dense(spark):
     # one value holds most rows, so a partition per value would not do
     df = spark.range(5000).select(F.when(F.col("id") % 10 < 8, F.lit(1)).when(F.col("id") % 10 == 8, F.col("id")).alias("v"), "id")
