@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plenaria.functions.numbers import percentage
-from plenaria.session import checkpoint
+from plenaria.session import stored
 
 
 def argmax_by(df: DataFrame, group: Sequence[str], value: str, weight: Column, out: str | None = None) -> DataFrame:
@@ -70,7 +70,7 @@ def quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Mapping[st
     order = [*group, "_v"]
     spread = counts.repartitionByRange(ranges, *order) if ranges else counts.repartitionByRange(*order)
     # stored, so that both uses see the same ranges
-    ranged = checkpoint(spread.withColumn("_part", F.spark_partition_id()))
+    ranged = stored(spread.withColumn("_part", F.spark_partition_id()))
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sums = ranged.groupBy(*group, "_part").agg(F.sum("_n").alias("_in")).select(
         *[F.col(g).alias(f"_g_{g}") for g in group], F.col("_part").alias("_of"), "_in",

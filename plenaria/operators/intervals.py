@@ -9,15 +9,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plenaria.session import checkpoint
 
-#: Days of a slot of the finest level, slots of a level in one of the next, and levels. Days further than half of all
-#: from 1970 (about 179 years) share the first or last slot.
-SLOT_DAYS, FAN, LEVELS = 32, 16, 3
+#: Days of a slot of the finest level, slots of a level in one of the next, and levels. A date has a row per level in a
+#: join, so there are few. Days further from 1970 than so many of the finest slots (89 years) share the first or last one.
+SLOT_DAYS, FAN, LEVELS = 32, 32, 2
+REACH = FAN**LEVELS
+#: Most slots of one interval, however long it is.
+MOST_SLOTS = 2 * (FAN - 1) * (LEVELS - 1) + 2 * REACH // FAN ** (LEVELS - 1)
 
 
 def _slot(day: Column, slot_days: int) -> Column:
-    half = FAN**LEVELS // 2
     number = F.floor(F.unix_date(day) / slot_days)
-    return F.when(number.isNotNull(), F.greatest(F.least(number, F.lit(half - 1)), F.lit(-half)))
+    return F.when(number.isNotNull(), F.greatest(F.least(number, F.lit(REACH - 1)), F.lit(-REACH)))
 
 
 def _keyed(level: int, number: Column) -> Column:
@@ -27,7 +29,7 @@ def _keyed(level: int, number: Column) -> Column:
 def cover(first: Column, last: Column, level: int = 0) -> Column:
     """The fewest slots of all levels that make up the finest slots from ``first`` to ``last``, as keys.
 
-    Of each level there are at most ``2 * (FAN - 1)``, but ``FAN`` of the coarsest, however long the interval is.
+    Of each level but the coarsest there are at most ``2 * (FAN - 1)``, and ``MOST_SLOTS`` in all.
     """
     def span(a: Column, b: Column) -> Column:
         numbers = F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))

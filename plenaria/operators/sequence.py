@@ -14,28 +14,24 @@ def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], slot: Co
     """Values of the previous (or next) row of the same key in ``order``.
 
     ``slot`` is a coarse step of the first order column such as its month. Rows are compared inside
-    windows of one key and slot, so a key with most of the rows spreads over its slots. The edge row
-    of each slot (the last one, or the first) comes from an aggregation and is carried to the key's
-    neighbouring slot, wherever that is. ``order`` must be unique within a key. Rows without a key
-    have no neighbour. Nothing runs before the result is asked for.
+    windows of one key and slot first, so a key with most of the rows spreads over its slots. What
+    the first row of a slot needs is the last row of the key's slot before it: a second window holds
+    only these edge rows of a key together, while every other row is a group of its own there. The
+    input is read once and nothing runs before the result is asked for. ``order`` must be unique
+    within a key. Rows without a key have no neighbour.
     """
-    back = direction == "previous"
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    packed, place = F.struct(*[F.col(c).alias(out) for out, c in values.items()]), F.struct(*order)
-    slotted = df.withColumn("_slot", slot)
-    near, edge = (F.lag, F.max_by) if back else (F.lead, F.min_by)
-    looked = slotted.withColumn("_near", near(packed, 1).over(Window.partitionBy(*keys, "_slot").orderBy(*order)))
-    # at most one row per key and slot, so a key's window is as small as its number of slots
-    ends = slotted.where(known).groupBy(*keys, "_slot").agg(edge(packed, place).alias("_end"))
-    edges = ends.select(*[F.col(k).alias(f"_e_{k}") for k in keys], F.col("_slot").alias("_e_slot"),
-                        near("_end", 1).over(Window.partitionBy(*keys).orderBy("_slot")).alias("_far")).where("_far IS NOT NULL")
-    condition = F.col("_slot").eqNullSafe(F.col("_e_slot"))
-    for k in keys:
-        condition = condition & (F.col(k) == F.col(f"_e_{k}"))
+    near, opposite = (F.lag, F.lead) if direction == "previous" else (F.lead, F.lag)
+    packed = F.struct(*[F.col(c).alias(out) for out, c in values.items()])
+    inside = Window.partitionBy(*keys, "_slot").orderBy(*order)
+    looked = df.withColumn("_slot", slot).select("*", near(packed, 1).over(inside).alias("_near"), opposite(F.lit(1), 1).over(inside).alias("_other"))
+    edge = F.col("_near").isNull() | F.col("_other").isNull()
+    dealt = looked.withColumn("_group", F.when(~edge, F.xxhash64(*order)))
+    far = near(packed, 1).over(Window.partitionBy(*keys, "_group").orderBy(*order))
     found = F.when(known, F.coalesce(F.col("_near"), F.col("_far")))
-    return looked.join(edges, condition, "left").select(*df.columns, *[found[out].alias(out) for out in values])
+    return dealt.withColumn("_far", far).select(*df.columns, *[found[out].alias(out) for out in values])
 
 
 def surrogate_key(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:

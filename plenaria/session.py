@@ -64,3 +64,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if context.getCheckpointDir() is None:
         checkpoint(spark.range(1).toDF("id"))
     return f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame written to the shared checkpoint folder as Parquet and read back; later jobs start from there.
+
+    Unlike a checkpoint it is computed once, compressed, and later uses read only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
