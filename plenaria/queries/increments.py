@@ -1,6 +1,6 @@
 """Increments, merges, cascades and streams."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, Window, functions as F
 
 from plenaria.operators import merge as M
 from plenaria.operators.versioned import feed_order, latest_version
@@ -53,6 +53,57 @@ def feed_stream(t: Tables):
     return conform_entity(log, {}, ENTITIES["zaal"]).select(F.lit("zaal").alias("tabel"), "id", "naam")
 
 
+def _room_pages(rows, page: str, number: str, stamp: Column, code: Column, key: Column, term: Column, next_token: Column, *others: str):
+    """Feed pages in XML, one row each, with the rows of a page as its entries."""
+    entry = F.struct(
+        F.concat(F.lit("urn:"), F.col(number)).alias("id"), F.lit("Zaal").alias("title"), F.lit("2024-01-01T00:00:00Z").alias("updated"), F.struct(term.alias("_term")).alias("category"),
+        F.struct(F.struct(key.alias("_id"), F.lit("False").alias("_verwijderd"), stamp.alias("_bijgewerkt"), F.col(number).cast("string").alias("naam"), code.alias("sysCode")).alias("zaal")).alias("content"))
+    pages = rows.groupBy(*others, page).agg(F.collect_list(entry).alias("entry"))
+    link = F.array(F.struct(F.lit("next").alias("_rel"), F.concat(F.lit("https://host/Feed?skiptoken="), next_token.cast("string")).alias("_href")))
+    return pages.select(*others, page, F.to_xml(F.struct(link.alias("link"), "entry"), {"rowTag": "feed"}).alias("value"))
+
+
+@query("s1_quarantine", """
+WITH e AS (SELECT event_id // 100 AS p, concat_ws('; ', CASE WHEN event_id % 130 = 7 THEN 'category: unknown' ELSE
+    concat_ws('; ', CASE WHEN event_id % 77 = 0 THEN 'id: missing' END, CASE WHEN event_id % 50 = 0 THEN 'bijgewerkt: no timestamp' END, CASE WHEN event_id % 91 = 0 THEN 'sys_code: no int' END) END) AS r FROM events)
+SELECT CASE WHEN r = '' THEN 'zaal' ELSE 'afgekeurd' END AS tabel, nullif(r, '') AS reden, count(*) AS rijen FROM e GROUP BY 1, 2
+UNION ALL SELECT 'afgekeurd', 'page: no XML', count(DISTINCT p) FROM e WHERE p % 7 = 3""")
+def quarantine(t: Tables):
+    """Events as entries of feed pages, some wrong and some pages broken off, streamed into the log in two runs."""
+    root, number = scratch_path(t.spark, "s1-quarantine"), F.col("event_id")
+    rows = t.events.select("event_id", F.floor(number / 100).alias("p"))
+    pages = _room_pages(rows, "p", "event_id", F.when(number % 50 == 0, "geen tijd").otherwise("2024-01-01T00:00:00Z"), F.when(number % 91 == 0, "x").otherwise("5"),
+                        F.when(number % 77 != 0, number.cast("string")), F.when(number % 130 == 7, "Raar").otherwise("Zaal"), F.col("p") + 1)
+    broken = F.when(F.col("p") % 7 == 3, F.regexp_replace("value", "</feed>$", "<entry>")).otherwise(F.col("value"))
+    for rest in (0, 1):
+        pages.where(F.col("p") % 2 == rest).select(broken.alias("value")).write.option("maxRecordsPerFile", 1).mode("append").text(f"{root}/pages")
+        jobs.stream_feed(t.spark, f"{root}/pages", f"{root}/log", f"{root}/cursor", strict=False, entities=("zaal",)).awaitTermination()
+    return t.spark.read.parquet(f"{root}/log").groupBy("tabel", F.col("reason").alias("reden")).agg(F.count(F.lit(1)).alias("rijen"))
+
+
+@query("s1_source_resume", """
+WITH p AS (SELECT event_type, event_id // 1000 AS p, row_number() OVER (PARTITION BY event_type ORDER BY event_id // 1000) AS n FROM events GROUP BY 1, 2)
+SELECT e.event_type AS categorie, event_id::VARCHAR AS id, CASE WHEN n <= 3 THEN 'eerste' ELSE 'tweede' END AS lading FROM events e JOIN p ON p.event_type = e.event_type AND p.p = e.event_id // 1000""")
+def source_resume(t: Tables):
+    """Events as a feed of a chain of pages per category: a run of three pages each, and one that goes on from there."""
+    root, number = scratch_path(t.spark, "s1-source").replace("file:///", "/").replace("file:/", "/"), F.col("event_id")
+    order = Window.partitionBy("event_type").orderBy("p")
+    chain = t.events.select("event_type", F.floor(number / 1000).alias("p")).distinct().select(
+        "event_type", "p", F.lag("p").over(order).alias("own"), F.coalesce(F.lead("p").over(order), F.col("p")).alias("onward"))
+    # a page is asked for with the token that the page before names, and names its own number to go on
+    rows = t.events.withColumn("p", F.floor(number / 1000)).join(chain, ["event_type", "p"]).withColumn("token", F.when(F.col("own").isNull(), -1).otherwise(F.col("p")))
+    pages = _room_pages(rows, "onward", "event_id", F.lit("2024-01-01T00:00:00Z"), F.lit("5"), F.concat_ws(":", "event_type", number.cast("string")), F.lit("Zaal"),
+                        F.col("onward"), "event_type", "token")
+    pages.select("value", "event_type", "token").write.partitionBy("event_type", "token").text(f"file://{root}/pages")
+    categories = [r[0] for r in t.events.select("event_type").distinct().orderBy("event_type").collect()]
+    folder = f"file://{root}/pages/event_type={{category}}"
+    options = {"url": folder + "/token={token}/part-*", "first_url": folder + "/token=-1/part-*", "categories": ",".join(categories)}
+    for load, pages_a_run in (("eerste", 3), ("tweede", 1_000_000)):
+        jobs.stream_source(t.spark, {**options, "pages": str(pages_a_run)}, f"{root}/log", f"{root}/cursor", entities=("zaal",), load_id=load).awaitTermination()
+    key = F.split(F.col("content.zaal.id"), ":")
+    return t.spark.read.parquet(f"{root}/log").select(key[0].alias("categorie"), key[1].alias("id"), F.col("_load_id").alias("lading"))
+
+
 @query("k2_high_water", """
 SELECT event_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'purchase' AND value < 20)""")
 def high_water(t: Tables):

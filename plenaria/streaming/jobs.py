@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -10,26 +11,49 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from plenaria.operators.versioned import latest_version
-from plenaria.sources import feed
+from plenaria.sources import checked, feed, pages
 
 
 def stream_feed(spark: SparkSession, path: str, log: str, checkpoint_path: str, category: str | None = None,
-                pages_per_batch: int = 100, strict: bool = True, entities: Sequence[str] | None = None) -> StreamingQuery:
+                pages_per_batch: int = 100, strict: bool = True, entities: Sequence[str] | None = None,
+                xsd: Mapping[str, str] | None = None, load_id: str | None = None) -> StreamingQuery:
     """Load all landed pages not seen before into the version log, then stop.
 
     The stream's checkpoint is the cursor; the file sink commits each batch once. Use one
-    checkpoint per category. Without ``strict`` a value that does not decode is NULL; list undecodable
-    pages with ``feed.rejected_pages``.
+    checkpoint per category. ``strict`` ends the load at the first page that does not decode.
+    Otherwise entries are checked one by one (see ``checked.checked``, also for ``xsd``), and
+    rejected ones stand in the log's own table for them, written in the same step as the good
+    ones; there ``category`` keeps the rejected entries whose category cannot be told too.
+    Each run has a load id of its own.
     """
+    load = load_id or uuid.uuid4().hex
     reader = spark.readStream.option("maxFilesPerTrigger", pages_per_batch)
-    rows = feed.entries(feed.decoded(reader, path, entities, strict))
+    if strict:
+        rows = feed.entries(feed.decoded(reader, path, entities, True))
+        rows = rows.withColumn("_row_id", feed.row_id(rows)).withColumn("_load_id", F.lit(load))
+    else:
+        rows = checked.log_rows(checked.checked(checked.split_pages(checked.page_texts(reader, path)), entities, xsd), load)
     if category is not None:
-        rows = rows.where(F.col("category") == category)
-    rows = rows.withColumn("_row_id", feed.row_id(rows))
+        rows = rows.where((F.col("category") == category) | ((F.col("tabel") == checked.REJECTED) & (F.col("category") == "unknown")))
     return (rows.writeStream.format("parquet").option("path", log).option("checkpointLocation", checkpoint_path)
             .partitionBy("tabel").trigger(availableNow=True).start())
 
 
+def stream_source(spark: SparkSession, options: Mapping[str, str], log: str, checkpoint_path: str,
+                  entities: Sequence[str] | None = None, xsd: Mapping[str, str] | None = None, load_id: str | None = None) -> StreamingQuery:
+    """Load the next pages of a feed by address into the version log, then stop.
+
+    ``options`` are those of the ``feed_pages`` format; ``pages`` bounds the run. The offset in the
+    checkpoint holds each category's onward token, so the next run goes on from there. Entries are
+    checked one by one like in ``stream_feed``.
+    """
+    pages.register(spark)
+    texts = spark.readStream.format("feed_pages").options(**options).load().select("path", "page")
+    rows = checked.log_rows(checked.checked(checked.split_pages(texts), entities, xsd), load_id or uuid.uuid4().hex)
+    return (rows.writeStream.format("parquet").option("path", log).option("checkpointLocation", checkpoint_path)
+            .partitionBy("tabel").trigger(once=True).start())
+
+
 def stream_append(spark: SparkSession, path: str, schema: T.StructType, sink: str, checkpoint_path: str,
                   files_per_batch: int = 1) -> StreamingQuery:
     """Append landed Parquet files to a sink exactly once, then stop."""

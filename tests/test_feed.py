@@ -7,7 +7,7 @@ from plenaria.operators.quality import run_checks
 from plenaria.plans import semantic, stars
 from plenaria.plans.catalog import BRIDGES, ENTITIES
 from plenaria.plans.conform import conform_all, conform_entity
-from plenaria.sources import feed, files
+from plenaria.sources import checked, feed, files, pages as source
 from plenaria.streaming import jobs
 
 NS = 'xmlns:ns1="http://host/xsd/v1-0" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance"'
@@ -248,3 +248,92 @@ def test_catalog_and_relations(spark, rows):
     assert files.to_spark(spark, [(1, "a")], "i int, s string").count() == 1
     with pytest.raises(ValueError):
         files.to_spark(spark, range(10), "i int", max_rows=5)
+
+
+XSD = ('<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema" xmlns="http://host/xsd/v1-0" targetNamespace="http://host/xsd/v1-0" elementFormDefault="qualified">'
+       '<xs:attribute name="verwijderd" type="xs:boolean"/><xs:attribute name="bijgewerkt" type="xs:dateTime"/><xs:element name="zaal"><xs:complexType><xs:sequence>'
+       '<xs:element name="naam" type="xs:string" minOccurs="0"/><xs:element name="sysCode" type="xs:int" nillable="true" minOccurs="0"/></xs:sequence>'
+       '<xs:attribute name="id" type="xs:string"/><xs:attribute ref="verwijderd"/><xs:attribute ref="bijgewerkt"/></xs:complexType></xs:element></xs:schema>')
+
+
+def test_checked_entries_are_good_or_rejected_with_a_reason(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    page(folder, "a", [entry("Zaal", "z1", 1, "<ns1:naam>A &amp; B &lt;c&gt;</ns1:naam>"), entry("Zaal", "z2", 1, "<ns1:sysCode>x</ns1:sysCode>", deleted="Perhaps"), entry("Raar", "r1", 1)], 1)
+    page(folder, "b", [entry("Zaal", "z3", 1).replace('bijgewerkt="2024-01-01T00:00:00Z"', 'bijgewerkt="geen tijd"').replace('id="z3"', ""), entry("Zaal", "z4", 2, "<ns1:naam>D<ns1:naam>")], 2)
+    page(folder, "c", [entry("Zaal", "z5", 1), entry("Zaal", "z6", 1, "<ns1:onbekend>1</ns1:onbekend>"), "<entry><id>urn:leeg</id><category term=\"Zaal\"/></entry>"], 3)
+    cut = folder / "c.xml"
+    cut.write_text(cut.read_text().replace("</feed>", "<entry><id>cut"))
+    found = {r.feed_id: r for r in checked.read_checked(spark, str(folder), entities=("zaal",)).collect()}
+    assert {k: r.reason for k, r in found.items() if k} == {
+        "urn:Zaal:z1:1": None, "urn:Zaal:z2:1": "verwijderd: no boolean; sys_code: no int", "urn:Raar:r1:1": "category: unknown", "urn:Zaal:z3:1": "id: missing; bijgewerkt: no timestamp",
+        "urn:Zaal:z5:1": None, "urn:Zaal:z6:1": None, "urn:leeg": "content: missing"}
+    # the entry that is no XML has no readable id; it and the rest of the broken page are rows of their own
+    everything = checked.read_checked(spark, str(folder), entities=("zaal",)).collect()
+    assert len(everything) == 9 and {"entry: no XML", "page: no XML"} <= {r.reason for r in everything}
+    assert found["urn:Zaal:z1:1"].content.zaal.naam == "A & B <c>" and found["urn:Zaal:z1:1"].entry is None and "Perhaps" in found["urn:Zaal:z2:1"].entry
+    xsd = tmp_path / "zaal.xsd"
+    xsd.write_text(XSD)
+    valid = {r.feed_id: r.reason for r in checked.read_checked(spark, str(folder), entities=("zaal",), xsd={"zaal": str(xsd)}).collect()}
+    assert valid["urn:Zaal:z1:1"] is None and valid["urn:Zaal:z6:1"] == "schema: not valid" and valid["urn:Zaal:z2:1"].endswith("; schema: not valid")
+    # past the cursor only
+    assert {r.path.rsplit("/", 1)[1] for r in checked.read_checked(spark, str(folder), cursor=2, entities=("zaal",)).collect()} == {"c.xml"}
+
+
+def test_checked_stream_equals_checked_batch(spark, pages, tmp_path, rows):
+    page(pages, "p4", [entry("Zaal", "z8", 4, "<ns1:sysCode>x</ns1:sysCode>"), entry("Zaal", "z9", 4)], 110)
+    names = ("zaal", "fractie")
+    jobs.stream_feed(spark, str(pages), str(tmp_path / "log"), str(tmp_path / "cursor"), strict=False, entities=names, load_id="s").awaitTermination()
+    checked.append_checked(checked.read_checked(spark, str(pages), entities=names), str(tmp_path / "batch"), "b")
+    streamed, batch = spark.read.parquet(str(tmp_path / "log")), spark.read.parquet(str(tmp_path / "batch"))
+    assert rows(streamed, "tabel", "feed_id", "reason", "_row_id") == rows(batch, "tabel", "feed_id", "reason", "_row_id") and streamed.count() == 7
+    assert rows(checked.rejected(streamed), "feed_id", "reason", "_load_id") == [("urn:Zaal:z8:4", "sys_code: no int", "s")]
+    assert {r[0] for r in batch.select("_load_id").collect()} == {"b"}
+    # good rows have the same ids as the strict load gives them, and conform alike
+    strict = feed.read_feed(spark, str(pages), entities=names)
+    ids = {r[0] for r in strict.select(feed.row_id(strict)).collect()}
+    assert {r[0] for r in streamed.where("reason IS NULL").select("_row_id").collect()} <= ids
+    assert rows(conform_entity(feed.entity_log(streamed, "zaal"), {}, ENTITIES["zaal"]), "id") == [("z2",), ("z3",), ("z9",)]
+
+
+def chain(folder, category, token, onward, keys):
+    folder.mkdir(exist_ok=True)
+    link = "" if onward is None else f'<link rel="{"next" if onward > token else "resume"}" href="https://host/Feed?category=x&amp;skiptoken={onward}"/>'
+    body = "".join(entry("Zaal", k, 1, links='<link rel="next" href="u?skiptoken=999"/>') for k in keys)
+    (folder / f"{category}-{'' if token < 0 else token}.xml").write_text(f'<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom">{link}{body}</feed>')
+
+
+def test_source_follows_the_chain_and_stops(spark, tmp_path):
+    folder = tmp_path / "chain"
+    chain(folder, "A", -1, 10, ["a1", "a2"])
+    chain(folder, "A", 10, 20, ["a3"])
+    chain(folder, "A", 20, None, ["a4"])     # the last page leads nowhere
+    chain(folder, "B", -1, 5, ["b1"])
+    chain(folder, "B", 5, 5, ["b2"])         # or to itself
+    chain(folder, "C", -1, 7, ["c1"])
+    chain(folder, "C", 7, 9, [])             # a page without entries ends the chain
+    source.register(spark)
+    options = {"url": f"file://{folder}/{{category}}-{{token}}.xml", "categories": "A,B,C,D"}
+    tokens = lambda **more: sorted((r.category, r.token) for r in spark.read.format("feed_pages").options(**options, **more).load().collect())
+    assert tokens() == [("A", -1), ("A", 10), ("A", 20), ("B", -1), ("B", 5), ("C", -1)]
+    assert tokens(pages="1") == [("A", -1), ("B", -1), ("C", -1)] and tokens(token="10") == [("A", 10), ("A", 20)]
+
+
+def test_source_resumes_from_its_offset(spark, tmp_path):
+    folder, log = tmp_path / "chain", str(tmp_path / "log")
+    chain(folder, "A", -1, 10, ["a1"])
+    chain(folder, "A", 10, 20, ["a2"])
+    chain(folder, "A", 20, 30, ["a3"])
+    chain(folder, "A", 30, None, ["a4"])
+    chain(folder, "B", -1, None, ["b1"])
+    options = {"url": f"file://{folder}/{{category}}-{{token}}.xml", "categories": "A,B", "pages": "2"}
+
+    def load(name):
+        jobs.stream_source(spark, options, log, str(tmp_path / "cursor"), entities=("zaal",), load_id=name).awaitTermination()
+        return sorted((r.feed_id.split(":")[2], r._load_id) for r in spark.read.parquet(log).collect())
+    assert load("1") == [("a1", "1"), ("a2", "1"), ("b1", "1")]
+    assert load("2") == [("a1", "1"), ("a2", "1"), ("a3", "2"), ("a4", "2"), ("b1", "1")]
+    assert load("3") == [("a1", "1"), ("a2", "1"), ("a3", "2"), ("a4", "2"), ("b1", "1")]
+    # the last page has grown and now leads on: it is read again, since its entries may be new
+    chain(folder, "A", 30, 40, ["a4", "a5"])
+    chain(folder, "A", 40, None, ["a6"])
+    assert [k for k in load("4") if k[1] == "4"] == [("a4", "4"), ("a5", "4"), ("a6", "4")]
