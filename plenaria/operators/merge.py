@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from plenaria.session import checkpoint
+from plenaria.session import stored
 
 
 def increment(df: DataFrame, target: DataFrame, changed: str) -> DataFrame:
@@ -86,40 +87,104 @@ def _delete_order(foreign_keys: Sequence[ForeignKey], root: str) -> tuple[list[s
     return order, not any(f.parent == f.child for f in foreign_keys if f.parent in reached)
 
 
+def _links(rows: DataFrame, key: str, reference: str) -> DataFrame:
+    """Key and reference, nothing else of a row."""
+    return stored(rows.select(F.col(key).alias("_gone"), F.col(reference).alias("_to")).where("_gone IS NOT NULL AND _to IS NOT NULL"))
+
+
+def _doomed_below(links: DataFrame, keys: DataFrame) -> DataFrame:
+    """The given keys and all whose chain of references leads to one: a chain of d links takes log2(d) rounds.
+
+    In each round a key whose reference is doomed is doomed, and every other key's reference is
+    replaced by its reference's own. Keys whose chain has ended leave, so each round reads less.
+    Chains that run in a circle end when references have been followed further than there are keys.
+    """
+    doomed, rest, reach, most = [keys], links, 1, links.count()
+    left = most
+    while left and reach <= 2 * most:
+        known = reduce(DataFrame.unionByName, doomed).withColumnRenamed("_gone", "_known")
+        judged = stored(rest.join(known.distinct(), F.col("_to") == F.col("_known"), "left").select("_gone", "_to", F.col("_known").isNotNull().alias("_hit")))
+        hit, open_ = judged.where("_hit").select("_gone"), judged.where("NOT _hit").select("_gone", "_to")
+        onward = judged.select(F.col("_gone").alias("_at"), F.col("_to").alias("_next"), "_hit")
+        # a reference that is doomed itself stays and is seen in the next round
+        moved = open_.join(onward, F.col("_to") == F.col("_at")).select("_gone", F.when(F.col("_hit"), F.col("_to")).otherwise(F.col("_next")).alias("_to"))
+        rest = stored(moved)
+        doomed, reach, left = [*doomed, hit], 2 * reach, rest.count()
+    return stored(reduce(DataFrame.unionByName, doomed).distinct())
+
+
+def _doomed_in_order(tables: Mapping[str, DataFrame], edges: Sequence[ForeignKey], order: Sequence[str], root: str,
+                     keys: DataFrame, primary_keys: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Doomed keys of every table, parents first: each reference between tables is followed once."""
+    doomed: dict[str, DataFrame] = {}
+    for child in [root, *order]:
+        pk = primary_keys.get(child, "id")
+        parts = [keys] if child == root else []
+        if pk in tables[child].columns:
+            parts += [tables[child].join(doomed[fk.parent], F.col(fk.column) == F.col("_gone"), "left_semi").select(F.col(pk).alias("_gone"))
+                      for fk in edges if fk.child == child and fk.parent in doomed]
+        if not parts:
+            continue
+        doomed[child] = keys if child == root else stored(reduce(DataFrame.unionByName, parts).distinct())
+        own = [fk for fk in edges if fk.child == fk.parent == child]
+        if len(own) == 1:
+            doomed[child] = _doomed_below(_links(tables[child], pk, own[0].column), doomed[child])
+        elif own:
+            doomed[child] = _doomed_in_rounds(tables, own, child, doomed[child], primary_keys)[child]
+    return doomed
+
+
+def _doomed_in_rounds(tables: Mapping[str, DataFrame], edges: Sequence[ForeignKey], root: str, keys: DataFrame,
+                      primary_keys: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Doomed keys of every table where references run in circles.
+
+    A round follows only the keys that the last one found, along links (key and reference, nothing
+    else of a row) that no round has followed yet. What is followed leaves the links, so every round
+    reads less than the one before.
+    """
+    links = {fk: _links(tables[fk.child], primary_keys.get(fk.child, "id"), fk.column) for fk in edges if primary_keys.get(fk.child, "id") in tables[fk.child].columns}
+    doomed, fresh = {root: [keys]}, {root: keys}
+    while fresh:
+        found: dict[str, list[DataFrame]] = {}
+        for fk in [f for f in links if f.parent in fresh]:
+            last = fresh[fk.parent].withColumnRenamed("_gone", "_last")
+            found.setdefault(fk.child, []).append(links[fk].join(last, F.col("_to") == F.col("_last"), "left_semi").select("_gone"))
+        after = {}
+        for child, parts in found.items():
+            new = reduce(DataFrame.unionByName, parts).distinct()
+            for known in doomed.get(child, []):
+                new = new.join(known, "_gone", "left_anti")
+            new = stored(new)
+            if not new.isEmpty():
+                after[child] = new
+        for fk in [f for f in links if f.parent in fresh]:
+            links[fk] = stored(links[fk].join(fresh[fk.parent].withColumnRenamed("_gone", "_last"), F.col("_to") == F.col("_last"), "left_anti"))
+        for child, new in after.items():
+            parts = [*doomed.get(child, []), new]
+            # few parts keep the plan small; they grow like the rounds, so storing them again is rare
+            doomed[child] = parts if len(parts) < 8 else [stored(reduce(DataFrame.unionByName, parts))]
+        fresh = after
+    return {t: reduce(DataFrame.unionByName, parts) for t, parts in doomed.items()}
+
+
 def cascade_delete(tables: Mapping[str, DataFrame], foreign_keys: Sequence[ForeignKey], root: str, keys: DataFrame,
                    root_key: str = "id", primary_keys: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
     """Delete root rows and, over the declared references, every row that depends on them.
 
-    Doomed keys are collected parents first; cyclic references repeat the walk
-    until no key is added. A reference from a lower table's parent back to the root is
+    Doomed keys are collected parents first, those of a table that refers to itself by jumps along
+    its chains; references that run in a circle of tables are followed in rounds from the keys found
+    last. A reference from a lower table's parent back to the root is
     emptied, not followed. Returns the remaining rows of every table. Tables without a
     single-column key (bridges) only lose rows themselves.
     """
     primary_keys = {root: root_key, **(primary_keys or {})}
-    order, acyclic = _delete_order(foreign_keys, root)
+    order, acyclic = _delete_order([f for f in foreign_keys if f.child != f.parent], root)
     reached = {root, *order}
     edges = [f for f in foreign_keys if f.parent in reached and (f.child != root or f.parent == root)]
     back = [f for f in foreign_keys if f.child == root and f.parent in order]
-    doomed = {root: checkpoint(keys.select(F.col(keys.columns[0]).alias("_gone")).distinct())}
-    sizes = {root: -1}
-    while True:
-        for child in ([] if acyclic else [root]) + order:
-            pk = primary_keys.get(child, "id")
-            if pk not in tables[child].columns:
-                continue
-            lost = doomed[root] if child == root else None
-            for fk in (e for e in edges if e.child == child and e.parent in doomed):
-                hit = tables[child].join(doomed[fk.parent], F.col(fk.column) == F.col("_gone"), "left_semi")
-                one = hit.select(F.col(pk).alias("_gone"))
-                lost = one if lost is None else lost.unionByName(one)
-            if lost is not None:
-                doomed[child] = checkpoint(lost.distinct())
-        if acyclic:
-            break
-        now = {t: d.count() for t, d in doomed.items()}
-        if now == sizes:
-            break
-        sizes = now
+    start = stored(keys.select(F.col(keys.columns[0]).alias("_gone")).distinct())
+    doomed = (_doomed_in_order(tables, edges, order, root, start, primary_keys) if acyclic
+              else _doomed_in_rounds(tables, edges, root, start, primary_keys))
     result = dict(tables)
     for table in [root, *order]:
         df = tables[table]

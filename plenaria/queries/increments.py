@@ -164,6 +164,21 @@ def cascade(t: Tables):
     return catalog_counts(left)
 
 
+@query("k5_deep_chain", """
+WITH RECURSIVE n AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 25 <> 0 THEN c_custkey - 1 END AS ouder FROM customer),
+gone AS (SELECT k FROM n WHERE k % 100 = 50 UNION SELECT n.k FROM n JOIN gone ON n.ouder = gone.k)
+SELECT 'klant' AS tabel, count(*) AS rijen FROM n WHERE k NOT IN (SELECT k FROM gone) UNION ALL SELECT 'order', count(*) FROM orders WHERE o_custkey NOT IN (SELECT k FROM gone)""")
+def deep_chain(t: Tables):
+    """Customers in chains of 25 that refer to the one before; the first of some chains goes, and all behind it."""
+    from plenaria.sources.files import catalog_counts
+
+    number = F.col("c_custkey")
+    nodes = t.customer.select(number.alias("k"), F.when(number % 25 != 0, number - 1).alias("ouder"))
+    keys = [M.ForeignKey("klant", "ouder", "klant", "k"), M.ForeignKey("order", "o_custkey", "klant", "k")]
+    left = M.cascade_delete({"klant": nodes, "order": t.orders.select("o_orderkey", "o_custkey")}, keys, "klant", nodes.where("k % 100 = 50").select("k"), "k", {"order": "o_orderkey"})
+    return catalog_counts(left)
+
+
 @query("k6_stream_latest", f"""WITH {s.VERSIONS_SQL}
 SELECT id, _row_id AS row_id, event_type FROM versions QUALIFY row_number() OVER (PARTITION BY id ORDER BY bijgewerkt DESC, _row_id DESC) = 1""")
 def stream_latest(t: Tables):
@@ -173,8 +188,22 @@ def stream_latest(t: Tables):
     rows.repartition(4, "_row").drop("_row").write.parquet(f"{root}/landed")
     landed = t.spark.read.parquet(f"{root}/landed")
     source = t.spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
-    jobs.stream_latest(t.spark, source, f"{root}/table", f"{root}/cursor", ["id"], ["bijgewerkt", "_row_id"], full_every=3).awaitTermination()
-    return jobs.current_version(t.spark, f"{root}/table", ["id"], ["bijgewerkt", "_row_id"]).select("id", F.col("_row_id").alias("row_id"), "event_type")
+    jobs.stream_latest(t.spark, source, f"{root}/table", f"{root}/cursor", ["id"], ["bijgewerkt", "_row_id"], buckets=8).awaitTermination()
+    return jobs.current_version(t.spark, f"{root}/table").select("id", F.col("_row_id").alias("row_id"), "event_type")
+
+
+@query("k6_late_bucketed", f"""WITH {s.VERSIONS_SQL}
+SELECT id, _row_id AS row_id, event_type FROM versions QUALIFY row_number() OVER (PARTITION BY id ORDER BY bijgewerkt DESC, _row_id DESC) = 1""")
+def late_bucketed(t: Tables):
+    """Newer versions first, older ones in a later run, and a part of them once more: still the newest of each id."""
+    root, versions = scratch_path(t.spark, "k6-late"), s.versions(t)
+    number = F.pmod(F.xxhash64("_row_id"), F.lit(10))
+    parts = [versions.where(F.month("bijgewerkt") > 6), versions.where((F.month("bijgewerkt") <= 6) | (number < 3))]
+    for part in parts:
+        part.repartition(2).write.mode("append").parquet(f"{root}/landed")
+        source = t.spark.readStream.schema(versions.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+        jobs.stream_latest(t.spark, source, f"{root}/table", f"{root}/cursor", ["id"], ["bijgewerkt", "_row_id"], buckets=8, repeats_within="2 hours").awaitTermination()
+    return jobs.current_version(t.spark, f"{root}/table").select("id", F.col("_row_id").alias("row_id"), "event_type")
 
 
 @query("k6_batch_latest", f"""WITH {s.VERSIONS_SQL}

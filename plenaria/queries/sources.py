@@ -100,6 +100,22 @@ def release(t: Tables):
     return files.manifest(t.spark, root).select("release", "tabel", "rijen")
 
 
+@query("s11_republish", """
+SELECT CAST(1 AS BIGINT) AS release, 'orders' AS tabel, count(*) AS rijen, count(*) FILTER (WHERE o_orderstatus = 'F') AS gelezen, true AS geweigerd FROM orders""")
+def republish(t: Tables):
+    """A number that is published again is refused, and a reader that follows it reads on undisturbed."""
+    root = scratch_path(t.spark, "s11-again")
+    files.publish({"orders": t.orders}, root, 1)
+    reader = files.read_release(t.spark, root)["orders"].where("o_orderstatus = 'F'")
+    try:
+        files.publish({"orders": t.orders.limit(1)}, root, 1)
+        refused = False
+    except ValueError:
+        refused = True
+    read = reader.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return files.manifest(t.spark, root).select("release", "tabel", "rijen", read.alias("gelezen"), F.lit(refused).alias("geweigerd"))
+
+
 @query("s12_explode_relation", """
 SELECT doc_id AS parent_id, unnest(string_split(text, ' ')) AS woord FROM documents WHERE lang <> 'en'""")
 def relation_pairs(t: Tables):

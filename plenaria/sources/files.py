@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
@@ -20,14 +22,23 @@ def write_csv(df: DataFrame, path: str) -> None:
 def publish(tables: Mapping[str, DataFrame], root: str, release: int, counts: bool = True) -> None:
     """Write every table of a release, then its manifest.
 
-    Readers follow the manifest, so a release becomes visible as a whole and an interrupted one
-    never does.
+    The release's number is claimed first by a file that only one writer can create; a number that
+    is taken is refused, so nothing that readers follow is ever overwritten. The tables go to a
+    folder of this attempt. Readers follow the manifest, so a release becomes visible as a whole,
+    and one that is interrupted never does; its number stays taken.
     """
     spark = next(iter(tables.values())).sparkSession
-    rows = []
+    try:
+        # an existing folder is an error for the writer
+        spark.createDataFrame([(release,)], "release bigint").coalesce(1).write.mode("error").parquet(f"{root}/claims/release={release}")
+    except AnalysisException as error:
+        if "PATH_ALREADY_EXISTS" not in str(error):
+            raise
+        raise ValueError(f"release {release} is already published or claimed") from error
+    attempt, rows = uuid.uuid4().hex, []
     for name, df in tables.items():
-        path = f"{root}/release={release}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        path = f"{root}/data/release={release}/{attempt}/{name}"
+        df.write.parquet(path)
         rows.append((release, name, path, spark.read.parquet(path).count() if counts else None))
     (spark.createDataFrame(rows, "release bigint, tabel string, pad string, rijen bigint").coalesce(1)
      .write.mode("append").parquet(f"{root}/manifest"))

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from plenaria.operators.versioned import latest_version
+from plenaria.session import checkpoint
 from plenaria.sources import checked, feed, pages
 
 
@@ -62,58 +63,84 @@ def stream_append(spark: SparkSession, path: str, schema: T.StructType, sink: st
             .trigger(availableNow=True).start())
 
 
-_MANIFEST = "batch bigint, soort string"
+#: Parts of a streamed table; a batch rewrites only those that its keys fall into.
+BUCKETS = 64
+_COMMITS = "volgnummer bigint, stroom string, batch bigint, poging string, emmer int"
 
 
-def current_version(spark: SparkSession, root: str, key: Sequence[str], order: Sequence[str],
-                    before: int | None = None) -> DataFrame | None:
-    """Newest row per key of a streamed table: the last full copy and the batches after it.
+def _bucket(key: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
-    ``before`` looks at the table as it was before a batch. None when nothing is committed yet.
-    """
+
+def _committed(spark: SparkSession, root: str) -> DataFrame | None:
+    """One row per commit and bucket that it wrote; None when nothing is committed yet."""
     try:
-        listed = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest").distinct()
+        return spark.read.schema(_COMMITS).parquet(f"{root}/commits")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             return None
         raise
-    # one small row per batch
-    done = sorted((r["batch"], r["soort"]) for r in listed.collect() if before is None or r["batch"] < before)
-    full = max((b for b, kind in done if kind == "volledig"), default=None)
-    parts = [] if full is None else [f"{root}/volledig/batch={full}"]
-    parts += [f"{root}/nieuw/batch={b}" for b, kind in done if kind == "nieuw" and (full is None or b > full)]
-    if not parts:
+
+
+def current_version(spark: SparkSession, root: str, before: int | None = None, only: Sequence[int] | None = None) -> DataFrame | None:
+    """Newest row per key of a streamed table. ``before`` looks at it as it was before a commit, numbered from 0.
+
+    Each bucket, or each of ``only`` these, is read from the last commit that wrote it. None when
+    nothing is committed yet.
+    """
+    commits = _committed(spark, root)
+    if commits is None:
+        return None
+    seen = commits if before is None else commits.where(F.col("volgnummer") < before)
+    if seen.isEmpty():
         return None
-    frames = [spark.read.parquet(p) for p in parts]
-    if len(frames) == 1:
-        return frames[0]
-    return latest_version(reduce(DataFrame.unionByName, frames), key, [F.col(c).desc_nulls_last() for c in order])
+    # as many rows as there are buckets
+    newest = seen.groupBy("emmer").agg(F.max_by("poging", "volgnummer").alias("poging"))
+    files = spark.read.parquet(f"{root}/data")
+    chosen = files if only is None else files.where(F.col("emmer").isin(list(only)))
+    return chosen.join(F.broadcast(newest), ["emmer", "poging"], "left_semi").drop("emmer", "poging")
 
 
 def stream_latest(spark: SparkSession, source: DataFrame, root: str, checkpoint_path: str, key: Sequence[str],
-                  order: Sequence[str], full_every: int = 20) -> StreamingQuery:
+                  order: Sequence[str], buckets: int = BUCKETS, repeats_within: str | None = None) -> StreamingQuery:
     """Keep the newest version per key of a stream, whatever order the versions arrive in.
 
-    A batch is reduced to its newest row per key and stored on its own, so its cost does not grow
-    with the table; every ``full_every`` batches one full copy is written. The manifest row that
-    makes a write visible comes last, and a repeated batch rewrites the same folder. Late older
-    versions never replace newer ones.
+    The table is cut into buckets by a hash of the key. A batch is reduced to its newest row per key
+    and merged with the buckets that these keys fall into; only those are written, to a folder of
+    this attempt, and a commit row per bucket then makes them visible at once. So a batch costs what
+    its buckets cost, readers never see half a batch, and nothing that they read is overwritten. A
+    batch that runs again after its commit does nothing; a stream is known by its checkpoint, and a
+    table has one writer at a time. Late older versions never replace newer ones.
+
+    ``repeats_within`` (such as ``2 hours``) drops versions that arrive again within that time, by
+    watermarked state on key and order; the watermark is the time of arrival, so a late version is
+    not lost. ``buckets`` must stay the same for a table; choose it so that one fits in a task.
     """
     newest_first: list[Column] = [F.col(c).desc_nulls_last() for c in order]
-
-    def commit(session: SparkSession, number: int, kind: str) -> None:
-        session.createDataFrame([(number, kind)], _MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+    stream = hashlib.md5(checkpoint_path.encode()).hexdigest()
 
     def apply(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        latest_version(batch, key, newest_first).write.mode("overwrite").parquet(f"{root}/nieuw/batch={number}")
-        commit(session, number, "nieuw")
-        if (number + 1) % full_every == 0:
-            # a repeated batch must not read the copy that it writes again
-            earlier, fresh = current_version(session, root, key, order, before=number), session.read.parquet(f"{root}/nieuw/batch={number}")
-            whole = fresh if earlier is None else latest_version(earlier.unionByName(fresh), key, newest_first)
-            whole.write.mode("overwrite").parquet(f"{root}/volledig/batch={number}")
-            commit(session, number, "volledig")
-
+        session, commits = batch.sparkSession, _committed(batch.sparkSession, root)
+        place = 0
+        if commits is not None:
+            seen = commits.agg(F.max("volgnummer").alias("last"), F.count(F.when((F.col("stroom") == stream) & (F.col("batch") == number), 1)).alias("same")).first()
+            if seen["same"]:
+                return
+            place = seen["last"] + 1
+        fresh = checkpoint(latest_version(batch, key, newest_first).withColumn("emmer", _bucket(key, buckets)))
+        # at most as many numbers as there are buckets
+        touched = [r[0] for r in fresh.select("emmer").distinct().collect()]
+        if not touched:
+            return
+        earlier = current_version(session, root, only=touched)
+        if earlier is not None:
+            fresh = latest_version(earlier.withColumn("emmer", _bucket(key, buckets)).unionByName(fresh), key, newest_first)
+        attempt = f"p{uuid.uuid4().hex}"
+        fresh.repartition("emmer").withColumn("poging", F.lit(attempt)).write.mode("append").partitionBy("emmer", "poging").parquet(f"{root}/data")
+        session.createDataFrame([(place, stream, number, attempt, e) for e in touched], _COMMITS).coalesce(1).write.mode("append").parquet(f"{root}/commits")
+
+    if repeats_within:
+        source = (source.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", repeats_within)
+                  .dropDuplicatesWithinWatermark([*key, *order]).drop("_arrived"))
     return (source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_path)
             .trigger(availableNow=True).start())

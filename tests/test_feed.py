@@ -94,13 +94,13 @@ def test_tolerant_reading_keeps_all_decodable_entries(spark, tmp_path):
     assert [r.path.rsplit("/", 1)[1] for r in rejected] == [cut.name] and "z6" in rejected[0].page and rejected[0].entries <= 0
 
 
-def test_repeated_full_copy_batch_leaves_the_table_whole(spark, tmp_path):
+def test_repeated_batch_leaves_the_table_whole(spark, tmp_path):
     root = str(tmp_path / "table")
     spark.createDataFrame([(1, 1), (2, 1), (1, 2)], "id int, at int").write.parquet(str(tmp_path / "in"))
     for run in ("first", "again"):
         source = spark.readStream.schema("id int, at int").parquet(str(tmp_path / "in"))
-        jobs.stream_latest(spark, source, root, str(tmp_path / run), ["id"], ["at"], full_every=1).awaitTermination()
-    assert sorted(tuple(r) for r in jobs.current_version(spark, root, ["id"], ["at"]).collect()) == [(1, 2), (2, 1)]
+        jobs.stream_latest(spark, source, root, str(tmp_path / run), ["id"], ["at"], buckets=2).awaitTermination()
+    assert sorted(tuple(r) for r in jobs.current_version(spark, root).collect()) == [(1, 2), (2, 1)]
 
 
 def test_xsd_validation(spark, tmp_path, rows):
@@ -224,20 +224,39 @@ def test_release_switches_as_a_whole(spark, tmp_path, rows):
     assert {n: d.count() for n, d in files.read_release(spark, root).items()} == {"a": 3, "b": 1}
     files.publish({"a": spark.range(5)}, root, 3)
     assert {n: d.count() for n, d in files.read_release(spark, root).items()} == {"a": 5}
+    reader = files.read_release(spark, root)["a"]
+    with pytest.raises(ValueError):
+        files.publish({"a": spark.range(9)}, root, 3)
+    assert reader.count() == 5 and {n: d.count() for n, d in files.read_release(spark, root).items()} == {"a": 5}
 
 
-@pytest.mark.parametrize("full_every", [1, 2, 20])
-def test_latest_stream_ignores_late_versions(spark, tmp_path, rows, full_every):
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_latest_stream_ignores_late_versions(spark, tmp_path, rows, buckets):
     landed, schema = tmp_path / "landed", "id string, bijgewerkt int, n int"
     batches = [[("a", 5, 1), ("b", 1, 1)], [("a", 3, 2), ("c", 1, 2)], [("b", 9, 3), ("a", 5, 0)]]
     root, cursor, by = str(tmp_path / "table"), str(tmp_path / "cursor"), (["id"], ["bijgewerkt", "n"])
-    assert jobs.current_version(spark, root, *by) is None
+    assert jobs.current_version(spark, root) is None
     for data in batches:
         spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(landed))
         source = spark.readStream.schema(schema).parquet(str(landed))
-        jobs.stream_latest(spark, source, root, cursor, *by, full_every=full_every).awaitTermination()
-    assert rows(jobs.current_version(spark, root, *by)) == [("a", 5, 1), ("b", 9, 3), ("c", 1, 2)]
-    assert rows(jobs.current_version(spark, root, *by, before=1)) == [("a", 5, 1), ("b", 1, 1)]
+        jobs.stream_latest(spark, source, root, cursor, *by, buckets=buckets).awaitTermination()
+    assert rows(jobs.current_version(spark, root)) == [("a", 5, 1), ("b", 9, 3), ("c", 1, 2)]
+    assert rows(jobs.current_version(spark, root, before=1)) == [("a", 5, 1), ("b", 1, 1)]
+
+
+def test_latest_stream_writes_touched_buckets_only(spark, tmp_path, rows):
+    root, cursor = str(tmp_path / "table"), str(tmp_path / "cursor")
+    for data in ([(k, 1) for k in range(400)], [(7, 2), (7, 2), (8, 1)]):
+        spark.createDataFrame(data, "id int, at int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        jobs.stream_latest(spark, spark.readStream.schema("id int, at int").parquet(str(tmp_path / "in")), root, cursor, ["id"], ["at"], buckets=16, repeats_within="1 hour").awaitTermination()
+    attempts = spark.read.parquet(f"{root}/commits").groupBy("volgnummer").agg(F.count("emmer").alias("n"), F.first("poging").alias("p")).orderBy("volgnummer").collect()
+    # the second batch holds two keys, and (8, 1) arrives again within the hour: one bucket is written, a sixteenth of the rows
+    assert [r.n for r in attempts] == [16, 1] and spark.read.parquet(f"{root}/data").where(F.col("poging") == attempts[1].p).count() < 60
+    assert rows(jobs.current_version(spark, root).where("at = 2")) == [(7, 2)] and jobs.current_version(spark, root).count() == 400
+    # a batch that ran to its commit but is run again changes nothing
+    files_before = spark.read.parquet(f"{root}/data").count()
+    jobs.stream_latest(spark, spark.readStream.schema("id int, at int").parquet(str(tmp_path / "in")), root, cursor, ["id"], ["at"], buckets=16, repeats_within="1 hour").awaitTermination()
+    assert spark.read.parquet(f"{root}/data").count() == files_before
 
 
 def test_catalog_and_relations(spark, rows):

@@ -82,3 +82,42 @@ def test_cascade_follows_chains_of_any_length(spark, rows):
     chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(20)] + [(100, None)], "id int, parent int")
     left = M.cascade_delete({"node": chain}, [M.ForeignKey("node", "parent", "node")], "node", spark.createDataFrame([(0,)], "id int"))
     assert rows(left["node"], "id") == [(100,)]
+
+
+def test_cascade_reads_fewer_links_every_round(spark, rows, monkeypatch):
+    # chains of 10 in one table take 4 rounds of jumps, and chains over two tables that refer to each other 10 rounds
+    chains = spark.createDataFrame([(i, i - 1 if i % 10 else None) for i in range(1000)], "id int, parent int")
+    sizes, real = [], M.stored
+
+    def counted(df):
+        out = real(df)
+        if out.columns == ["_gone", "_to"]:
+            sizes.append(out.count())
+        return out
+    monkeypatch.setattr(M, "stored", counted)
+    start = chains.where("parent IS NULL AND id < 500").select("id")
+    left = M.cascade_delete({"node": chains}, [M.ForeignKey("node", "parent", "node")], "node", start)
+    assert left["node"].count() == 500 and len(sizes) <= 6 and sizes == sorted(sizes, reverse=True) and sizes[-1] == 0
+    sizes.clear()
+    even, odd = (chains.where(f"id % 2 = {k}") for k in (0, 1))
+    keys = [M.ForeignKey("odd", "parent", "even"), M.ForeignKey("even", "parent", "odd"), M.ForeignKey("even", "id", "first")]
+    left = M.cascade_delete({"first": chains.where("parent IS NULL").select("id"), "even": even, "odd": odd}, keys, "first", start)
+    assert left["even"].count() + left["odd"].count() == 500 and sum(sizes) < 10 * 1000 and sizes[-1] < sizes[0]
+
+
+def test_cascade_ends_on_a_circle_of_rows(spark, rows):
+    nodes = spark.createDataFrame([(1, 3), (2, 1), (3, 2), (10, None), (11, 10), (12, 11), (20, 99)], "id int, parent int")
+    left = M.cascade_delete({"node": nodes}, [M.ForeignKey("node", "parent", "node")], "node", spark.createDataFrame([(10,)], "id int"))
+    assert {r.id for r in left["node"].collect()} == {1, 2, 3, 20}
+    left = M.cascade_delete({"node": nodes}, [M.ForeignKey("node", "parent", "node")], "node", spark.createDataFrame([(2,)], "id int"))
+    assert {r.id for r in left["node"].collect()} == {10, 11, 12, 20}
+
+
+def test_cascade_over_a_circle_of_tables(spark, rows):
+    # person -> seat -> person: every kept or lost row is reached over both references
+    tables = {"root": spark.createDataFrame([("r1",), ("r2",)], "id string"),
+              "p": spark.createDataFrame([("p1", "r1", None), ("p2", "r2", "s1"), ("p3", "r2", "s2"), ("p4", "r2", None)], "id string, root_id string, s_id string"),
+              "s": spark.createDataFrame([("s1", "p1"), ("s2", "p2"), ("s3", "p4")], "id string, p_id string")}
+    keys = [M.ForeignKey("p", "root_id", "root"), M.ForeignKey("p", "s_id", "s"), M.ForeignKey("s", "p_id", "p")]
+    left = M.cascade_delete(tables, keys, "root", spark.createDataFrame([("r1",)], "id string"))
+    assert rows(left["p"], "id") == [("p4",)] and rows(left["s"], "id") == [("s3",)]
