@@ -11,14 +11,13 @@ import unicodedata
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plenaria.llm.common import slices, texts_of
+from plenaria.llm.common import kept, slices, texts_of
 
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ["email", "ip", "card", "phone"]
@@ -106,7 +105,6 @@ COMPATIBLE = [(0x2070, 0x20A0), (0x2460, 0x24FF), (0xFE50, 0xFE70), (0xFF01, 0xF
 SEPARATORS = "@._%+-() "
 
 
-@cache
 def look_alikes() -> dict[int, str | None]:
     """The table of the first transducer: look-alikes, compatible forms and the digits of all scripts; None: left out."""
     table: dict[int, str | None] = {ord(pair[0]): pair[1] for pair in f"{CYRILLIC} {GREEK} {PUNCTUATION}".split()}
@@ -129,14 +127,14 @@ def seen(source: Normalised) -> Normalised:
     """First transducer: look-alike letters and digits of other scripts become ASCII, characters without width go."""
     if source.text.isascii() or not UNCOMMON.search(source.text):
         return source
-    table = look_alikes()
+    table = kept("look-alikes", look_alikes)
     text = source.text.translate(table)
     if text == source.text:
         return source
     if len(text) == len(source.text):
         return Normalised(text, source.begin, source.end)
-    kept = np.array([table.get(ord(c), c) is not None for c in source.text])
-    return Normalised(text, source.begin[kept], source.end[kept])
+    seen = np.array([table.get(ord(c), c) is not None for c in source.text])
+    return Normalised(text, source.begin[seen], source.end[seen])
 
 
 # The digits from 0 to 9 in English, German, French and Spanish, and words for signs.

@@ -211,15 +211,14 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     found = checkpoint(grouped(docs, doc_id, text, shingle, radius).where("doc_id IS NOT NULL").groupBy("root", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n")))
     place = F.struct("doc_id", "digest")
     kept = found.groupBy("root").agg(F.min(place).alias("kept"))
-    named = [F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")]
-    gone = found.join(kept, "root").where(place != F.col("kept")).select(*named)
-    same = (column(doc_id).cast("long") == F.col("_id")) & (digest(column(text)) == F.col("_digest"))
-    left = docs.join(gone, same, "left_anti")
-    repeated = found.where("n > 1").select(*named)
+    gone = found.join(kept, "root").where(place != F.col("kept")).select("doc_id", "digest")
+    # the row's own columns stand in a struct, so their names cannot clash
+    rows = docs.select(F.struct(*(column(c) for c in docs.columns)).alias("row"), column(doc_id).cast("long").alias("doc_id"),
+                       digest(column(text)).alias("digest"), column(text).alias("text"))
+    left = rows.join(gone, ["doc_id", "digest"], "left_anti")
+    repeated = found.where("n > 1").select("doc_id", "digest")
     if repeated.isEmpty():
-        return left
-    row = F.struct(*(column(c) for c in docs.columns))
-    number = F.row_number().over(Window.partitionBy("_id", "_digest").orderBy("_text"))
-    several = left.join(repeated, same).select(row.alias("_row"), "_id", "_digest", column(text).alias("_text"))
-    first = several.withColumn("_number", number).where("_number = 1").select("_row.*")
-    return left.join(repeated, same, "left_anti").unionByName(first)
+        return left.select("row.*")
+    number = F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy("text"))
+    first = left.join(repeated, ["doc_id", "digest"]).withColumn("number", number).where("number = 1").select("row")
+    return left.join(repeated, ["doc_id", "digest"], "left_anti").select("row").unionAll(first).select("row.*")

@@ -366,3 +366,37 @@ def test_trees_and_classifiers(spark, odd, none):
     assert odd.select(toxicity.score(None, F.col("text")).alias("s")).where("s = 0").count() == len(ODD)
     small = toxicity.train([toxicity.hashed(t) for t in (["good", "day"], ["vile", "day"])] * 20, np.array([0.0, 1.0] * 20))
     assert len(toxicity.scores(small, [None, "", "vile"])) == 3 and toxicity.language("der und die".split()) == 2
+
+
+def test_texts_of_one_id_keep_their_own_lines(spark):
+    """Texts of one id whose 32-bit hashes are equal are still told apart, with and without an id."""
+    line, seen, texts = "the same line of boilerplate that stands in many documents of this table", {}, []
+    for k in range(0, 400_000, 20_000):
+        found = spark.range(k, k + 20_000).select(F.format_string(line + "\nnumber %d", "id").alias("t")).select("t", F.hash("t").alias("h")).collect()
+        texts += [(seen[r.h], r.t) for r in found if r.h in seen]
+        seen |= {r.h: r.t for r in found}
+        if texts:
+            break
+    one, two = texts[0]
+    for i in (1, None):
+        rows = spark.createDataFrame([(0, line), (i, one), (i, two)], "doc_id long, text string")
+        kept = [r.text for r in lines.dedup(rows).collect()]
+        assert sum(one.split("\n")[1] in t for t in kept) == 1 and sum(two.split("\n")[1] in t for t in kept) == 1 and sum(line in t for t in kept) == 1
+
+
+def test_one_of_each_with_clashing_names(spark):
+    names = ["_id", "_digest", "_row", "_text", "_number", "row", "digest", "number", "root", "n"]
+    rows = [(i, "a text of some words that is long enough to count here", *[f"{n}{i}" for n in names]) for i in (1, 2, 2)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))).collect()
+    assert [tuple(r)[:3] for r in kept] == [(1, rows[0][1], "_id1")]
+
+
+@pytest.mark.parametrize("name", ["op10_toxicity", "op12_personal", "op13_importance", "op11_infill"])
+def test_queries_run_from_a_foreign_folder(tmp_path, name):
+    """Workers started elsewhere, without the package on their path, still run the query."""
+    import subprocess
+    import sys
+    code = (f"import sys; sys.path.insert(0, {str(Path(__file__).resolve().parents[2])!r}); import __spark_entry__ as e; from plenaria.session import local_session; s = local_session('far', 2); "
+            f"print('rows', e.queries()[{name!r}](s, {FOLDER!r}).count())")
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300, env={k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"})
+    assert "rows 200" in done.stdout, done.stderr[-2000:]
