@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from plenaria.functions import numbers as N
 from plenaria.functions import text as T
-from plenaria.operators.sampling import distinct_sample, one_in, one_in_md5, smallest_hashes
+from plenaria.operators.sampling import distinct_sample, one_in, smallest_hashes
 from plenaria.queries import Tables, query
 from plenaria.rules.fixed import INCOME_FACTORS
 
@@ -116,7 +116,7 @@ def histogram(t: Tables):
     return t.lineitem.groupBy(N.fixed_bin(F.col("l_extendedprice"), 10000).cast("bigint").alias("vanaf")).agg(F.count(F.lit(1)).alias("aantal"))
 
 
-@query("p14_hash_sample")
+@query("p14_hash_sample", "SELECT * FROM orders WHERE CAST('0x' || md5(CAST(o_orderkey AS VARCHAR))[1:8] AS BIGINT) % 50 = 0")
 def hash_sample(t: Tables):
     """One in fifty orders by key hash (the sample is the feature)."""
     return one_in(t.orders, F.col("o_orderkey"), 50)
@@ -125,16 +125,16 @@ def hash_sample(t: Tables):
 @query("p14_mod_sample", """
 SELECT doc_id, source FROM documents WHERE CAST('0x' || md5(CAST(doc_id AS VARCHAR))[1:8] AS BIGINT) % 5 = 0""")
 def md5_sample(t: Tables):
-    return one_in_md5(t.documents.select("doc_id", "source"), F.col("doc_id"), 5)
+    return one_in(t.documents.select("doc_id", "source"), F.col("doc_id"), 5)
 
 
-@query("p15_review_sample")
+@query("p15_review_sample", "SELECT p_name, p_type FROM (SELECT DISTINCT p_name, p_type FROM part) ORDER BY md5('1:' || p_name || ':' || p_type), p_name, p_type LIMIT 50")
 def review_sample(t: Tables):
     """Fifty distinct part descriptions in seeded random order (the sample is the feature)."""
     return distinct_sample(t.part, ["p_name", "p_type"], 50, seed=1)
 
 
-@query("p15_smallest_hashes")
+@query("p15_smallest_hashes", "SELECT * FROM orders ORDER BY md5('0:' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 500")
 def dossier_sample(t: Tables):
     return smallest_hashes(t.orders, F.col("o_orderkey"), 500)
 

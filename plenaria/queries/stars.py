@@ -50,6 +50,10 @@ b AS (SELECT min(d) AS lo, max(d) AS hi FROM (SELECT CAST(gewijzigd_op AS DATE)
 SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, CAST(d AS DATE) AS calendar_date, strftime(d, '%Y-%m') AS month, year(d) AS year FROM b, generate_series(lo, hi, INTERVAL 1 DAY) g(d)
 UNION ALL SELECT -1, NULL, 'Onbekend', NULL UNION ALL SELECT 99991231, NULL, 'Nog actief', NULL""")
 
+_star("z_contacts_dim_fractie", _contacts, "dim_fractie", ("fractie",), """
+SELECT id AS fractie_id, nummer, afkorting, naam_nl, naam_en, CAST(aantal_zetels AS BIGINT) AS aantal_zetels, CAST(aantal_stemmen AS BIGINT) AS aantal_stemmen, datum_actief, datum_inactief, logo_url FROM fractie
+UNION ALL BY NAME SELECT '-1' AS fractie_id, 'Onbekend' AS naam_nl, 'Unknown' AS naam_en""")
+
 _PUB = """pub AS (SELECT d.id AS document_id, d.soort, m.document_type, d.organisatie, d.datum, m.publicatie_datum AS publicatiedatum, date_diff('day', d.datum, m.publicatie_datum) AS dagen_tot_publicatie, v.bestandsgrootte, v.versienummer
   FROM document d LEFT JOIN document_versie v ON d.huidige_document_versie_id = v.id LEFT JOIN document_publicatie_metadata m ON m.document_versie_id = v.id AND m.document_type = 'Metadata')"""
 _DOCS = ("document", "document_versie", "document_publicatie_metadata")
@@ -61,6 +65,11 @@ _star("z_documents_dim_tijd", Z.documents, "dim_tijd", _DOCS, f""", {_PUB}, b AS
 SELECT CAST(d AS DATE) AS datum, year(d) AS jaar, month(d) AS maand, day(d) AS dag, quarter(d) AS kwartaal, weekofyear(d) AS weeknummer, dayname(d) AS dagnaam, isodow(d) AS dagnr FROM b, generate_series(lo, hi, INTERVAL 1 DAY) g(d)""")
 
 
+_star("z_documents_dim_soort", Z.documents, "dim_documentsoort", ("document",), "SELECT DISTINCT soort FROM document WHERE soort IS NOT NULL")
+_star("z_documents_dim_type", Z.documents, "dim_documenttype", _DOCS, f", {_PUB} SELECT DISTINCT document_type FROM pub WHERE document_type IS NOT NULL")
+_star("z_documents_dim_document", Z.documents, "dim_document", ("document",), "SELECT id AS document_id, titel FROM document")
+
+
 def _history(c):
     return Z.seat_history(c, _AS_OF, 1990, 2005)
 
@@ -78,6 +87,12 @@ SELECT row_number() OVER (ORDER BY e.datum_id, persoon_id NULLS LAST, e.fractie_
 FROM e LEFT JOIN n ON n.fractie_id = e.fractie_id AND n.datum_id = e.datum_id""")
 
 
+_star("z_seats_dim_persoon", _history, "dim_persoon", ("persoon",), "SELECT id, roepnaam, voornamen, tussenvoegsel, achternaam, geslacht, geboortedatum, fractielabel FROM persoon")
+_star("z_seats_dim_tijd", _history, "dim_tijd", _SEATS, f""", {_HELD}, b AS (SELECT least(min(van), min(tot_en_met)) AS lo, greatest(max(van), max(tot_en_met)) AS hi FROM h)
+SELECT CAST(d AS DATE) AS datum, year(d) AS jaar, month(d) AS maand, list_extract(['januari', 'februari', 'maart', 'april', 'mei', 'juni', 'juli', 'augustus', 'september', 'oktober', 'november', 'december'], month(d)) AS maandnaam,
+  CASE WHEN month(d) >= 9 THEN year(d) || '-' || (year(d) + 1) ELSE (year(d) - 1) || '-' || year(d) END AS vergaderjaar FROM b, generate_series(lo, hi, INTERVAL 1 DAY) g(d)""")
+
+
 def _committees(c):
     return Z.committees(c, _SITTING_DAY, date(1996, 1, 1))
 
@@ -104,6 +119,8 @@ SELECT id AS persoon_id, achternaam, geslacht, geboortedatum, date_diff('year',
 _star("z_committees_dim_zaak", _committees, "dim_zaak", ("zaak", "activiteit", "agendapunt", "besluit", "besluit_zaak"), f"""
 SELECT id AS zaak_id, soort, substr(onderwerp, 1, 100) AS onderwerp, status, afgedaan FROM zaak WHERE id IN (SELECT bz.zaak_id FROM {_CHAIN})""")
 
+_star("z_committees_dim_fractie", _committees, "dim_fractie", ("fractie",), "SELECT id AS fractie_id, afkorting, naam_nl FROM fractie")
+
 _star("z_decisions_fact", Z.decisions, "fact_activiteit_besluit", ("activiteit", "agendapunt", "besluit", "besluit_zaak", "zaak"), """
 SELECT a.id AS activiteit_id, z.id AS zaak_id, b.id AS besluit_id, date_diff('minute', aanvangstijd, eindtijd) AS duur_minuten FROM activiteit a LEFT JOIN agendapunt ap ON ap.activiteit_id = a.id
   LEFT JOIN besluit b ON b.agendapunt_id = ap.id LEFT JOIN besluit_zaak bz ON bz.besluit_id = b.id LEFT JOIN zaak z ON bz.zaak_id = z.id""")
@@ -114,6 +131,11 @@ _star("z_decisions_actor", Z.decisions, "bridge_zaak_actor", ("zaak_actor",), "S
 _star("z_decisions_activity", Z.decisions, "fact_activiteit", ("activiteit",), "SELECT id AS activiteit_id, datum, datum_soort, date_diff('minute', aanvangstijd, eindtijd) AS duur_minuten FROM activiteit")
 
 
+_star("z_decisions_bridge", Z.decisions, "bridge_besluit_zaak", ("besluit_zaak",), "SELECT besluit_id, zaak_id FROM besluit_zaak")
+_star("z_decisions_dim_activiteit", Z.decisions, "dim_activiteit", ("activiteit",), "SELECT id AS activiteit_id, soort, onderwerp, datum, datum_soort, aanvangstijd, eindtijd FROM activiteit")
+_star("z_decisions_dim_zaak", Z.decisions, "dim_zaak", ("zaak",), "SELECT id AS zaak_id, soort, onderwerp FROM zaak")
+
+
 def _votes(c):
     return Z.votes(c, date(1997, 1, 1), date(1998, 1, 1))
 
@@ -135,6 +157,10 @@ FROM persoon_nevenfunctie_inkomsten ink JOIN persoon_nevenfunctie nf ON nf.id =
 _star("z_income_dim_fractie", Z.income, "dim_fractie", ("fractie",), "SELECT id AS fractie_id, CASE WHEN lower(naam_nl) LIKE '%groenlinks%' THEN 'GroenLinks / Progressief Nederland' ELSE naam_nl END AS fractienaam, datum_actief AS opgericht_datum FROM fractie")
 
 
+_star("z_income_dim_nevenfunctie", Z.income, "dim_nevenfunctie", ("persoon_nevenfunctie",), "SELECT id AS nevenfunctie_id, omschrijving, vergoeding_soort AS vergoedingssoort FROM persoon_nevenfunctie")
+_star("z_income_dim_persoon", Z.income, "dim_persoon", ("persoon",), "SELECT id AS persoon_id, voornamen, achternaam FROM persoon")
+
+
 def _travel(c):
     return Z.travel(c, date(1999, 6, 1))
 
@@ -145,7 +171,12 @@ SELECT r.id, r.persoon_id, roepnaam, achternaam, doel, bestemming, r.van, r.tot_
 FROM persoon_reis r JOIN p ON p.id = r.persoon_id AND r.van BETWEEN p.van AND p.tot GROUP BY ALL""")
 _star("z_travel_gifts", _travel, "gold_fact_geschenk", ("persoon", "persoon_geschenk", *_SEATS), f""", {_PARTY}
 SELECT g.id, g.persoon_id, roepnaam, achternaam, datum, CAST(gewicht AS BIGINT) AS gewicht, omschrijving, afkorting, overlijdensdatum FROM persoon_geschenk g JOIN p ON p.id = g.persoon_id AND g.datum BETWEEN p.van AND p.tot""")
-_star("z_legislation_sample", lambda c: Z.legislation(c), "kamerstukdossier", (), None)
+_DOSSIERS = "ds AS (SELECT id, titel, CAST(nummer AS BIGINT) AS nummer, toevoeging, kamer FROM kamerstukdossier ORDER BY md5('0:' || id), id LIMIT 500)"
+_DOSSIER_DOCS = f"""{_DOSSIERS}, dd AS (SELECT id, kamerstukdossier_id, document_nummer, titel, soort, vergaderjaar, datum, datum_registratie, datum_ontvangst FROM document WHERE kamerstukdossier_id IN (SELECT id FROM ds))"""
+_star("z_legislation_sample", lambda c: Z.legislation(c), "kamerstukdossier", ("kamerstukdossier",), f", {_DOSSIERS} SELECT * FROM ds")
+_star("z_legislation_document", lambda c: Z.legislation(c), "document", ("kamerstukdossier", "document"), f", {_DOSSIER_DOCS} SELECT * FROM dd")
+_star("z_legislation_actor", lambda c: Z.legislation(c), "document_actor", ("kamerstukdossier", "document", "document_actor"), f", {_DOSSIER_DOCS} SELECT document_id, fractie_id, relatie FROM document_actor WHERE document_id IN (SELECT id FROM dd)")
+_star("z_legislation_fractie", lambda c: Z.legislation(c), "fractie", ("document_actor", "fractie"), "SELECT id, afkorting FROM fractie WHERE id IN (SELECT fractie_id FROM document_actor)")
 _star("z_planning", Z.planning, "planning", ("reservering", "activiteit", "zaal"), """
 SELECT r.id AS reservering_id, r.activiteit_id, datum, a.soort AS activiteitssoort, a.onderwerp AS activiteit, a.status, a.besloten, z.naam AS vergaderzaal FROM reservering r LEFT JOIN activiteit a ON r.activiteit_id = a.id LEFT JOIN zaal z ON r.zaal_id = z.id""")
 
@@ -161,6 +192,7 @@ SELECT o.id AS opleiding_id, persoon_id, categorie AS niveau, bron AS niveau_bro
 FROM persoon_onderwijs o JOIN stg_onderwijs s ON s.id = o.id WHERE persoon_id IN (SELECT id FROM persoon)""")
 _star("z_careers_career", _careers, "fact_loopbaan", ("persoon", "persoon_loopbaan", "stg_loopbaan"), """
 SELECT l.id AS loopbaan_id, persoon_id, sector, year(van) AS jaar_van, year(tot_en_met) AS jaar_tot, functie, werkgever FROM persoon_loopbaan l JOIN stg_loopbaan s ON s.id = l.id WHERE persoon_id IN (SELECT id FROM persoon)""")
+_star("z_careers_dim_fractie", _careers, "dim_fractie", ("fractie",), "SELECT id AS fractie_id, afkorting, naam_nl FROM fractie")
 _PERSON = (("persoon", "persoon_onderwijs", "stg_onderwijs", "persoon_loopbaan", "stg_loopbaan", "stg_correcties", "stg_plaats", *_SEATS), """,
 niv(niveau, rang) AS (VALUES ('basisonderwijs', 0), ('vo', 1), ('mbo', 2), ('hbo', 3), ('wo', 4), ('promotie', 5)),
 opl AS (SELECT o.id, persoon_id, categorie, bron, s.status FROM persoon_onderwijs o JOIN stg_onderwijs s ON s.id = o.id), hoog AS (SELECT persoon_id, categorie, bron, row_number() OVER (PARTITION BY persoon_id ORDER BY rang DESC, (bron = 'tekst') DESC, id) AS rn FROM opl JOIN niv ON niveau = categorie WHERE status = 'voltooid'),

@@ -46,3 +46,23 @@ def test_entry_points(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert all(q.sql is None or q.sql.strip() for q in registry().values())
+
+
+def test_other_queries_import_without_the_text_operators():
+    """A text library that is missing, or the subpackage itself, leaves only the text queries out."""
+    import subprocess
+    root = str(Path(__file__).resolve().parents[1])
+    code = (f"import sys; sys.path.insert(0, {root!r}); sys.modules['xxhash'] = sys.modules['tokenizers'] = sys.modules['plenaria.llm'] = None; import __spark_entry__ as e; "
+            "print(len(e.queries()), any(n.startswith('op') or n == 'pipeline' for n in e.queries()), set(e.oracle_sql()) <= set(e.queries()))")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert done.stdout.split()[1:] == ["False", "True"] and int(done.stdout.split()[0]) == len(registry()), done.stderr[-1000:]
+
+
+def test_queries_run_from_a_foreign_folder(tmp_path):
+    import subprocess
+    root = str(Path(__file__).resolve().parents[1])
+    code = (f"import sys; sys.path.insert(0, {root!r}); import __spark_entry__ as e; from plenaria.session import local_session; s = local_session('far', 2); q = e.queries(); "
+            f"print('rows', *[q[n](s, {FOLDER!r}).count() > 0 for n in ('j15_pairs', 'a10_edges', 's1_source_resume')])")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300, env=env)
+    assert "rows True True True" in done.stdout, done.stderr[-2000:]
