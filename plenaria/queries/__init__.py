@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 MODULES = ("sources", "versions", "scalars", "dates", "texts", "joins", "aggregates", "windows", "reshapes",
-           "calendars", "increments", "checks", "semantics", "votings", "seatings", "analyses", "stars")
+           "calendars", "catalogue", "increments", "checks", "semantics", "votings", "seatings", "analyses", "stars")
 
 
 class Tables:
