@@ -32,6 +32,17 @@ def enforce_contract(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields])
 
 
+def contract_report(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Per declared column whether a frame has it, with which type, and whether it carries the declared metadata.
+
+    Metadata are the column's comment, key and reference. All comes from the schemas; no row is read.
+    """
+    have = {f.name: f for f in df.schema.fields}
+    rows = [(i + 1, f.name, f.dataType.simpleString(), f.metadata.get("comment"), f.name in have, f.name in have and have[f.name].dataType == f.dataType,
+             f.name in have and have[f.name].metadata == f.metadata) for i, f in enumerate(schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "volgnummer int, kolom string, type string, toelichting string, aanwezig boolean, type_ok boolean, metadata_ok boolean")
+
+
 @dataclass(frozen=True)
 class Check:
     """One declared test: kind is not_null, unique, accepted, relationship, primary_key or rule."""
@@ -103,22 +114,29 @@ def anomalies(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return melt(counted, [], list(rules), "controle", "aantal")
 
 
+def digests(*columns: Column) -> list[Column]:
+    """Two 64-bit hashes of a combination of values, which stand for it in a shuffle; NULL is a value of its own."""
+    told = [x for c in columns for x in (c.isNull(), c)]
+    return [F.xxhash64(*told).alias("_k1"), F.xxhash64(F.lit("second"), *told).alias("_k2")]
+
+
 def profile(df: DataFrame, placeholders: Sequence[str] = PLACEHOLDERS, digits: int = 1) -> DataFrame:
     """Per column: rows, empty, placeholder texts, share filled and distinct values.
 
-    Counts come from one scan. Distinct values are counted from (column, value) pairs that
-    combine before the shuffle.
+    One scan makes a cell per column and row, which is reduced to two 64-bit hashes and flags before
+    anything is grouped: cells that are equal combine in their task, and no text is shuffled, however
+    long it is. Distinct values are counted by their hashes.
     """
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     long = melt(df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]), [], df.columns, "kolom", "_v")
     is_text = F.col("kolom").isin(sorted(text)) if text else F.lit(False)
-    marked = long.withColumn("_p", is_text & is_placeholder(F.col("_v"), placeholders))
-    values = marked.groupBy("kolom", "_v").agg(F.count(F.lit(1)).alias("_n"), F.max("_p").alias("_p"))
+    cells = long.select("kolom", *digests(F.col("_v")), F.col("_v").isNull().alias("_leeg"), (is_text & is_placeholder(F.col("_v"), placeholders)).alias("_p"))
+    values = cells.groupBy("kolom", "_k1", "_k2", "_leeg").agg(F.count(F.lit(1)).alias("_n"), F.max("_p").alias("_p"))
     summary = values.groupBy("kolom").agg(
         F.sum("_n").alias("n"),
-        F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_n"))), F.lit(0)).alias("leeg"),
+        F.coalesce(F.sum(F.when(F.col("_leeg"), F.col("_n"))), F.lit(0)).alias("leeg"),
         F.coalesce(F.sum(F.when(F.col("_p"), F.col("_n"))), F.lit(0)).alias("placeholder"),
-        F.count("_v").alias("uniek"))
+        F.count(F.when(~F.col("_leeg"), 1)).alias("uniek"))
     filled = F.col("n") - F.col("leeg") - F.col("placeholder")
     return summary.withColumn("pct_gevuld", percentage(filled, F.col("n"), digits))
 
@@ -134,9 +152,21 @@ def dominant_value(df: DataFrame, column: str, threshold: float = 0.8, digits: i
 
 
 def duplicate_candidates(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
-    """Value combinations shared by several keys: how many, and the first and last key."""
-    return (df.groupBy(*columns).agg(F.countDistinct(key).alias("aantal"), F.min(key).alias("eerste"), F.max(key).alias("laatste"))
-            .where("aantal > 1"))
+    """Value combinations shared by several keys: how many, and the first and last key.
+
+    Rows are grouped by two 64-bit hashes of the combination and the key, so the values themselves,
+    which may be whole texts, are no shuffle key. Only hashes that several keys share take their
+    rows' values along, and there equal values are confirmed.
+    """
+    told = df.select(*digests(*[F.col(c) for c in columns]), F.col(key).alias("_key"))
+    several = (told.distinct().groupBy("_k1", "_k2").agg(F.count("_key").alias("_n")).where("_n > 1").select("_k1", "_k2"))
+    rows = df.select(*digests(*[F.col(c) for c in columns]), *columns, F.col(key).alias("_key")).join(several, ["_k1", "_k2"], "left_semi")
+    # one row per key of a candidate, with the same hashes in one place; different values with the same hashes stay apart
+    packed = F.struct(*columns)
+    per_key = rows.groupBy("_k1", "_k2", "_key").agg(F.min(packed).alias("_v"), F.max(packed).alias("_w"))
+    same = per_key.where(F.col("_v") == F.col("_w")).groupBy("_k1", "_k2").agg(
+        F.count("_key").alias("aantal"), F.min("_key").alias("eerste"), F.max("_key").alias("laatste"), F.min("_v").alias("_v"))
+    return same.where("aantal > 1").select(*[F.col(f"_v.{c}").alias(c) for c in columns], "aantal", "eerste", "laatste")
 
 
 def ambiguous_keys(df: DataFrame, key: str, target: str) -> DataFrame:

@@ -42,6 +42,19 @@ class Field:
             return [(self.name, TYPES["date"]), (f"{self.name}_ruw", TYPES["str"]), (f"{self.name}_precisie", TYPES["str"])]
         return [(self.name, TYPES.get(self.kind, TYPES["str"]))]
 
+    def metadata(self, column: str) -> dict:
+        """What is declared about one of the field's columns: a comment, and the table it refers to."""
+        if self.parent:
+            return {"comment": f"id in {self.parent}, empty if that has none", "references": self.parent, "source": self.source}
+        if self.kind in ("start", "end"):
+            bound = "first" if self.kind == "start" else "last"
+            part = {f"{self.name}_ruw": "as it is written in the source", f"{self.name}_precisie": "how precise the written date is"}
+            return {"comment": part.get(column, f"{bound} day of the written date"), "source": self.source}
+        if self.kind == "link":
+            return {"comment": "address of the enclosed file", "source": self.source}
+        kinds = {"int": "whole number", "long": "whole number", "bool": "flag", "date": "day", "ts": "local time", "utc": "time", "dec": "amount"}
+        return {"comment": kinds.get(self.kind, "text"), "source": self.source}
+
     def columns(self) -> list[Column]:
         source = F.col(self.source)
         if self.kind in ("start", "end"):
@@ -66,9 +79,14 @@ class EntitySpec:
 
     @property
     def schema(self) -> T.StructType:
-        pairs = [("id", TYPES["str"])] + [o for f in self.fields for o in f.outputs()]
-        pairs += [("gewijzigd_op", TYPES["utc"]), ("api_gewijzigd_op", TYPES["utc"])]
-        return T.StructType([T.StructField(n, t) for n, t in pairs])
+        """Columns with their types and, as metadata, comment, key, reference and accepted values."""
+        found = [T.StructField("id", TYPES["str"], metadata={"comment": f"id of the {self.name}", "key": True})]
+        for f in self.fields:
+            for name, kind in f.outputs():
+                listed = {"accepted": list(self.accepted[name])} if name in self.accepted else {}
+                found.append(T.StructField(name, kind, metadata=f.metadata(name) | listed))
+        changed = {"gewijzigd_op": "when the source changed this version", "api_gewijzigd_op": "when the feed published this version"}
+        return T.StructType(found + [T.StructField(n, TYPES["utc"], metadata={"comment": c}) for n, c in changed.items()])
 
     @property
     def references(self) -> dict[str, str]:

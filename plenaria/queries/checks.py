@@ -16,6 +16,22 @@ def contract(t: Tables):
     return Q.enforce_contract(t.customer.select("c_mktsegment", "c_custkey", "c_name"), schema)
 
 
+@query("q1_metadata", """
+SELECT 1::BIGINT AS volgnummer, 'c_custkey' AS kolom, 'bigint' AS type, 'sleutel' AS toelichting, true AS aanwezig, true AS type_ok, true AS metadata_ok, count(*) AS rijen FROM customer
+UNION ALL SELECT 2, 'c_name', 'string', 'naam', true, true, false, count(*) FROM customer UNION ALL SELECT 3, 'c_nationkey', 'bigint', 'land', true, false, false, count(*) FROM customer
+UNION ALL SELECT 4, 'c_leeg', 'string', NULL, false, false, false, count(*) FROM customer""")
+def contract_metadata(t: Tables):
+    """What a frame keeps of a contract: one column as declared, one that lost its comment, one of another type and one missing."""
+    def field(name, kind, **more):
+        return T.StructField(name, kind, metadata=more)
+
+    declared = T.StructType([field("c_custkey", T.LongType(), comment="sleutel", key=True), field("c_name", T.StringType(), comment="naam"),
+                             field("c_nationkey", T.LongType(), comment="land", references="nation"), field("c_leeg", T.StringType())])
+    rows = Q.enforce_contract(t.customer.select("c_custkey", "c_name"), T.StructType(declared.fields[:2]))
+    rows = rows.join(t.customer.select(F.col("c_custkey").alias("k"), "c_nationkey"), F.col("c_custkey") == F.col("k")).withColumn("c_name", F.upper("c_name"))
+    return Q.contract_report(rows, declared).withColumn("rijen", rows.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
 @query("q2_null_unique", """
 SELECT 'not_null:orders.st' AS controle, count(*) FILTER (WHERE o_orderstatus = 'P') AS fouten, count(*) FILTER (WHERE o_orderstatus = 'P') = 0 AS ok FROM orders
 UNION ALL SELECT 'unique:orders.o_orderkey', count(*), count(*) = 0 FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)

@@ -118,6 +118,27 @@ def test_components(spark):
     assert all(got[i] == i for i in [21, 24, 28, 39])
 
 
+def test_components_of_a_long_path_and_a_hub(spark):
+    path = spark.range(100_000).select((F.col("id") * 7919 % 100_003).alias("a"), ((F.col("id") + 1) * 7919 % 100_003).alias("b"))
+    hub = spark.range(1_000_000).select(F.lit(5_000_000).cast("long").alias("a"), (F.col("id") + 1_000_000).alias("b"))
+    edges = path.unionAll(hub)
+    nodes = edges.select(F.explode(F.array("a", "b")).alias("node"))
+    found = G.connected_components(nodes, edges).groupBy("component").agg(F.count(F.lit(1)).alias("n")).collect()
+    assert sorted((r.component, r.n) for r in found) == [(0, 100_001), (1_000_000, 1_000_001)]
+
+
+def test_components_against_brute_force(spark):
+    rng = random.Random(9)
+    for n, m in ((60, 40), (200, 190), (50, 300)):
+        pairs = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
+        root = list(range(n))
+        for _ in range(n):
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        got = {r.node: r.component for r in G.connected_components(spark.range(n).withColumnRenamed("id", "node"), spark.createDataFrame(pairs, "a long, b long")).collect()}
+        assert got == dict(enumerate(root))
+
+
 VOTE = "besluit_id int, fractie_id string, persoon_id string, soort string, fractie_grootte int, vergissing boolean"
 
 

@@ -89,3 +89,34 @@ def test_view_rejects_bad_names(view, spark):
         S.SemanticView({"a": (df, "id"), "b": (df, "id")}, [S.Relationship("a", "id", "b"), S.Relationship("b", "id", "a")], {}, {})
     with pytest.raises(ValueError):
         S.SemanticView({"a": (df, "id")}, [], {"X": ("a", "zz")}, {})
+
+
+def test_profile_and_duplicates_shuffle_no_text(spark):
+    """Whole texts are neither a shuffle key of the profile nor of the search for duplicates."""
+    df = spark.range(200).select("id", F.concat(F.lit("text "), (F.col("id") % 90).cast("string")).alias("v"), F.when(F.col("id") % 3 == 0, "a").alias("w"))
+    for found in (Q.profile(df), Q.duplicate_candidates(df, ["v", "w"], "id")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert exchanges and not any(f"{name}#" in line.split("hashpartitioning(")[1].split(")")[0] for line in exchanges for name in ("_v", "v", "w"))
+    got = {(r.v, r.w): (r.aantal, r.eerste, r.laatste) for r in Q.duplicate_candidates(df, ["v", "w"], "id").collect()}
+    want = {}
+    for i in range(200):
+        want.setdefault((f"text {i % 90}", "a" if i % 3 == 0 else None), []).append(i)
+    assert got == {k: (len(v), v[0], v[-1]) for k, v in want.items() if len(v) > 1}
+
+
+def test_null_and_empty_are_told_apart_by_digests(spark):
+    rows = spark.createDataFrame([("x", None), (None, "x"), ("", "x"), (None, None)], "a string, b string")
+    assert rows.select(*Q.digests(F.col("a"), F.col("b"))).distinct().count() == 4
+
+
+def test_entity_columns_carry_their_metadata(spark):
+    from plenaria.plans.catalog import ENTITIES
+    spec = ENTITIES["fractie_zetel_persoon"]
+    named = {f.name: f.metadata for f in spec.schema.fields}
+    assert named["id"]["key"] and named["persoon_id"]["references"] == "persoon" and named["van_precisie"]["accepted"][0] == "dag"
+    assert all(f.metadata.get("comment") for e in ENTITIES.values() for f in e.schema.fields)
+    empty = spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in spec.schema.fields]))
+    kept = Q.contract_report(Q.enforce_contract(empty, spec.schema), spec.schema).collect()
+    lost = Q.contract_report(empty, spec.schema).collect()
+    assert all(r.metadata_ok for r in kept) and not any(r.metadata_ok for r in lost) and all(r.type_ok for r in lost)
