@@ -232,15 +232,33 @@ def test_lines_with_changed_words(spark):
     assert not any(found[2 * i] for i in range(200)) and [found[i] for i in range(1000, 1006)] == [0, 1, 0, 0, 0, 0]
 
 
-def test_line_fingerprints_and_pairs_equal_brute_force(spark):
+def test_line_sketches_and_pairs_equal_brute_force(spark):
+    import xxhash
     random.seed(8)
-    texts = [["|"] * 9 + [f"w{random.randint(0, 99)}" for _ in range(n)] for n in (1, 2, 5, 126, 300, 9000)] + [["|", "-", ""]]
-    words = spark.createDataFrame([(i, w) for i, text in enumerate(texts) for w in text], "i int, word string")
-    hashes = {r.word: r.h % 2**64 for r in words.distinct().select("word", F.xxhash64("word").alias("h")).collect()}
-    found = {r.i: (r.votes, r.fingerprint % 2**64) for r in lines.simhashes(words, ["i"], "word").collect()}
+    texts = ["".join(random.choice("ab cdé漢") for _ in range(n)) for n in (30, 60, 61, 200, 5000)] + ["five words are enough for it", "four words only here", "x" * 40, ""]
+    words = spark.createDataFrame(list(enumerate(texts)), "i int, line string")
+    found = {r.i: (r.bands, r.fingerprint) for r in lines.sketched(words, ["i"], "line", lines.WORDS).collect()}
+    constants = [((k + 1) * lines.ODD & (1 << 64) - 1) >> 32 for k in range(lines.BANDS * lines.ROWS)]
     for i, text in enumerate(texts):
-        told = [hashes[w] for w in text if w[:1] == "w"]
-        assert found[i] == (len(told), sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in told) > len(told)))
+        told = {xxhash.xxh64(text[k : k + lines.GRAM].encode(), seed=42).intdigest() & lines.HALF for k in range(len(text) - lines.GRAM + 1)}
+        long = len(re.findall(r"\w[^ ]*", text)) >= lines.WORDS or len(re.findall(r"\w", text)) >= lines.WORDS * lines.LETTERS
+        if not long:
+            assert found[i] == (None, None)
+            continue
+        least = [min(h ^ c for h in told) for c in constants]
+        assert found[i][1] == sum((x & 1) << k for k, x in enumerate(least)) and len(set(found[i][0])) == lines.BANDS
+    # recall of the candidates: a changed word in lines of 8 to 60 words, at a similarity of 0.8 and more
+    pairs = []
+    while len(pairs) < 300:
+        line = ["".join(random.choice("abcdefghijklmnop") for _ in range(random.randint(3, 8))) for _ in range(random.randint(8, 60))]
+        changed = [w if random.random() > 0.12 else w[::-1] for w in line]
+        x, y = " ".join(line), " ".join(changed)
+        if x != y and sum(a != b for a, b in zip(x, y, strict=True)) <= 0.2 * len(x):
+            pairs.append((x, y))
+    rows = spark.createDataFrame([(2 * k + side, line) for k, pair in enumerate(pairs) for side, line in enumerate(pair)], "i int, line string")
+    sketches = {r.i: (set(r.bands), r.fingerprint) for r in lines.sketched(rows, ["i"], "line", lines.WORDS).collect()}
+    met = [bool(sketches[2 * k][0] & sketches[2 * k + 1][0]) and (sketches[2 * k][1] ^ sketches[2 * k + 1][1]).bit_count() <= lines.RADIUS for k in range(len(pairs))]
+    assert sum(met) >= 0.9 * len(met)
     base = [random.getrandbits(64) for _ in range(20)]
     prints = [b ^ (1 << random.randrange(64)) ^ (1 << random.randrange(64)) for b in base for _ in range(4)]
     signed = [(i, p - 2**64 if p >= 2**63 else p) for i, p in enumerate(prints)]
