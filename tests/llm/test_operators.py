@@ -4,6 +4,9 @@ import hashlib
 import random
 import re
 import zlib
+from functools import reduce
+from itertools import combinations
+from operator import or_
 from pathlib import Path
 
 import numpy as np
@@ -246,7 +249,8 @@ def test_line_sketches_and_pairs_equal_brute_force(spark):
             assert found[i] == (None, None)
             continue
         least = [min(h ^ c for h in told) for c in constants]
-        assert found[i][1] == sum((x & 1) << k for k, x in enumerate(least)) and len(set(found[i][0])) == lines.BANDS
+        planes = [sum((x >> p & 1) << k for k, x in enumerate(least)) for p in range(lines.PLANES)]
+        assert found[i][1] == planes and len(set(found[i][0])) == lines.BANDS
     # recall of the candidates: a changed word in lines of 8 to 60 words, at a similarity of 0.8 and more
     pairs = []
     while len(pairs) < 300:
@@ -257,15 +261,19 @@ def test_line_sketches_and_pairs_equal_brute_force(spark):
             pairs.append((x, y))
     rows = spark.createDataFrame([(2 * k + side, line) for k, pair in enumerate(pairs) for side, line in enumerate(pair)], "i int, line string")
     sketches = {r.i: (set(r.bands), r.fingerprint) for r in lines.sketched(rows, ["i"], "line", lines.WORDS).collect()}
-    met = [bool(sketches[2 * k][0] & sketches[2 * k + 1][0]) and (sketches[2 * k][1] ^ sketches[2 * k + 1][1]).bit_count() <= lines.RADIUS for k in range(len(pairs))]
+    apart = lambda x, y: reduce(or_, (p ^ q for p, q in zip(x, y, strict=True))).bit_count()
+    met = [bool(sketches[2 * k][0] & sketches[2 * k + 1][0]) and apart(sketches[2 * k][1], sketches[2 * k + 1][1]) <= lines.RADIUS for k in range(len(pairs))]
     assert sum(met) >= 0.9 * len(met)
-    base = [random.getrandbits(64) for _ in range(20)]
-    prints = [b ^ (1 << random.randrange(64)) ^ (1 << random.randrange(64)) for b in base for _ in range(4)]
-    signed = [(i, p - 2**64 if p >= 2**63 else p) for i, p in enumerate(prints)]
-    distinct = spark.createDataFrame(signed, "k1 long, fingerprint long").withColumn("size", F.lit(10))
+    # pairs of lines that share a key, in length and sketch near enough, equal brute force over all pairs
+    size = {i: len(line) for i, pair in enumerate(pairs) for i, line in ((2 * i, pair[0]), (2 * i + 1, pair[1]))}
+    distinct = lines.sketched(rows, ["i"], "line", lines.WORDS).select(F.col("i").cast("long").alias("k1"), "bands", "fingerprint").join(
+        rows.select(F.col("i").cast("long").alias("k1"), F.length("line").alias("size")), "k1")
     empty = spark.createDataFrame([], "node long, component long")
-    pairs = {(r.a, r.b) for r in lines.across(lines.crowded(distinct, 2), empty, 2, 0.8).collect()}
-    assert pairs == {(i, j) for i in range(len(prints)) for j in range(i + 1, len(prints)) if (prints[i] ^ prints[j]).bit_count() <= 2}
+    members = lines.crowded(distinct)
+    for radius in (12, lines.RADIUS):
+        expected = {(i, j) for i, j in combinations(sorted(sketches), 2) if sketches[i][0] & sketches[j][0] and apart(sketches[i][1], sketches[j][1]) <= radius
+                    and abs(size[i] - size[j]) <= 0.2 * max(size[i], size[j]) + 1e-9}
+        assert expected and {(r.a, r.b) for r in lines.across(members, empty, radius, 0.8).collect()} == expected
 
 
 def test_edits_equal_brute_force(spark):
