@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plenaria.session import checkpoint
+from plenaria.session import stored
 
 #: Days of a slot of the finest level, slots of a level in one of the next, and levels. A date has a row per level in a
 #: join, so there are few. Days further from 1970 than so many of the finest slots (89 years) share the first or last one.
@@ -54,15 +54,17 @@ def interval_join(points: DataFrame, members: DataFrame, keys: Sequence[str], at
     one key divide over its slots, an interval's rows do not grow with its length, and a date meets only intervals that
     cover its slot. Each interval has at most one slot of a date's, so no match appears twice; both inputs are read once.
 
+    The interval rows' slots are many more than the rows that Spark's size estimate goes by, so they are never broadcast.
+
     Open ends have none; with ``until`` later dates match nothing open. ``how`` is inner or left; for left the dated
-    rows are stored with a number and the matches join back to it. ``on_overlap='latest'`` keeps, per ``row_key``, only
+    rows are stored with a number, only number, keys and date look for intervals, and the matches join back by number. ``on_overlap='latest'`` keeps, per ``row_key``, only
     the interval that started last (ties: highest ``order``).
     Column names of the two inputs must differ except for ``keys``.
     """
     others = [c for c in members.columns if c not in keys]
     if how == "left":
-        numbered = checkpoint(points.withColumn("_point", F.monotonically_increasing_id()))
-        found = interval_join(numbered, members, keys, at, start, end, "inner", slot_days, until=until).select("_point", *others)
+        numbered = stored(points.withColumn("_point", F.monotonically_increasing_id()))
+        found = interval_join(numbered.select("_point", *dict.fromkeys([*keys, at])), members, keys, at, start, end, "inner", slot_days, until=until).select("_point", *others)
         joined = numbered.join(found, "_point", "left")
     else:
         last = F.coalesce(F.col(end), F.lit(until) if until else F.lit(date.max))
@@ -74,7 +76,7 @@ def interval_join(points: DataFrame, members: DataFrame, keys: Sequence[str], at
         condition = (F.col("_at_slot") == F.col("_slot")) & F.col(at).between(F.col(start), F.coalesce(F.col(end), F.lit(until or date.max)))
         for k in keys:
             condition = condition & (F.col(k) == F.col(f"_m_{k}"))
-        joined = dated.join(spread, condition, how)
+        joined = dated.join(spread.hint("merge"), condition, how)
     if on_overlap == "latest":
         newest = Window.partitionBy(*row_key).orderBy(
             F.col(start).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in order])

@@ -172,3 +172,22 @@ def test_until_bounds_open_intervals_only(spark):
     found = I.interval_join(points, members, ["k"], "at", "a", "z", until=date(2020, 1, 10)).select("at", "name").collect()
     assert sorted((r["at"].isoformat(), r["name"]) for r in found) == [
         ("2020-01-05", "closed"), ("2020-01-05", "open"), ("2020-01-12", "closed"), ("2020-06-01", "closed")]
+
+
+def test_slots_are_not_broadcast(spark, data):
+    """However few interval rows there are by estimate, their slots do not pass through the driver."""
+    _, _, m, p = data
+    for how in ("inner", "left"):
+        joined = I.interval_join(p, m, ["key"], "d", "van", "tot", how)
+        at = joined._jdf.queryExecution().executedPlan().toString()
+        slots = [line for line in at.splitlines() if "_at_slot" in line and "Join" in line]
+        assert slots and all("SortMergeJoin" in line for line in slots)
+
+
+def test_left_join_stores_few_columns(data):
+    """Dated rows are stored in columns, and only their number, keys and date are read to look for intervals."""
+    _, _, m, p = data
+    wide = p.withColumn("lang", F.lit("x" * 50))
+    plan = I.interval_join(wide, m, ["key"], "d", "van", "tot", "left")._jdf.queryExecution().executedPlan().toString()
+    reads = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(reads) == 2 and sum("lang" in line for line in reads) == 1
