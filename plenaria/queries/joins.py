@@ -84,9 +84,9 @@ _DATED = "dated AS (SELECT l_orderkey, l_partkey, o_custkey AS persoon_id, CAST(
 
 
 def _dated(t: Tables):
-    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_shipdate")
+    lines = t.lineitem.select("l_orderkey", "l_partkey", s.day("l_shipdate").alias("datum"))
     return lines.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "l_orderkey", "l_partkey", F.col("o_custkey").alias("persoon_id"), s.day("l_shipdate").alias("datum"))
+        "l_orderkey", "l_partkey", F.col("o_custkey").alias("persoon_id"), "datum")
 
 
 @query("j6_interval_join", f"""WITH {s.MEMBERS_SQL}, {_DATED}
@@ -98,7 +98,7 @@ def interval(t: Tables):
 @query("j6_interval_left", f"""WITH {s.MEMBERS_SQL}, {_DATED}
 SELECT fractie, count(*) AS rijen FROM dated d LEFT JOIN (SELECT * FROM members WHERE fractie < '4') m ON d.persoon_id = m.persoon_id AND datum BETWEEN van AND coalesce(tot_en_met, DATE '9999-12-31') GROUP BY 1""")
 def interval_left(t: Tables):
-    joined = I.interval_join(_dated(t), s.members(t).where("fractie < '4'"), ["persoon_id"], "datum", "van", "tot_en_met", "left")
+    joined = I.interval_join(_dated(t).select("persoon_id", "datum"), s.members(t).where("fractie < '4'"), ["persoon_id"], "datum", "van", "tot_en_met", "left")
     return joined.groupBy("fractie").agg(F.count(F.lit(1)).alias("rijen"))
 
 
