@@ -200,3 +200,20 @@ def test_samples_repeat(spark):
 def test_argmax_puts_null_weights_last(spark, rows):
     df = spark.createDataFrame([("g", "a", 5), ("g", "b", None), ("h", "c", None)], "k string, v string, w int")
     assert rows(A.argmax_by(df, ["k"], "v", F.sum("w"))) == [("g", "a"), ("h", "c")]
+
+
+def test_pair_tasks_grow_with_pairs(spark):
+    """A task holds a bounded number of pairs: more pairs are expanded and counted by more tasks, with the same counts."""
+    rows = [(g, (g * 7 + i * i) % 300) for g in range(60) for i in range(40)]
+    df = spark.createDataFrame(rows, "g int, i int")
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    few, many = P.co_occurrence(df, "g", "i"), P.co_occurrence(df, "g", "i", pairs_a_task=500)
+    assert many.rdd.getNumPartitions() > 10 * usual
+    want = {}
+    for g in range(60):
+        items = sorted({i for h, i in rows if h == g})
+        for n, a in enumerate(items):
+            for b in items[n + 1:]:
+                want[a, b] = want.get((a, b), 0) + 1
+    for found in (few, many):
+        assert {(r.a, r.b): r.samen for r in found.collect()} == want
