@@ -30,6 +30,15 @@ def memberships(seat_persons: DataFrame, seats: DataFrame, factions: DataFrame,
             .join(seat, "fractie_zetel_id").join(faction, "fractie_id"))
 
 
+def with_faction(members: DataFrame, factions: DataFrame) -> DataFrame:
+    """Members with the columns of their faction; factions have one row each and are few.
+
+    They are broadcast: a shuffle by faction would leave members in as many tasks as there are factions, and whatever
+    groups by faction and more columns would stay there.
+    """
+    return members.join(F.broadcast(factions), "fractie_id")
+
+
 def existence_years(as_of: date, digits: int | None = 1) -> Column:
     """Years a faction has existed, at least 0.01."""
     return years_between(F.col("datum_actief"), F.coalesce(F.col("datum_inactief"), F.lit(as_of)), digits=digits, floor=0.01)

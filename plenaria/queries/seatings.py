@@ -23,6 +23,10 @@ def _members(t: Tables):
     return s.members(t).withColumn("fractie_id", F.col("fractie"))
 
 
+def _with_period(t: Tables):
+    return S.with_faction(_members(t), _factions(t).select("fractie_id", "datum_actief", "datum_inactief"))
+
+
 @query("a9_switches", f"""WITH {s.MEMBERS_SQL} SELECT persoon_id, count(*) FILTER (WHERE fractie <> vorige) AS wissels FROM (SELECT *, lag(fractie) OVER (PARTITION BY persoon_id ORDER BY van, lid_id) AS vorige FROM members)
 GROUP BY 1 HAVING count(*) FILTER (WHERE fractie <> vorige) > 0""")
 def switches(t: Tables):
@@ -62,8 +66,7 @@ def components(t: Tables):
 d AS (SELECT DISTINCT fractie, datum FROM e), z AS (SELECT d.fractie, d.datum, count(DISTINCT m.persoon_id) AS zetels FROM d LEFT JOIN members m ON m.fractie = d.fractie AND m.van <= d.datum AND (m.tot_en_met IS NULL OR m.tot_en_met >= d.datum) GROUP BY 1, 2)
 SELECT persoon_id, e.fractie AS fractie_id, e.fractie, e.datum, event_type, year(e.datum) AS jaar, round({_YEARS}, 1) AS jaren_bestaan, zetels AS zetels_op_datum FROM e JOIN factions f ON e.fractie = f.fractie JOIN z ON z.fractie = e.fractie AND z.datum = e.datum""")
 def seat_events(t: Tables):
-    joined = _members(t).join(_factions(t).select("fractie_id", "datum_actief", "datum_inactief"), "fractie_id")
-    return S.seat_changes(joined, _AS_OF)
+    return S.seat_changes(_with_period(t), _AS_OF)
 
 
 @query("a12_yearly_seats", f"""WITH {s.MEMBERS_SQL}, y AS (SELECT fractie, jaar, count(DISTINCT persoon_id) AS zetels FROM members JOIN generate_series(1990, 2005) g(jaar) ON year(van) <= jaar AND (tot_en_met IS NULL OR year(tot_en_met) >= jaar) GROUP BY 1, 2)
@@ -97,5 +100,4 @@ def extremes(t: Tables):
 @query("a14_largest", f"""WITH {s.MEMBERS_SQL}, d AS (SELECT DISTINCT fractie, van AS datum FROM members UNION SELECT DISTINCT fractie, tot_en_met FROM members WHERE tot_en_met IS NOT NULL)
 SELECT d.fractie AS fractie_id, d.datum, count(DISTINCT m.persoon_id) AS zetels_op_datum FROM d JOIN members m ON m.fractie = d.fractie AND m.van <= d.datum AND (m.tot_en_met IS NULL OR m.tot_en_met >= d.datum) GROUP BY 1, 2 ORDER BY 3 DESC, 2, 1 LIMIT 1""")
 def largest(t: Tables):
-    joined = _members(t).join(_factions(t).select("fractie_id", "datum_actief", "datum_inactief"), "fractie_id")
-    return S.largest_ever(S.seat_changes(joined, _AS_OF))
+    return S.largest_ever(S.seat_changes(_with_period(t), _AS_OF))

@@ -66,3 +66,31 @@ def test_queries_run_from_a_foreign_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300, env=env)
     assert "rows True True True" in done.stdout, done.stderr[-2000:]
+
+
+def test_members_do_not_gather_by_faction(spark, tmp_path):
+    """Members meet their faction without a shuffle by faction, so later groups of faction and person spread over the tasks."""
+    from plenaria.plans.seats import with_faction
+
+    members = spark.createDataFrame([(p, "ab"[p % 2]) for p in range(50)], "persoon_id long, fractie_id string")
+    factions = spark.createDataFrame([("a", 1), ("b", 2)], "fractie_id string, n int").groupBy("fractie_id").agg({"n": "max"})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = with_faction(members, factions)
+        assert "SortMergeJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert {(r.persoon_id, r["max(n)"]) for r in joined.collect()} == {(p, 1 + p % 2) for p in range(50)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_place_keys_of_different_words(spark, tmp_path):
+    """Words are counted before keys are made of them, with the same counts as one by one."""
+    from plenaria.queries import registry
+
+    texts = ["Ommen ommen OMMEN. (x) - geen", "Ommen Zuid", None, "", "Ommen"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = registry()["x7_place_key"](spark, str(tmp_path))
+    assert {r.sleutel: r.aantal for r in found.collect()} == {"ommen": 5, "zuid": 1}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2
