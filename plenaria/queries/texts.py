@@ -106,9 +106,10 @@ SELECT sleutel, count(*) AS aantal FROM (SELECT nullif(trim(regexp_replace(regex
   FROM (SELECT unnest(string_split(text, ' ')) AS w FROM documents)
   WHERE trim(regexp_replace(replace(replace(lower(w), '.', ''), '"', ''), '\s+', ' ', 'g')) NOT IN ('', '-', 'onbekend', 'n.v.t.', 'nan', 'none', 'geen opgave', 'geen') AND w NOT LIKE '%(%') GROUP BY 1""")
 def place_keys(t: Tables):
-    words = t.documents.select(F.explode(F.split("text", " ")).alias("w"))
+    """Words are counted first, so each different word is looked at once."""
+    words = t.documents.select(F.explode(F.split("text", " ")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("_n"))
     kept = words.where(~T.is_placeholder(T.clean_text(F.col("w"))) & ~F.contains(F.col("w"), F.lit("(")))
-    return kept.groupBy(T.place_key(F.col("w")).alias("sleutel")).agg(F.count(F.lit(1)).alias("aantal"))
+    return kept.groupBy(T.place_key(F.col("w")).alias("sleutel")).agg(F.sum("_n").alias("aantal"))
 
 
 @query("x8_alias", """
