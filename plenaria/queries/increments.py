@@ -53,6 +53,10 @@ def feed_stream(t: Tables):
     return conform_entity(log, {}, ENTITIES["zaal"]).select(F.lit("zaal").alias("tabel"), "id", "naam")
 
 
+#: Page files that a task writes; a file costs more than its rows.
+_FILES_A_TASK = 50
+
+
 def _room_pages(rows, page: str, number: str, stamp: Column, code: Column, key: Column, term: Column, next_token: Column, *others: str):
     """Feed pages in XML, one row each, with the rows of a page as its entries."""
     entry = F.struct(
@@ -75,8 +79,9 @@ def quarantine(t: Tables):
     pages = _room_pages(rows, "p", "event_id", F.when(number % 50 == 0, "geen tijd").otherwise("2024-01-01T00:00:00Z"), F.when(number % 91 == 0, "x").otherwise("5"),
                         F.when(number % 77 != 0, number.cast("string")), F.when(number % 130 == 7, "Raar").otherwise("Zaal"), F.col("p") + 1)
     broken = F.when(F.col("p") % 7 == 3, F.regexp_replace("value", "</feed>$", "<entry>")).otherwise(F.col("value"))
+    writers = rows.select("p").distinct().count() // _FILES_A_TASK + 1
     for rest in (0, 1):
-        pages.where(F.col("p") % 2 == rest).select(broken.alias("value")).write.option("maxRecordsPerFile", 1).mode("append").text(f"{root}/pages")
+        pages.where(F.col("p") % 2 == rest).repartition(writers, "p").select(broken.alias("value")).write.option("maxRecordsPerFile", 1).mode("append").text(f"{root}/pages")
         jobs.stream_feed(t.spark, f"{root}/pages", f"{root}/log", f"{root}/cursor", strict=False, entities=("zaal",)).awaitTermination()
     return t.spark.read.parquet(f"{root}/log").groupBy("tabel", F.col("reason").alias("reden")).agg(F.count(F.lit(1)).alias("rijen"))
 
@@ -94,7 +99,8 @@ def source_resume(t: Tables):
     rows = t.events.withColumn("p", F.floor(number / 1000)).join(chain, ["event_type", "p"]).withColumn("token", F.when(F.col("own").isNull(), -1).otherwise(F.col("p")))
     pages = _room_pages(rows, "onward", "event_id", F.lit("2024-01-01T00:00:00Z"), F.lit("5"), F.concat_ws(":", "event_type", number.cast("string")), F.lit("Zaal"),
                         F.col("onward"), "event_type", "token")
-    pages.select("value", "event_type", "token").write.partitionBy("event_type", "token").text(f"file://{root}/pages")
+    writers = chain.count() // _FILES_A_TASK + 1
+    pages.select("value", "event_type", "token").repartition(writers, "event_type", "token").write.partitionBy("event_type", "token").text(f"file://{root}/pages")
     categories = [r[0] for r in t.events.select("event_type").distinct().orderBy("event_type").collect()]
     folder = f"file://{root}/pages/event_type={{category}}"
     options = {"url": folder + "/token={token}/part-*", "first_url": folder + "/token=-1/part-*", "categories": ",".join(categories)}

@@ -1,7 +1,7 @@
 """The change feed as a data source: pages by address, with the onward token of each category as the offset.
 
 A page of the feed names the token of the next one, so the chain of pages is followed on the driver, which reads no more
-of a page than it takes to see that link. The pages themselves are fetched by the tasks, one page each.
+of a page than it takes to see that link. The pages themselves are fetched by the tasks, some pages each.
 """
 
 from __future__ import annotations
@@ -29,12 +29,14 @@ ONWARD, TOKEN = re.compile(rb"""\brel\s*=\s*["'](?:next|resume)["']"""), re.comp
 FIRST_ENTRY = re.compile(rb"<(?:\w+:)?entry[\s>]")
 #: Bytes that are read of a page at a time while its link is looked for, and seconds to wait for a page.
 CHUNK, TIMEOUT = 16_384, 60
+#: Pages that a task fetches, one after the other.
+PAGES_A_TASK = 32
 #: Token of the first page of a category, which is asked for without one.
 NO_TOKEN = -1
 
 
 @dataclass
-class Page(InputPartition):
+class Page:
     """One page to fetch: category, the token it is asked for with, and its address."""
 
     category: str
@@ -42,6 +44,17 @@ class Page(InputPartition):
     url: str
 
 
+@dataclass
+class Pages(InputPartition):
+    """Pages that one task fetches."""
+
+    pages: list[Page]
+
+
+def dealt(pages: list[Page]) -> list[Pages]:
+    return [Pages(pages[i : i + PAGES_A_TASK]) for i in range(0, len(pages), PAGES_A_TASK)]
+
+
 class Feed:
     """Addresses and chain of a feed's pages."""
 
@@ -103,11 +116,11 @@ class Feed:
                     return int(token[1])
         return None
 
-    def walk(self, category: str, token: int, limit: int) -> tuple[list[int], dict[str, Any]]:
+    def walk(self, category: str, token: int, limit: int, links: dict[tuple[str, int], int] | None = None) -> tuple[list[int], dict[str, Any]]:
         """Tokens of the pages from one on, at most so many, and the offset behind them.
 
         It ends with a page that is missing or has no entries, and after one that leads to no newer token. Such a last
-        page is told by its digest, so it is read again only when it has changed.
+        page is told by its digest, so it is read again only when it has changed. ``links`` takes the onward tokens.
         """
         found: list[int] = []
         while len(found) < limit:
@@ -118,6 +131,8 @@ class Feed:
             found.append(token)
             if onward is None or onward <= token:
                 return found, {"token": token, "last": digest}
+            if links is not None:
+                links[category, token] = onward
             token = onward
         return found, {"token": token, "last": ""}
 
@@ -128,11 +143,11 @@ class FeedReader(DataSourceReader):
     def __init__(self, feed: Feed):
         self.feed = feed
 
-    def partitions(self) -> list[Page]:
-        return [Page(c, t, self.feed.address(c, t)) for c in self.feed.categories for t in self.feed.walk(c, self.feed.start, self.feed.limit)[0]]
+    def partitions(self) -> list[Pages]:
+        return dealt([Page(c, t, self.feed.address(c, t)) for c in self.feed.categories for t in self.feed.walk(c, self.feed.start, self.feed.limit)[0]])
 
-    def read(self, page: Page) -> Iterator[tuple]:
-        return fetched(self.feed, page)
+    def read(self, part: Pages) -> Iterator[tuple]:
+        return fetched(self.feed, part)
 
 
 class FeedStreamReader(DataSourceStreamReader):
@@ -141,6 +156,8 @@ class FeedStreamReader(DataSourceStreamReader):
     def __init__(self, feed: Feed):
         self.feed = feed
         self.head: dict[str, Any] | None = None
+        # links seen since the last batch was planned, so that a page is looked at once
+        self.links: dict[tuple[str, int], int] = {}
 
     def initialOffset(self) -> dict[str, Any]:
         return {c: {"token": self.feed.start, "last": ""} for c in self.feed.categories}
@@ -151,10 +168,10 @@ class FeedStreamReader(DataSourceStreamReader):
         return {c: self.behind(c, at) for c, at in self.head.items()}
 
     def behind(self, category: str, at: dict[str, Any]) -> dict[str, Any]:
-        found, after = self.feed.walk(category, at["token"], self.feed.limit)
+        found, after = self.feed.walk(category, at["token"], self.feed.limit, self.links)
         return after if found else at
 
-    def partitions(self, start: dict[str, Any], end: dict[str, Any]) -> list[Page]:
+    def partitions(self, start: dict[str, Any], end: dict[str, Any]) -> list[Pages]:
         # a restarted query plans its last batch again before it asks for the latest offset
         self.head = end
         pages = []
@@ -165,24 +182,29 @@ class FeedStreamReader(DataSourceStreamReader):
             token = before["token"]
             while token != after["token"]:
                 pages.append(Page(category, token, self.feed.address(category, token)))
-                seen = self.feed.look(category, token)
-                if seen is None or seen[0] is None or seen[0] <= token:
+                onward = self.links.get((category, token))
+                if onward is None:
+                    seen = self.feed.look(category, token)
+                    onward = None if seen is None else seen[0]
+                if onward is None or onward <= token:
                     raise RuntimeError(f"the feed no longer leads from {before['token']} to {after['token']} in {category or 'all categories'}")
-                token = seen[0]
+                token = onward
             if after["last"]:
                 pages.append(Page(category, token, self.feed.address(category, token)))
-        return pages
+        self.links.clear()
+        return dealt(pages)
 
-    def read(self, page: Page) -> Iterator[tuple]:
-        return fetched(self.feed, page)
+    def read(self, part: Pages) -> Iterator[tuple]:
+        return fetched(self.feed, part)
 
 
-def fetched(feed: Feed, page: Page) -> Iterator[tuple]:
-    opened = feed.open(page.category, page.token)
-    if opened is None:
-        raise RuntimeError(f"no page at {page.url}")
-    with opened:
-        yield page.url, opened.read().decode("utf-8-sig", "replace"), page.category, page.token
+def fetched(feed: Feed, part: Pages) -> Iterator[tuple]:
+    for page in part.pages:
+        opened = feed.open(page.category, page.token)
+        if opened is None:
+            raise RuntimeError(f"no page at {page.url}")
+        with opened:
+            yield page.url, opened.read().decode("utf-8-sig", "replace"), page.category, page.token
 
 
 class FeedPages(DataSource):
