@@ -15,8 +15,12 @@ from plenaria.session import checkpoint
 from plenaria.sources import checked, feed, pages
 
 
+#: Bytes of landed pages in a batch. A batch has a cost of its own, so a batch of few small pages is mostly that.
+BATCH_BYTES = 1 << 30
+
+
 def stream_feed(spark: SparkSession, path: str, log: str, checkpoint_path: str, category: str | None = None,
-                pages_per_batch: int = 100, strict: bool = True, entities: Sequence[str] | None = None,
+                pages_per_batch: int | None = None, strict: bool = True, entities: Sequence[str] | None = None,
                 xsd: Mapping[str, str] | None = None, load_id: str | None = None) -> StreamingQuery:
     """Load all landed pages not seen before into the version log, then stop.
 
@@ -25,10 +29,10 @@ def stream_feed(spark: SparkSession, path: str, log: str, checkpoint_path: str,
     Otherwise entries are checked one by one (see ``checked.checked``, also for ``xsd``), and
     rejected ones stand in the log's own table for them, written in the same step as the good
     ones; there ``category`` keeps the rejected entries whose category cannot be told too.
-    Each run has a load id of its own.
+    Each run has a load id of its own. A batch holds pages of ``BATCH_BYTES``, or ``pages_per_batch`` of them.
     """
     load = load_id or uuid.uuid4().hex
-    reader = spark.readStream.option("maxFilesPerTrigger", pages_per_batch)
+    reader = spark.readStream.option("maxBytesPerTrigger", BATCH_BYTES) if pages_per_batch is None else spark.readStream.option("maxFilesPerTrigger", pages_per_batch)
     if strict:
         rows = feed.entries(feed.decoded(reader, path, entities, True))
         rows = rows.withColumn("_row_id", feed.row_id(rows)).withColumn("_load_id", F.lit(load))

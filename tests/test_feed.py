@@ -356,3 +356,35 @@ def test_source_resumes_from_its_offset(spark, tmp_path):
     chain(folder, "A", 30, 40, ["a4", "a5"])
     chain(folder, "A", 40, None, ["a6"])
     assert [k for k in load("4") if k[1] == "4"] == [("a4", "4"), ("a5", "4"), ("a6", "4")]
+
+
+def test_pages_share_tasks(tmp_path):
+    """A task fetches several pages, and the chain that was followed for an offset is not followed again to plan it."""
+    from plenaria.sources import pages as S
+
+    number = 70
+    for token in range(-1, number):
+        (tmp_path / f"{token}.xml").write_text(f'<feed><link rel="next" href="?skiptoken={token + 1}"/><entry><id>{token}</id></entry></feed>')
+    feed = S.Feed({"url": f"file://{tmp_path}/{{token}}.xml", "first_url": f"file://{tmp_path}/-1.xml"})
+    reader, looked = S.FeedStreamReader(feed), []
+    look = feed.look
+    feed.look = lambda category, token: looked.append(token) or look(category, token)
+    start, end = reader.initialOffset(), reader.latestOffset()
+    parts = reader.partitions(start, end)
+    assert sorted(looked) == list(range(-1, number + 1)) and len(parts) == 3
+    assert [r[3] for part in parts for r in reader.read(part)] == list(range(-1, number))
+
+
+def test_small_pages_share_a_batch(spark, tmp_path):
+    """Pages are batched by their bytes, so many small ones are one batch."""
+    from plenaria.streaming.jobs import stream_feed
+
+    (tmp_path / "pages").mkdir()
+    for i in range(130):
+        (tmp_path / "pages" / f"{i}.xml").write_text(
+            f'<feed><entry><id>urn:{i}</id><title>Zaal</title><updated>2024-01-01T00:00:00Z</updated><category _term="Zaal"/><content>'
+            f'<zaal id="{i}" verwijderd="False" bijgewerkt="2024-01-01T00:00:00Z"><naam>z</naam></zaal></content></entry></feed>')
+    run = stream_feed(spark, str(tmp_path / "pages"), str(tmp_path / "log"), str(tmp_path / "cursor"), strict=False, entities=("zaal",))
+    run.awaitTermination()
+    assert len(list((tmp_path / "cursor" / "commits").glob("[0-9]*"))) == 1
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 130
