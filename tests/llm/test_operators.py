@@ -394,6 +394,33 @@ def test_trees_and_classifiers(spark, odd, none):
     assert len(toxicity.scores(small, [None, "", "vile"])) == 3 and toxicity.language("der und die".split()) == 2
 
 
+def test_toxicity_is_learnt_from_all_labelled_rows(spark):
+    """More labelled rows than one task trains on, or than were once drawn of a class, all count; one part is as train()."""
+    words = ["good day to all members", "a fair and open debate", "the vote is on the motion"]
+    rows = [(i, f"{words[i % 3]} word{i % 7}" + (f" vile{i % 2}" if i % 4 == 0 else "")) for i in range(9_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    other = spark.createDataFrame([(-1, 1), (1, None), (None, 1), (2, 5)], "doc_id long, toxic int")
+    clean = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_label"))
+    named = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    parts = toxicity.packed(toxicity.labelled(named, clean, 9_000), clean, 4)
+    found = [toxicity.unpacked(part) for part in ({n: v for n, v in r.asDict().items() if n != "part"} for r in parts.collect())]
+    assert sorted(i for p in found for i in p[3]) == list(range(9_000)) and sum(p[1].sum() for p in found) == 2_250
+    texts = {int(i): t for p in found for i, t in zip(p[3], p[0], strict=True)}
+    assert all((texts[i] == toxicity.hashed(t.split())).all() for i, t in rows[:50])
+    model = toxicity.fit(docs, labels.unionAll(other), rows=2_000)
+    scored = np.array(toxicity.scores(model, [t for _, t in rows])) >= 0.5
+    assert (scored == [i % 4 == 0 for i, _ in rows]).all()
+    few, y = [t for _, t in rows[:400]], np.array([float(i % 4 == 0) for i in range(400)])
+    used = [i for i in range(400) if zlib.crc32(f"calibrate {i}".encode()) % 5]
+    whole, one = toxicity.fit(docs.where("doc_id < 400"), labels), toxicity.train([toxicity.hashed(few[i].split()) for i in used], y[used])
+    assert np.allclose(whole.embedding, one.embedding, atol=1e-3) and np.allclose(whole.output, one.output, atol=1e-3)
+    # all held-out rows are counted, one by one or by steps
+    exact, steps = (toxicity.margins(one, parts, n, True) for n in (1, toxicity.EXACT + 1))
+    held = sum(zlib.crc32(f"calibrate {i}".encode()) % 5 == 0 for i in range(9_000))
+    assert len(exact) == held == steps.zeros.sum() + steps.ones.sum() and (exact.ones.sum(), held) == (steps.ones.sum(), held)
+
+
 def test_texts_of_one_id_keep_their_own_lines(spark):
     """Texts of one id whose 32-bit hashes are equal are still told apart, with and without an id."""
     line, seen, texts = "the same line of boilerplate that stands in many documents of this table", {}, []
