@@ -5,12 +5,14 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
@@ -19,6 +21,9 @@ from plenaria.llm.common import kept, slices, stored, texts_of
 CAPACITY, SEPARATOR = 2048, 0
 #: Words whose ids a worker remembers before it starts anew, and code points in a run of texts.
 REMEMBERED, POINTS = 800_000, 2_000_000
+#: Parts that are asked for as one text; words of letters and then marks, each one part; the split they are known for.
+TOGETHER, PLAIN = 500, re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_{|}~]*)")
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Rows of one length that are numbered in one group.
 NUMBERED = 1_000_000
 LEAST_PARTS = 64
@@ -29,30 +34,77 @@ class Words:
 
     Right only if no token and no normalisation spans white space, as when the tokenizer's splits leave it out;
     other tokenizers are asked for whole texts.
+    A plain word's letters, and the marks behind them, are looked up on their own. New ones are encoded many in one text,
+    already small and parted by spaces; the tokens that the vocabulary says to end a part tell where each one's ids end.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has one core
         self.tokenizer = Tokenizer.from_str(definition)
-        split = (json.loads(definition).get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
-        self.apart = split.get("behavior") == "Removed" and split.get("invert") is True and "[^\\s" in split.get("pattern", {}).get("Regex", "")
+        parsed = json.loads(definition)
+        split, *after = (parsed.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        pattern = split.get("pattern", {}).get("Regex", "")
+        self.apart = split.get("behavior") == "Removed" and split.get("invert") is True and "[^\\s" in pattern
         self.known: dict[str, bytes] = {}
+        changes, suffix = parsed.get("normalizer") or {}, parsed.get("model", {}).get("end_of_word_suffix")
+        kinds = {c.get("type") for c in changes.get("normalizers", [changes] if changes else []) if c.get("pattern") != {"Regex": "\\s+"}}
+        bytewise = [(p.get("type"), p.get("use_regex"), p.get("add_prefix_space")) for p in after] == [("ByteLevel", False, False)]
+        self.small, self.parts = "Lowercase" in kinds, None
+        if self.apart and pattern == PARTS and kinds <= {"NFC", "Lowercase"} and bytewise and suffix:
+            spaced = parsed["pre_tokenizer"] | {"pretokenizers": [{"type": "WhitespaceSplit"}, *after]}
+            self.parts = Tokenizer.from_str(json.dumps(parsed | {"normalizer": None, "pre_tokenizer": spaced, "added_tokens": []}))
+            vocabulary = self.parts.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+            self.known_parts: dict[str, bytes] = {"": b""}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def together(self, parts: list[str]) -> list[bytes]:
+        """Ids of small letters, or of marks, encoded TOGETHER at a time."""
+        found = []
+        groups = [parts[i : i + TOGETHER] for i in range(0, len(parts), TOGETHER)]
+        for group, e in zip(groups, self.parts.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            cuts, joined = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()], ids.tobytes()
+            if len(cuts) != len(group) + 1 or cuts[-1] != len(joined):
+                found += self.whole(group)
+            else:
+                found += [joined[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return found
+
+    def learn(self, words: list[str]) -> None:
+        """Adds the ids of words that are not yet known."""
+        if self.parts is not None:
+            met = {w: m.groups() for w in words if (m := PLAIN.fullmatch(w))}
+            low = {x: x.lower() if self.small else x for x, _ in met.values()}
+            new = [x for x in {*low.values(), *(x for _, x in met.values())} if x not in self.known_parts]
+            self.known_parts.update(zip(new, self.together(new), strict=True))
+            for w, (letters, marks) in met.items():
+                self.known[w] = self.known_parts[low[letters]] + self.known_parts[marks]
+            words = [w for w in words if w not in met]
+        self.known.update(zip(words, self.whole(words), strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         if not self.apart:
             return self.whole(texts)
-        words, met = [t.replace("\n", " ").split(" ") for t in texts], set()
-        for w in words:
-            met.update(w)
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        told, ends = split.flatten().dictionary_encode(), np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])
+        met, at = told.dictionary.to_pylist(), told.indices.to_numpy()
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = [w for w in met if w not in self.known]
-        self.known.update(zip(new, self.whole(new), strict=True))
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+            if self.parts is not None:
+                self.known_parts = {"": b""}
+        self.learn([w for w in met if w not in self.known])
+        found = [self.known[w] for w in met]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first, size = (np.cumsum(sizes) - sizes)[at], sizes[at]
+        cuts = np.concatenate([[0], np.cumsum(size)])
+        places = np.repeat(first - cuts[:-1], size) + np.arange(cuts[-1])
+        ids, cuts = np.frombuffer(b"".join(found), "<u4")[places].tobytes(), (4 * cuts[ends]).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def pieces(docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, separator: int = SEPARATOR) -> DataFrame:

@@ -297,6 +297,19 @@ def test_edits_equal_brute_force(spark):
     assert all(r.fits == (distance(r.x, r.y) <= r.most) for r in rows.withColumn("fits", lines.edits_fit("x", "y", F.col("most"))).collect())
 
 
+def test_plain_words_are_encoded_in_few_texts():
+    random.seed(21)
+    letters = "abcxyzABCXYZàéÿßÀÞ"
+    plain = [f"{''.join(random.choices(letters, k=random.randint(1, 9)))}{random.choice(['', '', '.', '***', '</', '<|'])}" for _ in range(3000)]
+    other = ["don't", "x's", "İx", "K", "e\u0301", "<|endoftext|>", "漢字", "🤗", "v2.0", "", "a.b", "…", "\u0301"]
+    texts = [" ".join(random.choices(plain + other, k=40)) for _ in range(200)] + ["", "\n", " a\n\nb "]
+    words = packing.Words(Path(public_tokenizers.path("word_bpe_49k.json")).read_text())
+    whole, asked = words.whole(texts), []
+    words.whole, inner = lambda some: asked.extend(some) or inner(some), words.whole
+    assert words.encode(texts) == whole and words.encode(texts) == whole and words.encode([]) == []
+    assert set(asked) <= set(other)
+
+
 def test_passages(spark, odd, none):
     random.seed(3)
     some = lambda n: [f"w{random.randint(0, 5000)}" for _ in range(n)]
