@@ -371,6 +371,25 @@ def test_passages_with_many_edits(spark):
     assert all(found[i] == cases[i][0] for i in (0, 1, 2, 3)) and all(found[i] >= 110 for i in (5, 6, 7, 8))
 
 
+def test_passages_whose_seeds_stand_in_the_same_other_documents(spark):
+    """Every seed of an edited passage also stands in an earlier and in a later document; its own documents are linked."""
+    random.seed(22)
+    some = lambda n: [f"w{random.randint(0, 10**6)}" for _ in range(n)]
+    texts, expected = [], {}
+    for base in range(0, 400, 100):
+        passage = some(60)
+        parts = [passage[i : i + 16] for i in range(0, 60, 12)]
+        mixed = [w for part in parts for w in part + some(30)], [w for part in parts[::-1] for w in some(30) + part]
+        edited = ["new" if i in (12, 36) else w for i, w in enumerate(passage)]
+        texts += [(base, mixed[0]), (base + 1, some(20) + passage + some(9)), (base + 2, some(7) + edited + some(30)), (base + 3, mixed[1])]
+        texts += [(base + 4, mixed[0] + some(3))]
+        expected[base + 1, base + 2] = (20, 80, 7, 67, 1 - 2 / 60)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id long, text string")
+    found = {(r.a, r.b): (r.a_start, r.a_end, r.b_start, r.b_end, r.similarity) for r in passages.shared(docs).collect()}
+    assert {p: found.get(p) for p in expected} == expected
+    assert set(found) == {*expected, *((base, base + 4) for base in range(0, 400, 100))}
+
+
 def test_chains_and_alignment_equal_brute_force():
     random.seed(9)
     for _ in range(40):
