@@ -390,6 +390,36 @@ def test_passages_whose_seeds_stand_in_the_same_other_documents(spark):
     assert set(found) == {*expected, *((base, base + 4) for base in range(0, 400, 100))}
 
 
+def test_lines_meet_by_key_and_number_alone(spark, monkeypatch):
+    """Band keys are dealt out once, with no more than a line's number, and only texts of lines in pairs are shuffled."""
+    random.seed(23)
+    some = [" ".join(f"w{random.randint(0, 10**6)}" for _ in range(12)) for _ in range(40)]
+    docs = spark.createDataFrame([(i, "\n".join([some[i], some[i // 2] + " more", f"own {i}"])) for i in range(40)], "doc_id long, text string")
+    plans, kinds = [], []
+    store, keep = lines.stored, lines.checkpoint
+
+    def seen(df, then):
+        found = then(df)
+        kinds.append(tuple(df.columns))
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return found
+    monkeypatch.setattr(lines, "stored", lambda df: seen(df, store))
+    monkeypatch.setattr(lines, "checkpoint", lambda df: seen(df, keep))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        removed = {r.doc_id: r.n_removed for r in lines.dedup(docs, counted=True).collect()}
+    finally:
+        spark.conf.set(limit, before)
+    # some[i] and its copies with one word more are one group for i < 20, of three places
+    assert sum(removed.values()) == 40
+    key = plans[kinds.index(("key", "id"))]
+    assert "fingerprint" not in key.partition("RepartitionByExpression")[2].partition("\n")[0] and key.count("RepartitionByExpression [key") == 2
+    judged = [p for p, k in zip(plans, kinds, strict=True) if k == ("a", "b") and "levenshtein" in p]
+    assert len(judged) == 2 and all("might_contain" in p for p in judged)
+
+
 def test_chains_and_alignment_equal_brute_force():
     random.seed(9)
     for _ in range(40):
