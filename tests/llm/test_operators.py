@@ -420,6 +420,29 @@ def test_lines_meet_by_key_and_number_alone(spark, monkeypatch):
     assert len(judged) == 2 and all("might_contain" in p for p in judged)
 
 
+def test_first_links_join_lines_and_shuffles_are_freed(spark, monkeypatch):
+    """Lines that differ a little are linked through the smallest line of their keys, so the second look has none of their pairs."""
+    random.seed(41)
+    line = " ".join(f"w{random.randint(0, 10**6)}" for _ in range(40))
+    docs = spark.createDataFrame([(i, f"{line} x{i}") for i in range(30)], "doc_id long, text string")
+    name, judged, freed = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], []
+    judge, store = lines.verified, lines.stored
+
+    def seen(pairs, *more):
+        judged.append((pairs.where("a < b").count(), pairs.count()))
+        return judge(pairs, *more)
+
+    def kept(df):
+        freed.append(spark.conf.get(name))
+        return store(df)
+    monkeypatch.setattr(lines, "verified", seen)
+    monkeypatch.setattr(lines, "stored", kept)
+    before = spark.conf.get(name)
+    assert sum(r.n_removed for r in lines.dedup(docs, counted=True).collect()) == 29
+    assert judged[0][0] == judged[0][1] >= 29 and judged[1][1] == 0
+    assert set(freed) == {"true"} and spark.conf.get(name) == before
+
+
 def test_chains_and_alignment_equal_brute_force():
     random.seed(9)
     for _ in range(40):
