@@ -506,6 +506,25 @@ def test_toxicity_is_learnt_from_all_labelled_rows(spark):
     assert len(exact) == held == steps.zeros.sum() + steps.ones.sum() and (exact.ones.sum(), held) == (steps.ones.sum(), held)
 
 
+def test_thresholds_of_many_rows_are_those_of_single_rows(spark):
+    """However many rows set them, thresholds are the same; only rows near them are gathered one by one."""
+    random.seed(31)
+    marks = ["zebra", "the", "der", "le", "el"]
+    rows = [(i, " ".join([marks[i % 5], *(f"w{random.randint(0, 300)}" for _ in range(random.randint(1, 12)))]), int(random.random() < 0.3)) for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "_id long, _text string, _label int").repartition(3)
+    clean = docs.select("_id", "_label")
+    parts = toxicity.packed(toxicity.labelled(docs.select("_id", "_text"), clean, len(rows)), clean, 3)
+    model = toxicity.train([toxicity.hashed(t.split()) for _, t, _ in rows[:1_000]], np.array([float(y) for *_, y in rows[:1_000]]))
+    for held in (True, None):
+        found = {}
+        for n in (1, toxicity.EXACT + 1):
+            found[n] = toxicity.margins(model, parts, n, held)
+            toxicity.calibrate(model, found[n])
+            found[n] = len(found[n]), found[n].zeros.sum(), found[n].ones.sum(), model.thresholds.tolist()
+        (one, *exact), (many, *steps) = found.values()
+        assert steps == exact and many < one
+
+
 def test_texts_of_one_id_keep_their_own_lines(spark):
     """Texts of one id whose 32-bit hashes are equal are still told apart, with and without an id."""
     line, seen, texts = "the same line of boilerplate that stands in many documents of this table", {}, []
