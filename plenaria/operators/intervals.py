@@ -13,6 +13,8 @@ from plenaria.session import stored
 #: join, so there are few. Days further from 1970 than so many of the finest slots (89 years) share the first or last one.
 SLOT_DAYS, FAN, LEVELS = 32, 32, 2
 REACH = FAN**LEVELS
+#: Days of a chunk in which groups_on_day() gathers what runs, and chunks on either side of 1970 (89 years), the last of which have all days beyond.
+CHUNK_DAYS, CHUNKS = 512, 64
 #: Most slots of one interval, however long it is.
 MOST_SLOTS = 2 * (FAN - 1) * (LEVELS - 1) + 2 * REACH // FAN ** (LEVELS - 1)
 
@@ -157,3 +159,32 @@ def count_active(events: DataFrame, members: DataFrame, keys: Sequence[str], at:
         condition = condition & (F.col(k) == F.col(f"_t_{k}"))
     return events.join(totals, condition, "left").select(
         *events.columns, F.coalesce(F.col("_active"), F.lit(0)).cast("bigint").alias(out))
+
+
+def _chunk(day: Column) -> Column:
+    return F.greatest(F.least(F.floor(F.unix_date(day) / CHUNK_DAYS), F.lit(CHUNKS - 1)), F.lit(-CHUNKS))
+
+
+def groups_on_day(points: DataFrame, members: DataFrame, details: DataFrame, keys: Sequence[str], at: str, group: str, start: str, end: str, out: str) -> DataFrame:
+    """Each distinct dated row with every group that has intervals of its key on its date, and the columns of its key's details.
+
+    ``out`` counts the pairs of rows equal to it and such intervals. Intervals have both ends; missing keys and dates match nothing.
+
+    The intervals of a key and group become steps, each a time in which their number stays the same, from daily changes; so
+    however many intervals there are, a key has at most a step per group and day. Steps are gathered per key and chunk of
+    time with the details, and dated rows are shuffled once, to their chunk: their copies are counted there, too.
+    """
+    others = [c for c in details.columns if c not in keys]
+    changes = F.array(F.struct(F.col(start).alias("_first"), F.lit(1).alias("_step")), F.struct(F.date_add(F.col(end), 1).alias("_first"), F.lit(-1).alias("_step")))
+    ends = members.dropna(subset=list(keys)).where(F.col(start) <= F.col(end)).select(*keys, F.col(group).alias("_group"), F.inline(changes))
+    daily = ends.groupBy(*keys, "_group", "_first").agg(F.sum("_step").alias("_step")).repartition(*keys)
+    ahead = Window.partitionBy(*keys, "_group").orderBy("_first")
+    steps = daily.select(*keys, "_group", "_first", F.date_sub(F.lead("_first").over(ahead), 1).alias("_last"), F.sum("_step").over(ahead).cast("int").alias("_n")).where("_n > 0")
+    running = (steps.withColumn("_chunk", F.explode(F.sequence(_chunk(F.col("_first")), _chunk(F.col("_last")))))
+               .groupBy(*keys, "_chunk").agg(F.collect_list(F.struct("_first", "_last", "_group", "_n")).alias("_steps"))
+               .select(*keys, "_chunk", *[F.col(f"_steps.{c}").alias(c) for c in ("_first", "_last", "_group", "_n")]))  # a list each: less than half the bytes
+    dated = points.dropna(subset=[*keys, at]).withColumn("_chunk", _chunk(F.col(at))).repartition(*keys, "_chunk")
+    counted = dated.groupBy(*points.columns, "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
+    met = counted.join(running.join(details, list(keys)), [*keys, "_chunk"])
+    held = met.select(*points.columns, "_rows", F.explode(F.filter(F.arrays_zip("_first", "_last", "_group", "_n"), lambda s: F.col(at).between(s["_first"], s["_last"]))).alias("_held"), *others)
+    return held.select(*points.columns, F.col("_held._group").alias(group), (F.col("_rows") * F.col("_held._n")).alias(out), *others)

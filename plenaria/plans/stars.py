@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plenaria.functions.dates import active_at, close_interval, date_key, days_between, minutes_between, year_boundaries
 from plenaria.functions.text import map_values
 from plenaria.operators.filters import linked
+from plenaria.operators.intervals import groups_on_day
 from plenaria.operators.references import null_safe_join
 from plenaria.operators.sequence import dense_key, surrogate_key
 from plenaria.plans import calendar, people, seats
@@ -251,10 +252,11 @@ def travel(t: Tables, as_of: date) -> StarTables:
     person = t["persoon"].select(F.col("id").alias("persoon_id"), "roepnaam", "achternaam", "overlijdensdatum")
     trips = t["persoon_reis"].select("id", "persoon_id", "doel", "bestemming", "van", "tot_en_met", "betaald_door")
     gifts = t["persoon_geschenk"].select("id", "persoon_id", "datum", "gewicht", "omschrijving")
-    held = people.with_party_on_day(trips, members, "van", "afkorting").withColumnRenamed("fractie_op_dag", "fractielabel")
-    grouped = held.groupBy(*held.columns).agg(F.sum(days_between(F.col("van"), F.col("tot_en_met"))).alias("reisduur"))
+    seated = members.select("persoon_id", "afkorting", F.col("van").alias("_van"), F.col("tot_en_met").alias("_tot"))
+    held = groups_on_day(trips, seated, person, ["persoon_id"], "van", "afkorting", "_van", "_tot", "_n").withColumnRenamed("afkorting", "fractielabel")
+    days = (F.col("_n") * days_between(F.col("van"), F.col("tot_en_met"))).alias("reisduur")
     return StarTables({
-        "gold_fact_reis": lambda: grouped.join(person, "persoon_id"),
+        "gold_fact_reis": lambda: held.select("persoon_id", *[c for c in trips.columns if c != "persoon_id"], "fractielabel", days, *person.columns[1:]),
         "gold_fact_geschenk": lambda: people.with_party_on_day(gifts, members, "datum", "afkorting").withColumnRenamed("fractie_op_dag", "afkorting").join(person, "persoon_id"),
     })
 

@@ -191,3 +191,31 @@ def test_left_join_stores_few_columns(data):
     plan = I.interval_join(wide, m, ["key"], "d", "van", "tot", "left")._jdf.queryExecution().executedPlan().toString()
     reads = [line for line in plan.splitlines() if "FileScan parquet" in line]
     assert len(reads) == 2 and sum("lang" in line for line in reads) == 1
+
+
+def test_groups_on_day(spark, data):
+    """Equal rows and intervals are counted, far days share a chunk, and rows without key or date match nothing."""
+    members, points, m, p = data
+    closed = [(k, w, s, e or day(2000)) for _, k, w, s, e in members] + [("k1", "a", date(1500, 1, 1), date(9999, 12, 31)), ("k1", "a", day(3), day(3))] * 2
+    dated = [(k, d) for _, k, d in points] * 2 + [("k1", date(1700, 5, 5)), ("k1", date(9999, 12, 31)), ("k1", day(3))]
+    details = [(f"k{i}", f"name {i}") for i in range(10)] + [("hot", None), ("k2", "other"), (None, "nobody")]
+    found = I.groups_on_day(spark.createDataFrame(dated, "key string, d date"), spark.createDataFrame(closed, "key string, wie string, van date, tot date"),
+                            spark.createDataFrame(details, "key string, name string"), ["key"], "d", "wie", "van", "tot", "n")
+    expected = {}
+    for key, d in dated:
+        for k, w, s, e in closed:
+            for name in (n for i, n in details if key is not None and i == key and k == key and covers(s, e, d)):
+                expected[key, d, w, name] = expected.get((key, d, w, name), 0) + 1
+    rows = [tuple(r) for r in found.select("key", "d", "wie", "name", "n").collect()]
+    got = {r[:4]: r[4] for r in rows}
+    assert [(k, v) for k, v in expected.items() if got.get(k) != v] == [] and len(rows) == len(expected)
+
+
+def test_trips_are_shuffled_once(spark):
+    """After their own grouping trips are shuffled to their chunk of time alone, as one row each."""
+    from plenaria.queries import registry
+
+    trips = registry()["z_travel_trips"](spark, "/root/testdata/sf0.001")
+    plan = trips._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    shuffled = [x for x in plan.split("\n\n") if x.lstrip().startswith("(") and ") Exchange" in x and "bestemming#" in x]
+    assert len(shuffled) == 1
