@@ -390,6 +390,61 @@ def test_passages_whose_seeds_stand_in_the_same_other_documents(spark):
     assert set(found) == {*expected, *((base, base + 4) for base in range(0, 400, 100))}
 
 
+def test_passages_of_all_pairs(spark):
+    """All pairs of documents that share a passage have a row, copies and other spellings of a text too, not only the first and the last."""
+    random.seed(41)
+    some = lambda n: [f"w{random.randint(0, 10**6)}" for _ in range(n)]
+    one, two = some(60), some(70)
+    texts, at = [], {}
+    for i in range(6):
+        before = some(10 + i)
+        own = [f"n{i}" if j == 20 + 3 * i else w for j, w in enumerate(two)]
+        texts.append((i, " ".join(before + one + some(70) + own)))
+        at[i] = len(before), len(before) + 130
+    texts += [(10, texts[0][1]), (11, texts[0][1]), (12, texts[3][1].upper())]
+    at |= {10: at[0], 11: at[0], 12: at[3]}
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found = {}
+    for r in passages.shared(docs).collect():
+        found.setdefault((r.a, r.b), []).append((r.a_start, r.a_end, r.b_start, r.b_end, r.similarity))
+    for a, b in combinations(sorted(at), 2):
+        size = [len(dict(texts)[i].split()) for i in (a, b)]
+        same = a in (0, 10) and b in (10, 11) or (a, b) == (3, 12)
+        ends = [(0, size[0], 0, size[1], 1.0)] if same else [(at[a][0], at[a][0] + 60, at[b][0], at[b][0] + 60, 1.0), (at[a][1], at[a][1] + 70, at[b][1], at[b][1] + 70, 1 - 2 / 70)]
+        assert sorted(found.pop((a, b))) == ends, (a, b)
+    assert not found
+
+
+def test_passages_with_repeated_parts(spark):
+    """Each place of a part that comes several times is in a row, without a row for each with each; memory stays small."""
+    random.seed(42)
+    some = lambda n: [f"w{random.randint(0, 10**6)}" for _ in range(n)]
+    part = some(60)
+    texts = {1: some(5) + part + some(30), 2: part + some(50) + part + some(70) + part, 3: ["so"] * 200 + some(9), 4: some(7) + ["so"] * 330,
+             5: some(5) + ["la"] * 59 + some(5), 6: some(7) + ["la"] * 52 + some(3)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    rows = passages.shared(docs).collect()
+    assert sorted((r.a_start, r.a_end, r.b_start, r.b_end) for r in rows if (r.a, r.b) == (1, 2)) == [(5, 65, 0, 60), (5, 65, 110, 170), (5, 65, 240, 300)]
+    so = [r for r in rows if (r.a, r.b) == (3, 4)]
+    assert set().union(*(range(r.b_start, r.b_end) for r in so)) == set(range(7, 337)) and len(so) < 5
+    assert {(r.b_start, r.b_end) for r in rows if (r.a, r.b) == (5, 6)} == {(7, 59)} and {(r.a, r.b) for r in rows} == {(1, 2), (3, 4), (5, 6)}
+
+
+def test_diagonals_and_covering_equal_brute_force():
+    random.seed(43)
+    for most in (7, 10**6):
+        for _ in range(60):
+            u, v = ([random.randint(0, 3) for _ in range(random.randint(1, 25))] for _ in "uv")
+            both = sorted({*u} & {*v})
+            if both:
+                runs = passages.diagonals(*([np.array([i for i, c in enumerate(t) if c == s]) for s in both] for t in (u, v)), most)
+                met = {(i, j) for i, c in enumerate(u) for j, e in enumerate(v) if c == e}
+                assert sorted((x + i, x + d + i) for x, d, n in runs.tolist() for i in range(n)) == sorted(met)
+                assert all((x - 1, x + d - 1) not in met and (x + n, x + d + n) not in met for x, d, n in runs.tolist())
+                kept = passages.covering(runs)
+                assert {x + i for x, _, n in kept for i in range(n)} == {x for x, _ in met} and {x + d + i for x, d, n in kept for i in range(n)} == {y for _, y in met}
+
+
 def test_lines_meet_by_key_and_number_alone(spark, monkeypatch):
     """Band keys are dealt out once, with no more than a line's number, and only texts of lines in pairs are shuffled."""
     random.seed(23)
